@@ -8,6 +8,7 @@ from urllib.parse import unquote, urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import INVISIBLE
 
@@ -47,7 +48,7 @@ def page_code_of(link: object) -> str | None:
     return m[1] if m else None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _join(base: pd.Series, ref: pd.Series) -> pd.Series:
     def one(b: str | None, r: str | None) -> str | None:
         try:

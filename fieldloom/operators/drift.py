@@ -117,7 +117,7 @@ def held_fields(items: DataFrame, feed: str, record: str, values: bool = False,
 
     names = ["page", "section", "field", "type", "inner", "whole", "leaf", *["value"] * values]
     shape = f"feed {feed_type}" + f", key {key_type}" * bool(key) + ", page string, section string, field string, type string, inner string, whole bigint, leaf bigint" + ", value string" * values
-    return items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"), *[F.col(key).alias("key")] * bool(key)).mapInArrow(run, shape)
+    return items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"), *([F.col(key).alias("key")] if key else [])).mapInArrow(run, shape)
 
 
 def schemas(held: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.links import page_code
 from ..operators import dedup_index, drift, hotkeys, nested, profile
 from ..session import materialize, parallelism, table
+from .problem_sql import SQL  # noqa: F401
 
 
 def _nodes(spark: SparkSession, d: str, values: bool) -> DataFrame:
