@@ -48,6 +48,14 @@ def page_code_of(link: object) -> str | None:
     return m[1] if m else None
 
 
+def link_page_of(value: object) -> str | None:
+    """``page_code_of`` for a value that may be any text: one with blanks inside or without a slash is no link."""
+    if type(value) is not str or "/" not in value or "-" not in value:
+        return None
+    bare = _PY_BLANK.sub(" ", value).strip()
+    return None if " " in bare else page_code_of(bare)
+
+
 @F.pandas_udf(StringType())
 def _join(base: pd.Series, ref: pd.Series) -> pd.Series:
     def one(b: str | None, r: str | None) -> str | None:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.links import page_code_of
+from ..functions.links import link_page_of
 from ..session import materialize
 from .nested import json_text, parse, unfold
 
@@ -56,7 +56,7 @@ def section_fields(section: object) -> dict[str, object]:
 def page_of(details: dict[str, object]) -> str | None:
     """The page code of a record: of the first field of Airport Details that is a page link, under whatever name."""
     for value in details.values():
-        if type(value) is str and "/" in value and (code := page_code_of(value)):
+        if code := link_page_of(value):
             return code
     return None
 
@@ -74,7 +74,7 @@ def _leaf(value: object) -> str:
 
 def _content(value: object) -> tuple[int, int]:
     """Hashes of a value as a whole, links by their page, and of its first scalar."""
-    code = page_code_of(value) if type(value) is str and "/" in value and "-" in value else None
+    code = link_page_of(value)
     whole = "page " + code if code else "s" + value if type(value) is str else json.dumps(value, sort_keys=True)
     return _hash(whole), _hash(code or _leaf(value))
 

@@ -77,7 +77,7 @@ WITH r AS (
   SELECT 'airport_items', item_id, (
     SELECT arg_min(code, ord) FROM (
       SELECT {_code("(e.value ->> '$')")} AS code, row_number() OVER () AS ord FROM json_each(CASE WHEN json_type(raw_json, '$."Airport Details"') = 'VARCHAR' THEN (raw_json ->> '$."Airport Details"')::JSON ELSE raw_json -> '$."Airport Details"' END) e
-      WHERE json_type(e.value) = 'VARCHAR' AND (e.value ->> '$') LIKE '%/%') WHERE code IS NOT NULL)
+      WHERE json_type(e.value) = 'VARCHAR' AND (e.value ->> '$') LIKE '%/%' AND NOT regexp_matches({_strip("(e.value ->> '$')")}, '{_WS}')) WHERE code IS NOT NULL)
   FROM airport_items
 ), c AS (SELECT table_name, code, min(id) AS first_id FROM r WHERE code IS NOT NULL GROUP BY ALL),
 n AS (
