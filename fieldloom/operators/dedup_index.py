@@ -197,9 +197,9 @@ def duplicates(rows: DataFrame, segments: int, space: str = "space") -> DataFram
 
     rows: space, id (unique in its space, in order of arrival), batch, code (null: no case). One fold to distinct codes,
     one search of those in the shards, and one join back; skew of the join is left to adaptive execution, which splits
-    hot codes on the rows' side.
+    hot codes on the rows' side. The codes are written once, so that links are parsed once for all three.
     """
-    rows = rows.where(F.col("code").isNotNull()).select(space, "id", "batch", "code")
+    rows = materialize(rows.where(F.col("code").isNotNull()).select(space, "id", "batch", "code"), "codes")
     codes = rows.groupBy(space, "code").agg(F.min("id").alias("first_id"), F.min("batch").alias("batch"))
     near = near_earlier(codes, segments, space)
     known = codes.join(near, [space, "code"], "left").select(space, "code", F.least("first_id", F.coalesce("canonical", "first_id")).alias("first_id"))
