@@ -74,7 +74,8 @@ def url_join(base: Column, ref: Column) -> Column:
     """
     ref = F.coalesce(ref, F.lit(""))
     origin = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    rooted = ref.rlike(r"^/[^/]") & ~ref.rlike(r"(^|/)\.{1,2}(/|$|[?#])") & (origin != "")
+    odd = ref.rlike(r"(^|/)\.{1,2}(/|$|[?#])") | ref.rlike(r"[?#]$|[\t\r\n]")
+    rooted = ref.rlike(r"^/[^/]") & ~odd & (origin != "")
     return F.when(ref == "", base).when(rooted, F.concat(origin, ref)).otherwise(_join(base, ref))
 
 
@@ -85,5 +86,5 @@ def absolutize(base: Column, link: Column) -> Column:
 
 def host_in(url: Column, domain: str) -> Column:
     """Whether the URL's host is ``domain`` or below it; false for what has no host."""
-    host = F.lower(F.try_parse_url(url, F.lit("HOST")))
+    host = F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*?)\.?(?=[/?#:]|$)", 1)
     return F.coalesce((host == domain) | host.endswith("." + domain), F.lit(False))
