@@ -20,13 +20,14 @@ SCOPES = {"ul", "ol", "dl", "table", "select", "div", "td", "th", "body"}
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "classes", "children", "parent", "order", "_text")
+    __slots__ = ("tag", "attrs", "classes", "children", "parent", "order", "_text", "_below")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None, order: int):
         self.tag, self.attrs, self.parent, self.order = tag, attrs, parent, order
         self.classes = frozenset(attrs.get("class", "").split())
         self.children: list[Element | str] = []
         self._text: str | None = None
+        self._below: list[Element] | None = None
 
     def text(self) -> str:
         """All text below."""
@@ -51,13 +52,16 @@ class Element:
                 last = x
         return None
 
-    def walk(self):
-        """The elements below, in document order."""
-        todo = [x for x in reversed(self.children) if type(x) is not str]
-        while todo:
-            x = todo.pop()
-            yield x
-            todo += [y for y in reversed(x.children) if type(y) is not str]
+    def below(self) -> list[Element]:
+        """The elements below, in document order, once the tree is built."""
+        if self._below is None:
+            out, todo = [], [x for x in reversed(self.children) if type(x) is not str]
+            while todo:
+                x = todo.pop()
+                out.append(x)
+                todo += [y for y in reversed(x.children) if type(y) is not str]
+            self._below = out
+        return self._below
 
 
 class _Builder(HTMLParser):
@@ -184,7 +188,7 @@ def select(top: Element, selector: str) -> list:
     """Elements, texts or attribute values, in document order."""
     out = []
     ways = _compiled(selector)
-    inner = list(top.walk())
+    inner = top.below()
     for e in [top, *inner] if any(not s for s, _ in ways) else inner:
         for steps, pseudo in ways:
             if not steps and e is not top or steps and (e is top or not _matches(e, steps, len(steps) - 1, top)):

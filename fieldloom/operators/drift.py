@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import link_page_of
-from ..session import materialize
+from ..session import materialize, spread
 from .nested import json_text, parse, unfold
 
 SECTIONS = ("Airport Details", "Additional Airport Details")
@@ -117,7 +117,7 @@ def held_fields(items: DataFrame, feed: str, record: str, values: bool = False,
 
     names = ["page", "section", "field", "type", "inner", "whole", "leaf", *["value"] * values]
     shape = f"feed {feed_type}" + f", key {key_type}" * bool(key) + ", page string, section string, field string, type string, inner string, whole bigint, leaf bigint" + ", value string" * values
-    return items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"), *([F.col(key).alias("key")] if key else [])).mapInArrow(run, shape)
+    return spread(items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"), *([F.col(key).alias("key")] if key else []))).mapInArrow(run, shape)
 
 
 def schemas(held: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -324,4 +324,4 @@ def record_pages(items: DataFrame, key: str, record: str, batch: str) -> DataFra
                     pages.append(None)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(pages, pa.string())], names=[key, batch, "page"])
 
-    return items.select(key, batch, F.col(record).cast("string").alias("record")).mapInArrow(run, f"`{key}` {kinds[key]}, `{batch}` {kinds[batch]}, page string")
+    return spread(items.select(key, batch, F.col(record).cast("string").alias("record"))).mapInArrow(run, f"`{key}` {kinds[key]}, `{batch}` {kinds[batch]}, page string")

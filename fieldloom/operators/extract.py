@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from ..schema import ARRAYS, IMAGE, ITEM, LINK_COLUMNS, MAPS
+from ..session import spread
 from .dom import Element, first, parse, select
 
 NA = "N/A"
@@ -163,7 +164,7 @@ def extract(pages: DataFrame, key: str, link: str, html: str, images: bool = Fal
                 rows = [item(h, u, images, folder) for u, h in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([plain(r[n], t) for r in rows], t) for n, t in types]], names=["key", *[n for n, _ in types]])
 
-    out = pages.select(F.col(key).alias("key"), F.col(link).cast("string").alias("link"), F.col(html).cast("string").alias("html")).mapInArrow(run, shape)
+    out = spread(pages.select(F.col(key).alias("key"), F.col(link).cast("string").alias("link"), F.col(html).cast("string").alias("html"))).mapInArrow(run, shape)
     return out.withColumnRenamed("key", key)
 
 
@@ -191,7 +192,7 @@ def _harvest(pages: DataFrame, keep: list[str], url: str, html: str, fields: lis
             cols = list(zip(*rows)) or [()] * len(fields)
             yield pa.RecordBatch.from_arrays([batch.column(j).take(pa.array(own, pa.int64())) for j in range(len(keep))] + [pa.array(c, pa.string()) for c in cols], names=[*kept, *fields])
 
-    return pages.select(*keep, F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html")).mapInArrow(run, shape)
+    return spread(pages.select(*keep, F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html"))).mapInArrow(run, shape)
 
 
 def index_links(pages: DataFrame, keep: list[str], url: str, html: str) -> DataFrame:

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 NODES = "dewey string, up int, node_path string, cut int, schema_path string, fields map<string,string>"
 
 _SCAN = json.JSONDecoder(strict=False)
@@ -121,7 +123,7 @@ def flatten(df: DataFrame, key: str, record: str, values: bool = True) -> DataFr
                     names=["key", "dewey", "up", "node_path", "cut", "schema_path", "fields", "error"],
                 )
 
-    out = df.select(F.col(key).alias("key"), F.col(record).cast("string").alias("record")).mapInArrow(run, f"key {kind}, {NODES}, error string")
+    out = spread(df.select(F.col(key).alias("key"), F.col(record).cast("string").alias("record"))).mapInArrow(run, f"key {kind}, {NODES}, error string")
     return out.withColumnRenamed("key", key)
 
 

@@ -37,3 +37,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table in at least as many partitions as there are cores, before a pass that computes much per row.
+
+    Only a table of fewer, larger splits is shuffled; a large one has its splits already and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
