@@ -16,6 +16,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .encoder import Coder, Encoder, blocks
 from .lexicon import ranks
 from .pretokens import Words, split
@@ -208,4 +209,4 @@ def split_documents(docs: DataFrame, key: str, text: str, encoder: Encoder, limi
                 at += len(part)
 
     shape = f"key {kind}, piece_no int, n_pieces int, start_char bigint, end_char bigint, n_tokens bigint" + ", text string" * with_text
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, shape).withColumnRenamed("key", key)
+    return spread(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, shape).withColumnRenamed("key", key)
