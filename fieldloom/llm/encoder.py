@@ -91,11 +91,22 @@ class Coder:
     """Ids of words on a worker: lexicon first, merged words kept up to a bound after that."""
 
     def __init__(self, encoder: Encoder, lexicon: Lexicon | None = None):
-        self.lexicon = lexicon or _lexicon(encoder.file)
+        self.lexicon = _lexicon(encoder.file) if lexicon is None else lexicon
         self.vocabulary = encoder.vocabulary
         ranks(self.vocabulary)
         self.merged: dict[bytes, list[int]] = {}
 
+    def ids(self, word: bytes) -> list[int]:
+        """The ids of one word, by merging."""
+        ids = self.merged.get(word)
+        if ids is None:
+            ids = merge(word, self.vocabulary)
+            if len(word) <= LONGEST_WORD:
+                if len(self.merged) > KEPT_WORDS:
+                    self.merged.clear()
+                self.merged[word] = ids
+        return ids
+
     def encode(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """(counts, ids): how many ids each word has, and all ids in order."""
         lex = self.lexicon
@@ -110,17 +121,9 @@ class Coder:
         counts = (lex.offsets[known + 1] - lex.offsets[known]).astype(np.int64) if len(lex) else np.zeros(n, np.int64)
         extra: list[list[int]] = []
         if len(unseen):
-            if len(self.merged) > KEPT_WORDS:
-                self.merged.clear()
             raw = w.data.tobytes()
             for a, b in zip(w.edges[unseen].tolist(), w.edges[unseen + 1].tolist()):
-                word = raw[a:b]
-                ids = self.merged.get(word)
-                if ids is None:
-                    ids = merge(word, self.vocabulary)
-                    if b - a <= LONGEST_WORD:
-                        self.merged[word] = ids
-                extra.append(ids)
+                extra.append(self.ids(raw[a:b]))
             counts[unseen] = [len(x) for x in extra]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if n else 0

@@ -127,8 +127,29 @@ def cut(tokens: np.ndarray, strong: np.ndarray, limit: int, overlap: int, extra:
     return out if tokens[-1] - tokens[start] <= limit else None
 
 
-def _blank(word: bytes) -> bool:
-    return word.decode("utf-8", "replace").isspace()
+#: ASCII blanks, and the last bytes of others.
+_BLANKS, _WIDE_BLANKS = b" \t\n\r\x0b\x0c", b"\x80\x81\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x9f\xa0\xa8\xa9\xaf"
+
+
+def _alone(body: bytes, edges: np.ndarray, before: np.ndarray, s: int, e: int, n: int, coder: Coder) -> int:
+    """Tokens of body[s:e], cut at word edges, when it stands alone; ``n`` in the text.
+
+    Only a run of blanks at the end reads otherwise then: as one word.
+    """
+    if e == len(body) or body[e - 1] not in _BLANKS + _WIDE_BLANKS:
+        return n
+    tail = body[s:e]
+    run = len(tail) - len(tail.rstrip(_BLANKS))
+    k = int(np.searchsorted(edges, e - run))
+    if tail[len(tail) - run - 1 : len(tail) - run] in [bytes([b]) for b in _WIDE_BLANKS] or edges[k] != e - run:
+        return _count(tail, coder)
+    if run < 2:
+        return n
+    return n - int(before[np.searchsorted(edges, e)] - before[k]) + len(coder.ids(body[e - run : e]))
+
+
+def _count(piece: bytes, coder: Coder) -> int:
+    return int(coder.encode(split(pa.array([piece.decode("utf-8")])))[0].sum())
 
 
 def pieces(text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndarray, coder: Coder, limit: int, overlap: int) -> list[tuple[int, int, int]]:
@@ -140,7 +161,7 @@ def pieces(text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndar
     if n <= limit:
         return [(0, len(text), n)]
     places, tokens, strong = units(text, edges, counts, ids, coder.vocabulary)
-    at_word = strong != INSIDE
+    body, before, inside = text.tobytes(), np.concatenate([[0], np.cumsum(counts)]), strong == INSIDE
     for extra in range(n):
         found = cut(tokens, strong, limit, overlap, extra)
         if found is None:
@@ -148,9 +169,7 @@ def pieces(text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndar
         out = []
         for a, b in found:
             s, e, m = int(places[a]), int(places[b]), int(tokens[b] - tokens[a])
-            # words at the ends of a piece read otherwise when cut inside, or when a run of blanks ends there
-            if not (at_word[a] and at_word[b]) or e < len(text) and text[e - 1] in b" \t\r\n\x0b\x0c\x80\x85\x8a\xa0\xa8\xa9\xaf\x9f":
-                m = int(coder.encode(split(pa.array([text[s:e].tobytes().decode("utf-8")])))[0].sum())
+            m = _count(body[s:e], coder) if inside[a] or inside[b] else _alone(body, edges, before, s, e, m, coder)
             if m > limit:
                 break
             out.append((s, e, m))
