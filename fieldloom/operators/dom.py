@@ -100,6 +100,9 @@ class _Builder(HTMLParser):
             x = x.parent
         if x is not None and x.parent is not None:
             self.at = x.parent
+        elif tag == "p":  # a paragraph's end without one is an empty paragraph
+            self.handle_starttag("p", [])
+            self.at = self.at.parent
 
     def handle_data(self, data: str) -> None:
         kids = self.at.children

@@ -74,7 +74,7 @@ def explode_feeds(df: DataFrame, keep: list[str], text: str) -> DataFrame:
 
 def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(source_file, record_no, raw_json, error) of feed files. A feed file is one page's or country's records and is read whole by one task."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
     return explode_feeds(files, ["source_file"], "value")
 
 
