@@ -26,8 +26,9 @@ SECTIONS = ("Airport Details", "Additional Airport Details")
 TYPES = ("string", "number", "boolean", "object", "list")
 #: A field exists in a file if at least one in so many of its records holds it.
 EXISTS_IN = 5
-#: Least share of records in both files whose content must be the same for a rename.
-SAME_CONTENT = 0.8
+#: Least share of pages in both files whose content must be the same for a rename, and least sum of that agreement beyond
+#: chance (1 for full agreement, 0 for what the values' frequencies make likely) and the flooding's score.
+SAME_CONTENT, EVIDENCE = 0.6, 0.6
 
 _KIND = {str: "string", int: "number", float: "number", bool: "boolean", dict: "object", list: "list"}
 
@@ -242,8 +243,9 @@ def changes(held: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(feed, section, kind, old_name, new_name): every change of each file against the one before it in its series.
 
     ``held`` should be materialised, since schemas and contents are taken from it separately. A rename must hold the same
-    content in at least SAME_CONTENT of the pages that are in both files with a value under either name; without such a
-    page it is a removal and an addition. A file without records compares as one without fields.
+    content in at least SAME_CONTENT of the pages that are in both files with a value under either name, and reach EVIDENCE,
+    so that two flags that agree often by chance are no rename; without such a page it is a removal and an addition. A
+    file without records compares as one without fields.
     """
     kind = pairs.schema["feed"].dataType.simpleString()
     known = schemas(held, sizes)
@@ -257,7 +259,11 @@ def changes(held: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
     side = lambda feed, name: per_page(feed, name).join(wanted(feed, name), [feed, "section", name], "left_semi")
     both = match.join(side("before", "old_name"), ["before", "section", "old_name"]).join(side("feed", "new_name"), ["feed", "section", "new_name", "page"])
     same = (F.col("old_name_c.whole") == F.col("new_name_c.whole")) | ((F.col("old_name_c.type") != F.col("new_name_c.type")) & (F.col("old_name_c.leaf") == F.col("new_name_c.leaf")))
-    checked = both.groupBy("feed", "section", "old_name", "new_name", "score").agg(F.avg(same.cast("double")).alias("share")).where(F.col("share") >= SAME_CONTENT)
+    match_key = ["feed", "section", "old_name", "new_name", "score"]
+    by_value = both.groupBy(*match_key, F.col("old_name_c.leaf").alias("leaf")).agg(F.count(F.lit(1)).alias("n"), F.sum(same.cast("long")).alias("agree"))
+    agreed = by_value.groupBy(*match_key).agg((F.sum("agree") / F.sum("n")).alias("share"), (F.sum(F.col("n") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance"))
+    beyond = F.when(F.col("share") == 1, 1.0).when(F.col("chance") < 1, (F.col("share") - F.col("chance")) / (1 - F.col("chance"))).otherwise(0.0)
+    checked = agreed.where((F.col("share") >= SAME_CONTENT) & (beyond + F.col("score") >= EVIDENCE))
     matches = checked.groupBy("feed").agg(F.collect_list(F.struct("section", "old_name", "new_name", "score", "share")).alias("matches"))
     plain = found.where("kind <> 'match'").groupBy("feed").agg(F.collect_list(F.struct("section", "kind", "old_name", "new_name")).alias("changes"))
     return plain.join(matches, "feed", "left").mapInArrow(_select_pass, f"feed {kind}, section string, kind string, old_name string, new_name string")

@@ -42,7 +42,10 @@ def parallelism(spark: SparkSession) -> int:
 def spread(df: DataFrame) -> DataFrame:
     """A scanned table in at least as many partitions as there are cores, before a pass that computes much per row.
 
-    Only a table of fewer, larger splits is shuffled; a large one has its splits already and stays as it is.
+    Only a table of fewer, larger splits is shuffled; a large one has its splits already and stays as it is, and so does
+    what a shuffle made, whose partitions can't be counted without running it.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
