@@ -35,7 +35,7 @@ def page_code(link: Column) -> Column:
 
 
 _PY_CODE, _PY_BARE = re.compile(_CODE), re.compile(_BARE)
-_PY_BLANK = re.compile("[\\s­​-‏‪-‮⁠-⁤﻿]+")
+_PY_BLANK = re.compile(r"[\s\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]+")
 
 
 def page_code_of(link: object) -> str | None:

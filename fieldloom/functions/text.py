@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: The no-break blank, and characters that show nothing.
-NBSP = " "
+NBSP = "\u00a0"
 INVISIBLE = "[\\u00ad\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufeff]"
 
 

@@ -29,7 +29,7 @@ def parse(text: str | None) -> object:
     """The JSON value of a text; ValueError where it is none. Nesting deeper than the parser's stack is such a case."""
     if text is None:
         raise ValueError("null")
-    body = text.strip(" \t\r\n﻿")
+    body = text.strip(" \t\r\n\ufeff")
     try:
         value, end = _SCAN.raw_decode(body)
     except RecursionError:

@@ -44,7 +44,7 @@ def feed_records(text: str | None) -> Iterator[str]:
     """
     at, body = 0, text or ""
     while True:
-        while at < len(body) and body[at] in " \t\r\n﻿,":
+        while at < len(body) and body[at] in " \t\r\n\ufeff,":
             at += 1
         if at == len(body):
             return
