@@ -20,13 +20,15 @@ def _unfold(text: str) -> str:
 
 _NODES = f"""
 WITH RECURSIVE t AS (
-  SELECT item_id, '' AS parent_path, '' AS node_path, '' AS shape, raw_json::JSON AS v FROM airport_items WHERE json_valid(raw_json)
+  SELECT item_id, '' AS parent_path, '' AS node_path, '' AS shape, '' AS dewey, '' AS parent_dewey, raw_json::JSON AS v FROM airport_items WHERE json_valid(raw_json)
   UNION ALL
-  SELECT item_id, parent_path, node_path, shape, CASE WHEN json_type(w) = 'VARCHAR' THEN {_unfold("(w ->> '$')")} ELSE w END AS v
+  SELECT item_id, parent_path, node_path, shape, dewey, parent_dewey, CASE WHEN json_type(w) = 'VARCHAR' THEN {_unfold("(w ->> '$')")} ELSE w END AS v
   FROM (
     SELECT t.item_id, CASE WHEN json_type(t.v) = 'OBJECT' THEN t.node_path ELSE t.parent_path END AS parent_path,
       CASE WHEN t.node_path = '' THEN e.key ELSE t.node_path || '/' || e.key END AS node_path,
       CASE WHEN json_type(t.v) = 'ARRAY' THEN t.shape || '[]' WHEN t.shape = '' THEN replace(e.key, '/', '~1') ELSE t.shape || '/' || replace(e.key, '/', '~1') END AS shape,
+      CASE WHEN t.dewey = '' THEN '' ELSE t.dewey || '.' END || CASE WHEN json_type(t.v) = 'OBJECT' THEN (list_position(json_keys(t.v), e.key) - 1)::VARCHAR ELSE e.key END AS dewey,
+      CASE WHEN json_type(t.v) = 'OBJECT' THEN t.dewey ELSE t.parent_dewey END AS parent_dewey,
       e.value AS w
     FROM t, json_each(t.v) e WHERE json_type(t.v) IN ('OBJECT', 'ARRAY')
   )
@@ -67,9 +69,18 @@ def _profile(c: str) -> str:
     return f"SELECT '{c}' AS column_name, load_no, count(*)::BIGINT AS n_rows, (count(*) FILTER ({c} IS NULL OR {_strip(text)} IN ('', 'N/A')))::BIGINT AS n_missing, min({text}) AS low, max({text}) AS high FROM detail_rows GROUP BY load_no"
 
 
+def _plain(c: str) -> str:
+    """Whether a field isn't itself the text of an object or list, which would be a row of its own."""
+    return f"NOT (json_type(v -> '$.{c}') = 'VARCHAR' AND regexp_matches(v ->> '$.{c}', '^[ \\t\\r\\n]*[\\[{{]') AND json_valid(v ->> '$.{c}'))"
+
+
 SQL = {
     "p1_found": f"{_NODES} SELECT item_id, parent_path, node_path FROM t WHERE node_path <> '' AND json_type(v) = 'OBJECT'",
     "p1_tables": f"{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records FROM t WHERE json_type(v) = 'OBJECT' GROUP BY shape",
+    "p1_details": f"""{_NODES} SELECT item_id, dewey, parent_dewey, {", ".join(f"CASE WHEN json_type(v -> '$.{c}') NOT IN ('OBJECT', 'ARRAY') AND {_plain(c)} THEN v ->> '$.{c}' END AS {c.lower()}" for c in ("Name", "City", "Country", "Link", "ICAO", "IATA"))}
+FROM t WHERE json_type(v) = 'OBJECT' AND shape = 'Airport Details'""",
+    "p1_entries": f"""{_NODES} SELECT item_id, dewey, parent_dewey, v ->> '$.Key' AS entry_key, CASE WHEN json_type(v -> '$.Value') NOT IN ('OBJECT', 'ARRAY') AND {_plain('Value')} THEN v ->> '$.Value' END AS entry_value
+FROM t WHERE json_type(v) = 'OBJECT' AND shape = 'Additional Airport Details[]/Entries[]'""",
     "p3_found": f"""
 WITH r AS (
   SELECT 'link_rows' AS table_name, row_id AS id, {_code('airport_link')} AS code FROM link_rows
