@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import spread
 
-NODES = "dewey string, up int, node_path string, cut int, schema_path string, fields map<string,string>"
+NODES = "dewey string, up int, node_path string, cut int, schema_path string, fields map<string,string>, element boolean, value string"
 
 _SCAN = json.JSONDecoder(strict=False)
 #: Numbers beyond the interpreter's digits stay text.
@@ -60,9 +60,10 @@ def json_text(value: object) -> str | None:
 
 
 def objects(root: object, values: bool) -> Iterator[tuple]:
-    """(dewey, up, node_path, cut, schema_path, fields) of each object, the root's own included.
+    """(dewey, up, node_path, cut, schema_path, fields, element, value) of each object, the root's own included, and with ``values`` of each scalar in a list.
 
-    up: how many ordinals lie between the object and the nearest object around it; cut: the length of that object's
+    element: whether it is such a scalar, which has its text as value, no fields, and the path and label of its place in
+    the list; a JSON null in a list is one with a null value. up: how many ordinals lie between the object and the nearest object around it; cut: the length of that object's
     node_path. Iterative, so depth is bounded by memory only.
     """
     root = unfold(root)
@@ -83,20 +84,22 @@ def objects(root: object, values: bool) -> Iterator[tuple]:
                     stack.append((f"{dot}{i}", 1, slash + name, len(path), edge + label, value))
                 elif values:
                     fields[name] = json_text(value)
-            yield dewey, up, path, cut, shape, fields
+            yield dewey, up, path, cut, shape, fields, False, None
         elif type(node) is list:
             shape += "[]"
             for i, value in enumerate(node):
                 value = unfold(value)
                 if type(value) is dict or type(value) is list:
                     stack.append((f"{dot}{i}", up + 1, f"{slash}{i}", cut, shape, value))
+                elif values:
+                    yield f"{dot}{i}", up + 1, f"{slash}{i}", cut, shape, None, True, json_text(value)
 
 
 def flatten(df: DataFrame, key: str, record: str, values: bool = True) -> DataFrame:
-    """Nodes: one row per JSON object of each record, as ``key``, NODES and ``error``.
+    """Nodes: one row per JSON object of each record, and with ``values`` one per scalar in a list, as ``key``, NODES and ``error``.
 
-    The root of a record has dewey and node_path ``''``. fields: its scalars by name, null where ``values`` is off; lists
-    of scalars have no object and hence no row. A null record, or a text that isn't one JSON value, comes out as one row
+    The root of a record has dewey and node_path ``''``. fields: an object's scalars by name, null where ``values`` is off.
+    A scalar in a list belongs to no object's fields: its row has ``element`` true and its text as ``value``. A null record, or a text that isn't one JSON value, comes out as one row
     with null labels and the reason in ``error``; a record that is a scalar gives no row. Other columns of ``df`` are
     not read, so their names can't clash. Rows that stand twice come out twice.
     """
@@ -114,13 +117,13 @@ def flatten(df: DataFrame, key: str, record: str, values: bool = True) -> DataFr
                         rows += [(*x, None) for x in found]
                     except ValueError as e:
                         found = [()]
-                        rows.append((None,) * 6 + (str(e)[:200],))
+                        rows.append((None,) * 8 + (str(e)[:200],))
                     own += [i] * len(found)
-                cols = list(zip(*rows)) or [()] * 7
+                cols = list(zip(*rows)) or [()] * 9
                 fields = [None if m is None else list(m.items()) for m in cols[5]]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(own, pa.int64())), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.string()), pa.array(fields, typed), pa.array(cols[6], pa.string())],
-                    names=["key", "dewey", "up", "node_path", "cut", "schema_path", "fields", "error"],
+                    [keys.take(pa.array(own, pa.int64())), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.string()), pa.array(fields, typed), pa.array(cols[6], pa.bool_()), pa.array(cols[7], pa.string()), pa.array(cols[8], pa.string())],
+                    names=["key", "dewey", "up", "node_path", "cut", "schema_path", "fields", "element", "value", "error"],
                 )
 
     out = spread(df.select(F.col(key).alias("key"), F.col(record).cast("string").alias("record"))).mapInArrow(run, f"key {kind}, {NODES}, error string")
@@ -140,7 +143,7 @@ def parent_dewey() -> Column:
 
 def links(nodes: DataFrame, key: str) -> DataFrame:
     """Each object below a record's root with the object it is nested in."""
-    return nodes.where("dewey <> ''").select(key, parent_path().alias("parent_path"), "node_path")
+    return nodes.where("dewey <> '' and not element").select(key, parent_path().alias("parent_path"), "node_path")
 
 
 def table_at(nodes: DataFrame, key: str, schema_path: str, columns: list[str]) -> DataFrame:
@@ -150,11 +153,16 @@ def table_at(nodes: DataFrame, key: str, schema_path: str, columns: list[str]) -
     gets ``_`` appended.
     """
     taken = {key, "dewey", "parent_dewey"}
-    return nodes.where(F.col("schema_path") == schema_path).select(
+    return nodes.where((F.col("schema_path") == schema_path) & ~F.col("element")).select(
         key, "dewey", parent_dewey().alias("parent_dewey"), *[F.col("fields").getItem(c).alias(c + "_" * (c in taken)) for c in columns]
     )
 
 
+def list_values(nodes: DataFrame, key: str) -> DataFrame:
+    """The child table of lists: each scalar in one, with the label of its place, that of the object around the list, and the list's schema path. Nodes must be flattened with values."""
+    return nodes.where("element").select(key, "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "value")
+
+
 def write_tables(nodes: DataFrame, path: str) -> None:
-    """All tables of ``nodes`` in one pass, a folder for each schema path; their number is that of the schema's objects."""
+    """All tables of ``nodes`` in one pass, a folder for each schema path; their number is that of the schema's objects and lists of scalars."""
     nodes.where("error is null").withColumn("parent_dewey", parent_dewey()).write.mode("overwrite").partitionBy("schema_path").parquet(path)

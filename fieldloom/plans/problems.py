@@ -26,17 +26,22 @@ def p1_tables(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_details(spark: SparkSession, d: str) -> DataFrame:
-    """The flat table of Airport Details, with the link to its record."""
+    """The flat table of Airport Details, with the link to its record. A cell written as a list is null here, as in the SQL; its scalars are rows of p1_values."""
     out = nested.table_at(_nodes(spark, d, True), "item_id", "Airport Details", ["Name", "City", "Country", "Link", "ICAO", "IATA"])
     return out.toDF("item_id", "dewey", "parent_dewey", "name", "city", "country", "link", "icao", "iata")
 
 
 def p1_entries(spark: SparkSession, d: str) -> DataFrame:
-    """The entries of grouped Additional Airport Details, each with the label of its group."""
+    """The entries of grouped Additional Airport Details, each with the label of its group. A Value written as a list is null here, as in the SQL; its scalars are rows of p1_values."""
     out = nested.table_at(_nodes(spark, d, True), "item_id", "Additional Airport Details[]/Entries[]", ["Key", "Value"])
     return out.toDF("item_id", "dewey", "parent_dewey", "entry_key", "entry_value")
 
 
+def p1_values(spark: SparkSession, d: str) -> DataFrame:
+    """The scalars in lists, which are no object's fields: ``["HMUB"]`` under Airport Details/ICAO is one row of 'Airport Details/ICAO[]'."""
+    return nested.list_values(_nodes(spark, d, True), "item_id")
+
+
 def _drift(spark: SparkSession, d: str, values: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     items, files = table(spark, d, "airport_items"), table(spark, d, "feed_files")
     held = materialize(drift.held_fields(items, "feed_id", "raw_json", values, "item_id" if values else None), "held")
@@ -104,4 +109,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_profile, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_profile, p5_footers)}

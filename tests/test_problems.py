@@ -57,6 +57,16 @@ def test_flat_tables(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == nodes.count()
 
 
+def test_scalars_in_lists_are_kept(spark, tmp_path):
+    record = {"D": {"I": ["HMUB"], "M": json.dumps(["1", 2, None, {"a": 1}, [True]]), "Z": []}}
+    nodes = nested.flatten(spark.createDataFrame([(1, json.dumps(record)), (2, "[7]")], "id int, j string"), "id", "j")
+    want = [(1, "0.0.0", "0", "D/I[]", "HMUB"), (1, "0.1.0", "0", "D/M[]", "1"), (1, "0.1.1", "0", "D/M[]", "2"), (1, "0.1.2", "0", "D/M[]", None), (1, "0.1.4.0", "0", "D/M[][]", "true"), (2, "0", "", "[]", "7")]
+    assert rows(nested.list_values(nodes, "id")) == sorted(want, key=repr)
+    assert rows(nested.links(nodes, "id")) == [(1, "", "D"), (1, "D", "D/M/3")] and nested.table_at(nodes, "id", "D/M[]", ["a"]).count() == 1
+    nested.write_tables(nodes, str(tmp_path / "t"))
+    assert {(r["schema_path"], r["value"]) for r in spark.read.parquet(str(tmp_path / "t")).where("element").collect()} == {(w[3], w[4]) for w in want}
+
+
 # ---- drift
 
 
