@@ -25,7 +25,7 @@ PATTERNS: dict[str, str | tuple[str, ...]] = {
 }
 #: Cells that stand for a missing value, stripped.
 MISSING = ("", "N/A")
-#: Sets of columns to scan that are read apart from each other; further ones are merged.
+#: Sets of columns to scan that are read apart from each other; files with further ones are read column by column.
 SCANS = 6
 
 
@@ -53,17 +53,20 @@ def _plan(stats: DataFrame, load: str, settled: Column) -> tuple[DataFrame, Data
 
 
 def _scans(spark: SparkSession, path: str, plan: DataFrame) -> list[tuple[list[str], DataFrame]]:
-    """(columns, table of those files that need exactly them). What comes to the driver is a row per file, as a file listing does."""
+    """(columns, table of files that need them): each file is read once for every column it needs, and for no other, since its settled ones count from footers.
+
+    There are at most SCANS and a scan for each column. What comes to the driver is a row per file, as a file listing does.
+    """
     need = plan.where("not settled").groupBy("file").agg(F.array_sort(F.collect_list("column")).alias("columns")).collect()
     by: dict[tuple, list[str]] = defaultdict(list)
     for r in need:
         by[tuple(r["columns"])].append(r["file"])
     kept = sorted(by, key=lambda k: -len(by[k]))
     if len(kept) > SCANS:
-        rest = kept[SCANS - 1 :]
-        every = tuple(sorted({c for k in rest for c in k}))
-        files = [f for k in rest for f in by[k]] + (by[every] if every in kept[: SCANS - 1] else [])
-        by = {k: by[k] for k in kept[: SCANS - 1] if k != every} | {every: files}
+        rest = {k: by.pop(k) for k in kept[SCANS - 1 :]}
+        for k, files in rest.items():
+            for c in k:
+                by[c,].extend(files)
     schema = spark.read.parquet(path).schema
     return [(list(k), spark.read.schema(schema).parquet(*files)) for k, files in by.items()]
 

@@ -284,6 +284,30 @@ def test_profile_from_footers_and_scan(spark, detail_table):
     assert footers["customs"]["with_dictionary"] == footers["customs"]["chunks"]
 
 
+def test_more_column_sets_than_scans(spark, tmp_path):
+    """A file for each set of open columns, one of them twice; what is settled counts from footers only. Written as loads come, each in its own file."""
+    path, data, cols = str(tmp_path / "detail_rows.parquet"), [], list(profile.PATTERNS)
+    once, mixed = {"airport_light_intensity": "low", "customs": "Yes", "icao": "ab1"}, {"airport_light_intensity": ["LOW", "hi"], "customs": ["No", ""], "icao": ["ABCD", "N/A"]}
+    for load in range(1, 10):
+        own = [(load * 100 + i, load, *(mixed[c][i % 2] if load >> k & 1 else once[c] for k, c in enumerate(cols))) for i in range(10)]
+        spark.createDataFrame(own, "detail_id bigint, load_no int, airport_light_intensity string, customs string, icao string").coalesce(1).write.mode("append").parquet(path)
+        data += own
+    assert len({load & 7 for load in range(1, 10)} - {0}) > profile.SCANS
+    checked = profile.checks(spark, path, profile.PATTERNS, "load_no", "detail_id")
+    assert rows(checked.cells) == sorted([(c, r[1], r[0]) for r in data for c, v in zip(cols, r[2:]) if v in ("low", "hi", "ab1")], key=repr)
+    assert {(r["column_name"], r["load_no"]): r["s"] for r in checked.shares.groupBy("column_name", "load_no").agg(F.sum("n").alias("s")).collect()} == {(c, load): 10 for c in cols for load in range(1, 10)}
+
+
+def test_profile_of_more_column_sets_than_scans(spark, tmp_path):
+    path, cols, missing = str(tmp_path / "t.parquet"), ["a", "b", "c"], {}
+    for load in range(1, 9):
+        own = [(load, *(f"{c}{i % 4}" if load >> k & 1 == 0 or i else "N/A" for k, c in enumerate(cols))) for i in range(80)]
+        missing |= {(c, load): load >> k & 1 for k, c in enumerate(cols)}
+        spark.createDataFrame(own, "load_no int, a string, b string, c string").coalesce(1).write.mode("append").parquet(path)
+    got = {(r["column_name"], r["load_no"]): (r["n_rows"], r["n_missing"]) for r in profile.profile(spark, path, "load_no").collect()}
+    assert got == {k: (80, n) for k, n in missing.items()}
+
+
 def test_dictionaries_hold_all_values(spark, detail_table, tmp_path):
     import pandas as pd
 
