@@ -18,11 +18,27 @@ from ..session import materialize
 from ..sources.footers import chunks
 
 #: What a cell of each column may be.
-PATTERNS: dict[str, str | tuple[str, ...]] = {
+PATTERNS: dict[str, str | tuple[str, ...] | None] = {
     "airport_light_intensity": ("NO LIGHT", "LOW", "MEDIUM", "HIGH", "LOW-HIGH", "PILOT CONTROLLED"),
     "customs": ("Yes", "No", "On Request", "Prior Notice"),
     "icao": "[A-Z]{4}",
 }
+#: The same for all columns of content; None for free text, where each cell that isn't missing is valid. Elevations end below 30,000 feet.
+ALL_PATTERNS: dict[str, str | tuple[str, ...] | None] = PATTERNS | {
+    "loaded_at": None,
+    "airport_link": r"https?://[^/\s]+/Field-Info/\S+-[a-z0-9]{10}",
+    "airport_name": None,
+    "city": None,
+    "country": None,
+    "iata": "[A-Z]{3}",
+    "airport_of_entry": ("Yes", "No"),
+    "slots_required": ("Yes", "No"),
+    "open_24_hours": ("Yes", "No"),
+    "facility_use": ("Open to the Public", "Military", "Private"),
+    "distance_from_city": "[0-9]+ (?:KM|NM) (?:N|NNE|NE|ENE|E|ESE|SE|SSE|S|SSW|SW|WSW|W|WNW|NW|NNW)",
+    "variation": "[0-9]{2}[EW]",
+    "elevation_ft": "-?[0-9]{1,4}|[12][0-9]{4}",
+}
 #: Cells that stand for a missing value, stripped.
 MISSING = ("", "N/A")
 #: Sets of columns to scan that are read apart from each other; files with further ones are read column by column.
@@ -35,6 +51,8 @@ def is_missing(c: Column) -> Column:
 
 def is_valid(column: str, c: Column, patterns: dict) -> Column:
     p = patterns[column]
+    if p is None:
+        return F.lit(True)
     return c.rlike(rf"\A(?:{p})\z") if isinstance(p, str) else c.isin(*p)
 
 
@@ -72,7 +90,7 @@ def _scans(spark: SparkSession, path: str, plan: DataFrame) -> list[tuple[list[s
 
 
 def _classes(columns: list[str], patterns: dict) -> Column:
-    return F.array(*[F.struct(F.lit(c).alias("column_name"), cell_class(c, F.col(c), patterns).alias("class")) for c in columns])
+    return F.array(*[F.struct(F.lit(c).alias("column_name"), cell_class(c, F.col(c).cast("string"), patterns).alias("class")) for c in columns])
 
 
 class Checks(NamedTuple):
@@ -128,10 +146,12 @@ def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
 
 
 def profile(spark: SparkSession, path: str, load: str, distinct: bool = False) -> DataFrame:
-    """(column_name, load, n_rows, n_missing, low, high) of every column but ``load``, and n_distinct (a sketch's estimate) if asked.
+    """(column_name, load, n_rows, n_missing, low, high) of every column but ``load``, and n_distinct, exact, if asked.
 
-    Extrema are those of the non-null cells as text; null loads form a load. Chunks of one load whose footer has exact
-    nulls and extrema and whose dictionary holds no spelled-out missing value are settled, so are chunks of nulls only.
+    Extrema are those of the non-null cells as text, distinct values those of the non-null cells as written; null loads
+    form a load. Chunks of one load whose footer has exact nulls and extrema and whose dictionary holds no spelled-out
+    missing value are settled, so are chunks of nulls only; their dictionaries give their distinct values. Distinct
+    values of all other chunks are folded to one state a column, load and value before they are shuffled.
     """
     source = spark.read.parquet(path)
     texts = [f.name for f in source.schema if f.dataType.simpleString() == "string"]
@@ -141,30 +161,35 @@ def profile(spark: SparkSession, path: str, load: str, distinct: bool = False) -
     settled = (F.col("nulls") == F.col("n_rows")) | ((F.col("nulls") >= 0) & F.col("low").isNotNull() & F.col("candidates").isNotNull() & ~spelled)
     known, plan = _plan(stats, load, settled)
     kind = source.schema[load].dataType.simpleString()
-    sketch = [F.hll_sketch_agg("value").alias("sketch")] if distinct else []
     whole = known.join(plan.where("settled").select("file", "column"), ["file", "column"])
     told = whole.select(F.col("column").alias("column_name"), F.expr(f"cast(load as {kind})").alias(load), "n_rows", F.col("nulls").alias("n_missing"), "low", "high", "candidates")
-    parts = [told.groupBy("column_name", load).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing"), F.min("low").alias("low"), F.max("high").alias("high"))]
-    sketches = [told.select("column_name", load, F.explode("candidates").alias("value")).groupBy("column_name", load).agg(*sketch)] if distinct else []
+    of_parts = [F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing"), F.min("low").alias("low"), F.max("high").alias("high")]
+    parts = [told.groupBy("column_name", load).agg(*of_parts)]
+    # value states without rows of their own: those are counted from the footers
+    values = [told.select("column_name", load, F.explode("candidates").alias("value"), F.lit(0).cast("bigint").alias("n"))]
     others = [c for c in columns if c not in texts]
     scans = _scans(spark, path, plan) + ([(others, source)] if others else [])
     for cols, df in scans:
         text = lambda c: F.col(c) if c in texts else F.col(c).cast("string")
         cells = df.select(load, F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in cols])).alias("x")).select("x.column_name", load, "x.value")
-        parts.append(cells.groupBy("column_name", load).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(is_missing(F.col("value"))).alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high")))
         if distinct:
-            sketches.append(cells.groupBy("column_name", load).agg(*sketch))
+            values.append(cells.groupBy("column_name", load, "value").agg(F.count(F.lit(1)).alias("n")))
+        else:
+            parts.append(cells.groupBy("column_name", load).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(is_missing(F.col("value"))).alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high")))
+    if distinct:
+        folded = _union(values).groupBy("column_name", load, "value").agg(F.sum("n").alias("n"))
+        missing = F.sum(F.when(is_missing(F.col("value")), F.col("n")).otherwise(0))
+        parts = [parts[0].withColumn("n_distinct", F.lit(0).cast("bigint"))]
+        parts.append(folded.groupBy("column_name", load).agg(F.sum("n").alias("n_rows"), missing.alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n_distinct")))
+        of_parts.append(F.sum("n_distinct").alias("n_distinct"))
+    return _union(parts).groupBy("column_name", load).agg(*of_parts)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    out = out.groupBy("column_name", load).agg(F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing"), F.min("low").alias("low"), F.max("high").alias("high"))
-    if not distinct:
-        return out
-    sk = sketches[0]
-    for s in sketches[1:]:
-        sk = sk.unionByName(s)
-    est = sk.groupBy(F.col("column_name").alias("c"), F.col(load).alias("l")).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"))
-    return out.join(est, (F.col("column_name") == F.col("c")) & F.col(load).eqNullSafe(F.col("l")), "left").drop("c", "l")
+    return out
 
 
 def table_profile(spark: SparkSession, path: str) -> DataFrame:

@@ -92,21 +92,35 @@ def p4_summary(spark: SparkSession, d: str) -> DataFrame:
     return named.groupBy(F.col("name").alias("country")).agg(F.sum("n").alias("n_rows"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("no_link").alias("no_link"))
 
 
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    checked = profile.checks(spark, f"{d}/detail_rows.parquet", profile.PATTERNS, "load_no", "detail_id")
+def _p5_cases(spark: SparkSession, d: str, patterns: dict) -> DataFrame:
+    checked = profile.checks(spark, f"{d}/detail_rows.parquet", patterns, "load_no", "detail_id")
     cells = checked.cells.select(F.lit("cell").alias("case_kind"), "column_name", F.col("load_no").cast("int").alias("load_no"), "detail_id")
     shifts = profile.shifts(checked.shares, "load_no", 0.15).select(F.lit("shift").alias("case_kind"), "column_name", F.col("load_no").cast("int").alias("load_no"), F.lit(0).cast("bigint").alias("detail_id"))
     return cells.unionByName(shifts)
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _p5_cases(spark, d, profile.PATTERNS)
+
+
+def p5_cases(spark: SparkSession, d: str) -> DataFrame:
+    """What p5_found gives for three columns, for every column but the row's id and the load."""
+    return _p5_cases(spark, d, profile.ALL_PATTERNS)
+
+
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Every column by load: rows, missing share, distinct values, range."""
+    """Every column by load: rows, missing cells, range as text; p5_columns has the distinct values too."""
     return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no")
 
 
+def p5_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Every column by load: rows, missing cells, range, distinct values (exact)."""
+    return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no", True)
+
+
 def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     """What the files' footers and dictionaries tell of each column without reading a data page."""
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_profile, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}

@@ -308,6 +308,34 @@ def test_profile_of_more_column_sets_than_scans(spark, tmp_path):
     assert got == {k: (80, n) for k, n in missing.items()}
 
 
+def test_distinct_values_are_exact(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    data = [(1, i, f"v{i % 3000}", "x" if i % 2 else "y", "N/A" if i % 3 else None) for i in range(6000)] + [(2, i, "w", "z" * (1 + i % 3), "q") for i in range(100)]
+    for load in (1, 2):
+        spark.createDataFrame([r for r in data if r[0] == load], "load_no int, n bigint, a string, b string, c string").coalesce(1).write.mode("append").parquet(path)
+    got = {(r["column_name"], r["load_no"]): tuple(r)[2:] for r in profile.profile(spark, path, "load_no", True).collect()}
+    for k, name in enumerate(["n", "a", "b", "c"], 1):
+        for load in (1, 2):
+            cells = [r[k] if r[k] is None else str(r[k]) for r in data if r[0] == load]
+            there = {c for c in cells if c is not None}
+            assert got[name, load] == (len(cells), sum(c in (None, "N/A") for c in cells), min(there), max(there), len(there))
+
+
+def test_cases_of_all_columns(spark, tmp_path):
+    from fieldloom.plans import problems
+
+    names = ["airport_link", "airport_name", "city", "country", "icao", "iata", "airport_light_intensity", "customs", "airport_of_entry", "slots_required", "open_24_hours", "facility_use", "distance_from_city", "variation", "elevation_ft"]
+    good = ["https://h/Field-Info/a-b-TRUD-d7xpm2arvx", "n", "c", "X", "ABCD", "ABC", "LOW", "Yes", "No", "No", "Yes", "Private", "8 KM NNE", "01W", "-12"]
+    odd = {"iata": "AB1", "slots_required": "Y", "elevation_ft": "99999", "variation": "1W", "distance_from_city": "8 MI N", "facility_use": "?", "airport_link": "/x", "open_24_hours": "yes", "airport_of_entry": "-", "customs": "Maybe"}
+    data = [(load * 100 + i, load, *good) for load in (1, 2) for i in range(40)]
+    bad = [(300 + i, 2, *(v if c == name else g for c, g in zip(names, good))) for i, (name, v) in enumerate(odd.items())]
+    moved = [(400 + i, 3, *(("Z" if i % 2 else None) if c in ("country", "city") else g for c, g in zip(names, good))) for i in range(40)]
+    spark.createDataFrame(data + bad + moved, "detail_id bigint, load_no int, " + ", ".join(f"{c} string" for c in names)).selectExpr("*", "timestamp_ntz'2024-01-01 00:00:00' as loaded_at").coalesce(1).write.parquet(str(tmp_path / "detail_rows.parquet"))
+    want = [("cell", c, 2, 300 + i) for i, c in enumerate(odd)] + [("shift", "city", 3, 0), ("shift", "country", 3, 0)]
+    assert rows(problems.p5_cases(spark, str(tmp_path))) == sorted(want, key=repr)
+    assert {r["n_distinct"] for r in problems.p5_columns(spark, str(tmp_path)).where("column_name = 'iata' and load_no = 2").collect()} == {2}
+
+
 def test_dictionaries_hold_all_values(spark, detail_table, tmp_path):
     import pandas as pd
 
