@@ -158,6 +158,11 @@ def table_at(nodes: DataFrame, key: str, schema_path: str, columns: list[str]) -
     )
 
 
+def all_objects(nodes: DataFrame, key: str) -> DataFrame:
+    """Every object of every table with its labels, schema path and all of its scalar fields by name. Nodes must be flattened with values."""
+    return nodes.where("not element").select(key, "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "fields")
+
+
 def list_values(nodes: DataFrame, key: str) -> DataFrame:
     """The child table of lists: each scalar in one, with the label of its place, that of the object around the list, and the list's schema path. Nodes must be flattened with values."""
     return nodes.where("element").select(key, "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "value")

@@ -37,6 +37,11 @@ def p1_entries(spark: SparkSession, d: str) -> DataFrame:
     return out.toDF("item_id", "dewey", "parent_dewey", "entry_key", "entry_value")
 
 
+def p1_objects(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of all flat tables with all their fields, under whatever names, in whatever form a section has; the record itself has dewey ``''``."""
+    return nested.all_objects(_nodes(spark, d, True), "item_id")
+
+
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """The scalars in lists, which are no object's fields: ``["HMUB"]`` under Airport Details/ICAO is one row of 'Airport Details/ICAO[]'."""
     return nested.list_values(_nodes(spark, d, True), "item_id")
@@ -123,4 +128,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}

@@ -67,6 +67,20 @@ def test_scalars_in_lists_are_kept(spark, tmp_path):
     assert {(r["schema_path"], r["value"]) for r in spark.read.parquet(str(tmp_path / "t")).where("element").collect()} == {(w[3], w[4]) for w in want}
 
 
+def test_all_objects_with_all_fields(spark, tmp_path):
+    from fieldloom.plans import problems
+
+    more = {"Customs": "Yes", "Fuel": {"Min": 1}}
+    listed = [None, {"Group": "g", "Entries": [{"Key": "k", "Value": "v", "Remarks": "r"}, {"Key": "q", "Value": {"u": None}}]}]
+    data = [(1, json.dumps({"id": 7, "Airport Details": json.dumps({"FIR": "x", "Nation": ""}), "Additional Airport Details": more})), (2, json.dumps({"Additional Airport Details": listed})), (3, "no json")]
+    spark.createDataFrame(data, "item_id bigint, raw_json string").write.parquet(str(tmp_path / "airport_items.parquet"))
+    a = "Additional Airport Details"
+    want = [(1, "", "", "", {"id": "7"}), (1, "1", "", "Airport Details", {"FIR": "x", "Nation": ""}), (1, "2", "", a, {"Customs": "Yes"}), (1, "2.1", "2", a + "/Fuel", {"Min": "1"}), (2, "", "", "", {})]
+    want += [(2, "0.1", "", a + "[]", {"Group": "g"}), (2, "0.1.1.0", "0.1", a + "[]/Entries[]", {"Key": "k", "Value": "v", "Remarks": "r"})]
+    want += [(2, "0.1.1.1", "0.1", a + "[]/Entries[]", {"Key": "q"}), (2, "0.1.1.1.1", "0.1.1.1", a + "[]/Entries[]/Value", {"u": None})]
+    assert rows(problems.p1_objects(spark, str(tmp_path))) == sorted(want, key=repr)
+
+
 # ---- drift
 
 
