@@ -145,10 +145,10 @@ def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
     return moved.join(both, ["column_name", "at"], "left_semi").select("column_name", F.col("at").alias(load)).distinct()
 
 
-def profile(spark: SparkSession, path: str, load: str, distinct: bool = False) -> DataFrame:
+def profile(spark: SparkSession, path: str, load: str, distinct: bool = False, typed: bool = False) -> DataFrame:
     """(column_name, load, n_rows, n_missing, low, high) of every column but ``load``, and n_distinct, exact, if asked.
 
-    Extrema are those of the non-null cells as text, distinct values those of the non-null cells as written; null loads
+    Extrema are those of the non-null cells as text, with ``typed`` those in the column's own order, written as text; distinct values those of the non-null cells as written; null loads
     form a load. Chunks of one load whose footer has exact nulls and extrema and whose dictionary holds no spelled-out
     missing value are settled, so are chunks of nulls only; their dictionaries give their distinct values. Distinct
     values of all other chunks are folded to one state a column, load and value before they are shuffled.
@@ -182,6 +182,14 @@ def profile(spark: SparkSession, path: str, load: str, distinct: bool = False) -
         parts = [parts[0].withColumn("n_distinct", F.lit(0).cast("bigint"))]
         parts.append(folded.groupBy("column_name", load).agg(F.sum("n").alias("n_rows"), missing.alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n_distinct")))
         of_parts.append(F.sum("n_distinct").alias("n_distinct"))
+    if typed and others:
+        none = F.lit(None).cast("string")
+        own = F.col("column_name").isin(*others)
+        parts = [p.withColumns({"low": F.when(own, none).otherwise(F.col("low")), "high": F.when(own, none).otherwise(F.col("high"))}) for p in parts]
+        ends = source.groupBy(load).agg(*[f(c).cast("string").alias(f"{k}_{i}") for i, c in enumerate(others) for k, f in (("low", F.min), ("high", F.max))])
+        zero = [F.lit(0).cast("bigint").alias(x) for x in ("n_rows", "n_missing", *(["n_distinct"] if distinct else []))]
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"low_{i}").alias("low"), F.col(f"high_{i}").alias("high")) for i, c in enumerate(others)]))
+        parts.append(ends.select(load, each.alias("x")).select("x.column_name", load, *zero, "x.low", "x.high"))
     return _union(parts).groupBy("column_name", load).agg(*of_parts)
 
 

@@ -114,13 +114,13 @@ def p5_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Every column by load: rows, missing cells, range as text; p5_columns has the distinct values too."""
+    """Every column by load: rows, missing cells, range as text (as in its SQL, so numbers are compared as text); p5_columns has ranges in the columns' own types and distinct values."""
     return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no")
 
 
 def p5_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Every column by load: rows, missing cells, range, distinct values (exact)."""
-    return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no", True)
+    """Every column by load: rows, missing cells, range in the column's own type, distinct values (exact)."""
+    return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no", True, True)
 
 
 def p5_footers(spark: SparkSession, d: str) -> DataFrame:

@@ -335,6 +335,15 @@ def test_distinct_values_are_exact(spark, tmp_path):
             assert got[name, load] == (len(cells), sum(c in (None, "N/A") for c in cells), min(there), max(there), len(there))
 
 
+def test_ranges_in_own_type(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    data = [(1, n, f"{n}") for n in (-5, -30, 9, 60000, 9999)] + [(2, None, None)]
+    spark.createDataFrame(data, "load_no int, n bigint, a string").write.parquet(path)
+    for distinct in (False, True):
+        got = {(r["column_name"], r["load_no"]): (r["n_rows"], r["n_missing"], r["low"], r["high"]) for r in profile.profile(spark, path, "load_no", distinct, True).collect()}
+        assert got == {("n", 1): (5, 0, "-30", "60000"), ("a", 1): (5, 0, "-30", "9999"), ("n", 2): (1, 1, None, None), ("a", 2): (1, 1, None, None)}
+
+
 def test_cases_of_all_columns(spark, tmp_path):
     from fieldloom.plans import problems
 
