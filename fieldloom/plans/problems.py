@@ -20,11 +20,17 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_tables(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of each flat table, and how many distinct parents they hang from."""
+    """Rows of each flat table, and in how many records they lie; p1_parents counts their parents."""
     nodes = _nodes(spark, d, False).where("error is null")
     return nodes.groupBy("schema_path").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_records"))
 
 
+def p1_parents(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each flat table, in how many records they lie, and how many distinct objects they are nested in; the records themselves hang from none."""
+    nodes = _nodes(spark, d, False).where("error is null").withColumn("parent", F.when(F.col("dewey") != "", nested.parent_dewey()))
+    return nodes.groupBy("schema_path").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_records"), F.countDistinct("item_id", "parent").alias("n_parents"))
+
+
 def p1_details(spark: SparkSession, d: str) -> DataFrame:
     """The flat table of Airport Details, with the link to its record. A cell written as a list is null here, as in the SQL; its scalars are rows of p1_values."""
     out = nested.table_at(_nodes(spark, d, True), "item_id", "Airport Details", ["Name", "City", "Country", "Link", "ICAO", "IATA"])
@@ -128,4 +134,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}

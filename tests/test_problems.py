@@ -67,6 +67,14 @@ def test_scalars_in_lists_are_kept(spark, tmp_path):
     assert {(r["schema_path"], r["value"]) for r in spark.read.parquet(str(tmp_path / "t")).where("element").collect()} == {(w[3], w[4]) for w in want}
 
 
+def test_parents_of_each_table(spark, tmp_path):
+    from fieldloom.plans import problems
+
+    data = [(1, '{"G":[{"E":[{},{}]},{"E":[{}]}]}'), (2, '{"G":[{"E":[{}]},{"E":[]}]}')]
+    spark.createDataFrame(data, "item_id bigint, raw_json string").write.parquet(str(tmp_path / "airport_items.parquet"))
+    assert rows(problems.p1_parents(spark, str(tmp_path))) == [("", 2, 2, 0), ("G[]", 4, 2, 2), ("G[]/E[]", 4, 2, 3)]
+
+
 def test_all_objects_with_all_fields(spark, tmp_path):
     from fieldloom.plans import problems
 
