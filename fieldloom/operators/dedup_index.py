@@ -33,7 +33,7 @@ SEGMENT_NODES = 100_000
 BLOCK_NODES = 2_048
 #: Shards of one size class are merged when there are so many.
 FAN = 4
-#: Nodes on either side that a search looks at before it widens; see tune_beam.
+#: Nodes on either side that a search looks at before it widens. A constant: tune_beam is not called by the queries.
 BEAM = 2
 
 
@@ -209,8 +209,8 @@ def duplicates(rows: DataFrame, segments: int, space: str = "space") -> DataFram
 class History:
     """The persistent index: shards in a folder, one for each accepted batch, and a manifest of those that count.
 
-    A shard is a table of graphs, one row for each segment and ring, so that a batch only opens the graphs its codes are
-    routed to, and no graph is built again. ``accept`` checks a batch and adds its shard, ``compact`` merges shards of
+    A shard is a table of graphs, one row for each segment and ring, so that no graph is built again. A batch only searches
+    the graphs its codes are routed to, but those of all shards are read and shuffled for it. ``accept`` checks a batch and adds its shard, ``compact`` merges shards of
     one size class. The manifest is replaced last, so that a lost job leaves the index as it was.
     """
 
