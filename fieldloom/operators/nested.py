@@ -64,7 +64,7 @@ def objects(root: object, values: bool) -> Iterator[tuple]:
 
     element: whether it is such a scalar, which has its text as value, no fields, and the path and label of its place in
     the list; a JSON null in a list is one with a null value. up: how many ordinals lie between the object and the nearest object around it; cut: the length of that object's
-    node_path. Iterative, so depth is bounded by memory only.
+    node_path. Iterative, so depth is bounded by that of the parser, see parse.
     """
     root = unfold(root)
     stack = [("", 0, "", 0, "", root)]
