@@ -1,15 +1,14 @@
 """Duplicates of each new batch against all history, by graph index shards.
 
-History is cut into segments by the routing prefix of a page code; in a segment every batch adds a shard, a navigable
-small-world graph. Two codes that differ in at most one place share their first or their last half, so each code has a
-node on two rings: one in the order of the code, one in that of the code turned by half. A ring's nodes are linked to
-their neighbours and, as in Kleinberg's construction, to nodes 2, 4, 8 ... places on. Greedy routing along these links
-takes O(log n) hops to the place of a query; a beam around it widens until it leaves the nodes that share the query's
-half; exact reranking keeps those at a Hamming distance of at most one. (A graph over Hamming distance itself can't be
-navigated here: random codes nearly all lie 9 or 10 places apart, so distances give a search no direction.)
-
-Searching takes one pass over a batch's distinct codes, whatever the history's number of rows; a page that holds a third
-of all rows is one node.
+The history is a folder of shards. Every accepted batch adds one: navigable small-world graphs (see ``smallworld``) of
+the pages it brought, cut into segments by a hash of the half of a code that leads in the graph's metric. A batch is
+routed by the same hash, so a task opens just the graphs of its own segment, straight from the shared folder: no graph
+and no earlier row is shuffled, and a small batch leaves all other segments unread. Shards of one size class are merged,
+so there are few; a merged shard has more segments, so that no graph outgrows its bound.
+
+Two codes that differ in one place share a half, so each page has a node in two graphs, one for either half leading.
+Only pages are nodes: a mistyped code is resolved to its page and needs none. A page that holds a third of all rows is
+one node and one query.
 """
 
 from __future__ import annotations
@@ -17,304 +16,273 @@ from __future__ import annotations
 import json
 import posixpath
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs as fs
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.links import CODE_LENGTH
-from ..session import materialize
-
-HALF = CODE_LENGTH // 2
-#: Nodes that a segment should hold; the number of segments follows the number of rows.
-SEGMENT_NODES = 100_000
-#: Arrival blocks in a replay join consecutive batches until they hold so many nodes, so that tiny feeds share a shard.
-BLOCK_NODES = 2_048
-#: Shards of one size class are merged when there are so many.
+from ..session import materialize, own_folder, parallelism, remove_at_end
+from .smallworld import HALF_CODES, Graph, turn
+
+#: Nodes that a graph holds on average at most; a shard has the power of two of segments that this takes.
+SEGMENT_NODES = 1 << 15
+#: Shards of one size class (a power of FAN) are merged when there are so many.
 FAN = 4
-#: Nodes on either side that a search looks at before it widens. A constant: tune_beam is not called by the queries.
-BEAM = 2
-
-
-class Ring:
-    """A navigable small-world graph on codes in ring order. keys: sorted, distinct; firsts: the first row of each."""
-
-    def __init__(self, keys: np.ndarray, firsts: np.ndarray, links: np.ndarray | None = None):
-        if links is None:
-            order = np.argsort(keys, kind="stable")
-            keys, firsts = keys[order], firsts[order]
-            n = len(keys)
-            spans = 1 << np.arange(max(1, int(n - 1).bit_length()), dtype=np.int64)
-            links = np.minimum(np.arange(n, dtype=np.int64)[None, :] + spans[:, None], n).astype(np.int32)
-        self.keys, self.firsts, self.links = keys, firsts, links
-
-    def __len__(self) -> int:
-        return len(self.keys)
-
-    def route(self, queries: np.ndarray) -> np.ndarray:
-        """Greedy search from the ring's first node: the last node not after each query, -1 where all are. Along the longest link that doesn't pass the query."""
-        at = np.zeros(len(queries), np.int32)
-        for hop in self.links[::-1]:
-            to = hop[at]
-            on = np.flatnonzero(to < len(self))
-            on = on[self.keys[to[on]] <= queries[on]]
-            at[on] = to[on]
-        return np.where(self.keys[at] <= queries, at, -1)
-
-    def search(self, queries: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) of all pairs that share the routing half and differ in at most one place."""
-        if not len(self) or not len(queries):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        own, halves = _bytes(self.keys), _bytes(queries)
-        centre = self.route(queries).astype(np.int64)
-        hits_q, hits_n = [], []
-        for way in (-1, 1):
-            live, step = np.arange(len(queries)), 0
-            while len(live):
-                reach = np.arange(step, step + beam) if way > 0 else -np.arange(step, step + beam)
-                to = centre[live][:, None] + reach + (way > 0)
-                inside = (to >= 0) & (to < len(self))
-                near = np.where(inside, to, 0)
-                differ = own[near] != halves[live][:, None, :]
-                same = inside & ~differ[:, :, :HALF].any(2)
-                q, k = np.nonzero(same & (differ.sum(2) <= 1))
-                hits_q.append(live[q])
-                hits_n.append(near[q, k])
-                live, step = live[same[:, -1]], step + beam  # the beam's edge is still in the half: widen
-        return np.concatenate(hits_q), np.concatenate(hits_n)
-
-    def exhaustive(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """What search finds, by comparing all: for tests and for tuning on a sample."""
-        differ = _bytes(self.keys)[None] != _bytes(queries)[:, None]
-        return np.nonzero(~differ[:, :, :HALF].any(2) & (differ.sum(2) <= 1))
-
-    @staticmethod
-    def merged(rings: list[Ring]) -> Ring:
-        """Compaction: one graph for several."""
-        return Ring(np.concatenate([r.keys for r in rings]), np.concatenate([r.firsts for r in rings]))
-
-
-def _bytes(keys: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(keys).view(np.uint8).reshape(len(keys), -1)
-
-
-def tune_beam(ring: Ring, queries: np.ndarray, beams: tuple[int, ...] = (1, 2, 4, 8)) -> int:
-    """The narrowest first beam of which at most a hundredth of the queries must widen; each is held against exhaustive search."""
-    exact = set(zip(*map(np.ndarray.tolist, ring.exhaustive(queries))))
-    halves = np.unique(_bytes(ring.keys)[:, :HALF], axis=0, return_counts=True)[1]
-    for beam in beams:
-        assert set(zip(*map(np.ndarray.tolist, ring.search(queries, beam)))) == exact
-        if np.mean(halves >= beam) <= 0.01:
-            return beam
-    return beams[-1]
-
-
-def compact(rings: list[Ring]) -> list[Ring]:
-    """Merges shards of one size class (a power of FAN) once there are FAN of them, smallest first: a query meets O(log n) shards, and a node is merged O(log n) times."""
-    size_class = lambda r: int(np.log(max(len(r), 1)) / np.log(FAN))
-    while True:
-        by: dict[int, list[Ring]] = {}
-        for r in rings:
-            by.setdefault(size_class(r), []).append(r)
-        full = next((c for c in sorted(by) if len(by[c]) >= FAN), None)
-        if full is None:
-            return rings
-        rings = [r for r in rings if size_class(r) != full] + [Ring.merged(by[full])]
-
-
-def replay(keys: np.ndarray, firsts: np.ndarray, batches: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(key, first row of an earlier node near it) as the batches of one segment arrive, each searched in the shards before it and in its own."""
-    order = np.lexsort((firsts, batches))
-    keys, firsts, batches = keys[order], firsts[order], batches[order]
-    edges = np.flatnonzero(np.diff(batches)) + 1
-    cuts = [0]
-    for e in edges:
-        if e - cuts[-1] >= BLOCK_NODES:
-            cuts.append(int(e))
-    cuts.append(len(keys))
-    shards: list[Ring] = []
-    for a, b in zip(cuts, cuts[1:]):
-        if a == b:
-            continue
-        own = Ring(keys[a:b], firsts[a:b])
-        for shard in [*shards, own]:
-            q, node = shard.search(keys[a:b])
-            earlier = shard.firsts[node] < firsts[a:b][q]
-            yield keys[a:b][q[earlier]], shard.firsts[node[earlier]]
-        shards = compact([*shards, own])
-
-
-def turn(keys: np.ndarray) -> np.ndarray:
-    """Codes turned by half, and back."""
-    b = _bytes(keys)
-    return np.ascontiguousarray(np.concatenate([b[:, HALF:], b[:, :HALF]], axis=1)).view(keys.dtype).ravel()
-
-
-def on_rings(codes: DataFrame, segments: int, *also: str) -> DataFrame:
-    """Each code as its two ring keys with the segment each is routed to; codes of another length have no node."""
-    turned = F.concat(F.substring("code", HALF + 1, HALF), F.substring("code", 1, HALF))
-    both = F.explode(F.array(F.struct(F.lit(0).alias("ring"), F.col("code").alias("key")), F.struct(F.lit(1).alias("ring"), turned.alias("key"))))
-    return (
-        codes.where(F.length("code") == CODE_LENGTH).select(both.alias("n"), "first_id", "batch", *also)
-        .select("n.ring", "n.key", "first_id", "batch", *also, F.pmod(F.xxhash64("n.ring", F.substring("n.key", 1, HALF), *also), F.lit(segments)).cast("int").alias("segment"))
-    )
-
-
-def near_earlier(codes: DataFrame, segments: int, space: str) -> DataFrame:
-    """(space, code, canonical): the earliest first_id among nodes within one place of ``code``, where one is earlier than its own.
-
-    codes: space, code (distinct in a space), first_id, batch. Spaces are apart from each other.
-    """
-    kind = codes.schema[space].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        if not parts:
-            return
-        t = pa.Table.from_batches(parts)
-        names, key, first, batch, ring = t.column(space).combine_chunks().dictionary_encode(), t.column("key").to_numpy().astype(f"S{CODE_LENGTH}"), t.column("first_id").to_numpy(), t.column("batch").to_numpy(), t.column("ring").to_numpy()
-        which = names.indices.to_numpy(zero_copy_only=False)
-        for s in range(len(names.dictionary)):
-            for r in (0, 1):
-                own = np.flatnonzero((which == s) & (ring == r))
-                for found, earlier in replay(key[own], first[own], batch[own]):
-                    if len(found):
-                        found = turn(found) if r else found
-                        yield pa.RecordBatch.from_arrays([pa.array([names.dictionary[s].as_py()] * len(found), t.schema.field(space).type), pa.array(found.astype(str)), pa.array(earlier)], names=["space", "code", "earlier"])
+_GRAPH = "space string, ring int, segment int, nodes int, beam int, sampled int, near int, found int, keys binary, firsts binary, sizes binary, links binary"
+_GRAPH_TYPES = pa.schema(
+    [("space", pa.string())] + [(n, pa.int32()) for n in ("ring", "segment", "nodes", "beam", "sampled", "near", "found")] + [(n, pa.binary()) for n in ("keys", "firsts", "sizes", "links")]
+)
+_MIX, _BITS = 2654435769, 32
 
-    routed = on_rings(codes, segments, space).repartition(segments, "segment")
-    pairs = routed.mapInArrow(run, f"space {kind}, code string, earlier bigint")
-    return pairs.groupBy(F.col("space").alias(space), "code").agg(F.min("earlier").alias("canonical"))
 
+def code_number(code: Column) -> Column:
+    """A page code as the number its letters and digits make to the base 36; null for anything but a whole code in lower case."""
+    return F.when(code.rlike(rf"\A[a-z0-9]{{{CODE_LENGTH}}}\z"), F.conv(code, 36, 10).cast("bigint"))
 
-def segments_for(rows: int, least: int) -> int:
-    return max(least, -(-2 * rows // SEGMENT_NODES))
 
+def segment_bits(nodes: int) -> int:
+    """Of how many bits of the hash a shard of so many nodes makes its segments."""
+    return max(0, (-(-nodes // SEGMENT_NODES) - 1).bit_length())
 
-def duplicates(rows: DataFrame, segments: int, space: str = "space") -> DataFrame:
-    """(space, first_id, later_id): each row whose page an earlier row of its space leads to, with that page's first row.
 
-    rows: space, id (unique in its space, in order of arrival), batch, code (null: no case). One fold to distinct codes,
-    one search of those in the shards, and one join back; skew of the join is left to adaptive execution, which splits
-    hot codes on the rows' side. The codes are written once, so that links are parsed once for all three.
-    """
-    rows = materialize(rows.where(F.col("code").isNotNull()).select(space, "id", "batch", "code"), "codes")
-    codes = rows.groupBy(space, "code").agg(F.min("id").alias("first_id"), F.min("batch").alias("batch"))
-    near = near_earlier(codes, segments, space)
-    known = codes.join(near, [space, "code"], "left").select(space, "code", F.least("first_id", F.coalesce("canonical", "first_id")).alias("first_id"))
-    return rows.join(known, [space, "code"]).where("id > first_id").select(space, "first_id", F.col("id").alias("later_id"))
+def on_rings(codes: DataFrame, bits: int, *keep: str) -> DataFrame:
+    """(space, ring, segment, key, keep...): each code under either half leading, and the segment that half is routed to."""
+    half, rest = F.expr(f"number div {HALF_CODES}"), F.col("number") % HALF_CODES
+    node = lambda ring, key, lead: F.struct(F.lit(ring).alias("ring"), key.alias("key"), lead.alias("lead"))
+    both = F.explode(F.array(node(0, F.col("number"), half), node(1, rest * HALF_CODES + half, rest)))
+    mixed = (F.col("n.lead") * _MIX).bitwiseAND((1 << _BITS) - 1)
+    return codes.select("space", both.alias("n"), *keep).select("space", "n.ring", F.shiftright(mixed, _BITS - bits).cast("int").alias("segment"), "n.key", *keep)
 
 
-class History:
-    """The persistent index: shards in a folder, one for each accepted batch, and a manifest of those that count.
+def _segments(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys // HALF_CODES * _MIX & ((1 << _BITS) - 1)) >> (_BITS - bits)
 
-    A shard is a table of graphs, one row for each segment and ring, so that no graph is built again. A batch only searches
-    the graphs its codes are routed to, but those of all shards are read and shuffled for it. ``accept`` checks a batch and adds its shard, ``compact`` merges shards of
-    one size class. The manifest is replaced last, so that a lost job leaves the index as it was.
-    """
 
-    SHARD = "segment int, ring int, keys binary, firsts binary, links binary"
+def _folder(space: str, ring: int, segment: int) -> str:
+    return f"graph={space.encode().hex()}-{ring}-{segment}"
 
-    def __init__(self, spark: SparkSession, path: str, segments: int = 8):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.shards, self.segments = self._load() or ([], segments)
 
-    def _fs(self):
-        import pyarrow.fs as fs
+def _open(root: str, shard: str, space: str, ring: int, segment: int) -> Graph | None:
+    """One graph of a shard; None where the shard has no node in that segment."""
+    where, path = fs.FileSystem.from_uri(root)
+    folder = posixpath.join(path, shard, _folder(space, ring, segment))
+    rows = []
+    for f in where.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if f.path.endswith(".parquet"):
+            rows += pq.ParquetFile(where.open_input_file(f.path)).read().to_pylist()
+    return Graph.unpack(rows[0]) if rows else None
 
-        return fs.FileSystem.from_uri(self.path if "://" in self.path else "file://" + self.path)
 
-    def _load(self):
-        fs, root = self._fs()
-        try:
-            with fs.open_input_stream(posixpath.join(root, "manifest.json")) as f:
-                kept = json.loads(f.read())
-            return [tuple(x) for x in kept["shards"]], kept["segments"]
-        except FileNotFoundError:
-            return None
-
-    def _save(self) -> None:
-        fs, root = self._fs()
-        fs.create_dir(root)
-        with fs.open_output_stream(posixpath.join(root, "manifest.new")) as f:
-            f.write(json.dumps({"shards": self.shards, "segments": self.segments}).encode())
-        fs.move(posixpath.join(root, "manifest.new"), posixpath.join(root, "manifest.json"))
-
-    def _read(self) -> DataFrame:
-        return self.spark.read.schema(self.SHARD).parquet(*[f"{self.path}/{name}" for name, _ in self.shards]) if self.shards else self.spark.createDataFrame([], self.SHARD)
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, dict[str, np.ndarray]]]:
+    """(space, ring, segment, columns) of what a task was given."""
+    parts = list(batches)
+    if not parts or not sum(p.num_rows for p in parts):
+        return
+    t = pa.Table.from_batches(parts)
+    names = t.column("space").combine_chunks().dictionary_encode()
+    cols = {c: t.column(c).to_numpy() for c in t.column_names if c != "space"}
+    which = names.indices.to_numpy()
+    order = np.lexsort((cols["key"], cols["segment"], cols["ring"], which))
+    edge = np.zeros(len(order), bool)
+    for c in (which, cols["ring"], cols["segment"]):
+        edge |= np.r_[True, np.diff(c[order]) != 0]
+    starts = [*np.flatnonzero(edge).tolist(), len(order)]
+    for a, b in zip(starts, starts[1:]):
+        own = order[a:b]
+        yield names.dictionary[int(which[own[0]])].as_py(), int(cols["ring"][own[0]]), int(cols["segment"][own[0]]), {c: v[own] for c, v in cols.items()}
 
-    def accept(self, batch: DataFrame) -> DataFrame:
-        """(first_id, later_id) of a batch's rows (id, code) whose page is known, from history or from earlier in the batch; its new codes become a shard."""
-        rows = batch.where(F.col("code").isNotNull()).select("id", "code")
-        codes = rows.groupBy("code").agg(F.min("id").alias("first_id")).withColumn("batch", F.lit(0))
-        routed = on_rings(codes, self.segments)
-        near = routed.groupBy("segment", "ring").cogroup(self._read().groupBy("segment", "ring")).applyInArrow(_check, "code string, earlier bigint").groupBy("code").agg(F.min("earlier").alias("canonical"))
-        known = codes.join(near, "code", "left").select("code", F.least("first_id", F.coalesce("canonical", "first_id")).alias("first_id"), (F.coalesce("canonical", "first_id") < F.col("first_id")).alias("old"), F.col("first_id").alias("own"))
-        known = materialize(known, "known")
-        number = 1 + max([int(name.split("-")[1]) for name, _ in self.shards], default=0)
-        name = f"shard-{number:06d}"
-        fresh = known.select("code", F.col("own").alias("first_id")).withColumn("batch", F.lit(0))
-        on_rings(fresh, self.segments).groupBy("segment", "ring").applyInArrow(_build, self.SHARD).write.mode("overwrite").parquet(f"{self.path}/{name}")
-        self.shards = [*self.shards, (name, known.count())]
-        self._save()
-        return rows.join(known.select("code", "first_id"), "code").where("id > first_id").select("first_id", F.col("id").alias("later_id"))
 
-    def compact(self) -> int:
-        """Merges each size class that has FAN shards or more; returns how many shards remain."""
-        by: dict[int, list] = {}
-        for s in self.shards:
-            by.setdefault(int(np.log(max(s[1], 1)) / np.log(FAN)), []).append(s)
-        for _, group in sorted(by.items()):
-            if len(group) >= FAN:
-                number = 1 + max(int(name.split("-")[1]) for name, _ in self.shards)
-                name = f"shard-{number:06d}"
-                read = self.spark.read.schema(self.SHARD).parquet(*[f"{self.path}/{n}" for n, _ in group])
-                read.groupBy("segment", "ring").applyInArrow(_merge, self.SHARD).write.mode("overwrite").parquet(f"{self.path}/{name}")
-                self.shards = [s for s in self.shards if s not in group] + [(name, sum(n for _, n in group))]
-                self._save()
-        return len(self.shards)
+def _graph_batch(space: str, ring: int, segment: int, graph: Graph) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist([{"space": space, "ring": ring, "segment": segment, **graph.pack()}], schema=_GRAPH_TYPES)
 
 
-def _pack(segment: int, ring: int, graph: Ring) -> dict:
-    return {"segment": segment, "ring": ring, "keys": graph.keys.tobytes(), "firsts": graph.firsts.astype(np.int64).tobytes(), "links": graph.links.tobytes()}
+def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for space, ring, segment, c in _groups(batches):
+        yield _graph_batch(space, ring, segment, Graph.build(c["key"], c["own_id"]))
 
 
-def _unpack(row: dict) -> Ring:
-    keys = np.frombuffer(row["keys"], f"S{CODE_LENGTH}")
-    return Ring(keys, np.frombuffer(row["firsts"], np.int64), np.frombuffer(row["links"], np.int32).reshape(-1, len(keys)))
-
-
-def _packed(rows: list[dict]) -> pa.Table:
-    return pa.Table.from_pylist(rows, schema=pa.schema([("segment", pa.int32()), ("ring", pa.int32()), ("keys", pa.binary()), ("firsts", pa.binary()), ("links", pa.binary())]))
+class History:
+    """The persistent index: shards in a folder, and a manifest of those that count.
 
+    A shard is a folder of graphs, one for each space, ring and segment. ``accept`` checks a batch and adds its shard,
+    ``compact`` merges shards. The manifest is replaced last, so that a lost job leaves the index as it was; a batch
+    accepted again adds no node twice. Spaces are apart from each other.
+    """
 
-def _build(t: pa.Table) -> pa.Table:
-    graph = Ring(t.column("key").to_numpy().astype(f"S{CODE_LENGTH}"), t.column("first_id").to_numpy())
-    return _packed([_pack(t.column("segment")[0].as_py(), t.column("ring")[0].as_py(), graph)])
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/") if "://" in path else "file://" + path.rstrip("/")
+        self.shards: list[dict] = self._load()
 
+    def _load(self) -> list[dict]:
+        where, root = fs.FileSystem.from_uri(self.path)
+        try:
+            with where.open_input_stream(posixpath.join(root, "manifest.json")) as f:
+                return json.loads(f.read())["shards"]
+        except FileNotFoundError:
+            return []
+
+    def _save(self, shards: list[dict]) -> None:
+        where, root = fs.FileSystem.from_uri(self.path)
+        where.create_dir(root)
+        with where.open_output_stream(posixpath.join(root, "manifest.new")) as f:
+            f.write(json.dumps({"shards": shards}).encode())
+        where.move(posixpath.join(root, "manifest.new"), posixpath.join(root, "manifest.json"))
+        self.shards = shards
+
+    def _next(self) -> str:
+        return f"shard-{1 + max([int(s['name'].split('-')[1]) for s in self.shards], default=0):06d}"
+
+    def _write(self, graphs: DataFrame, name: str) -> None:
+        folder = F.concat_ws("-", F.lower(F.hex(F.encode("space", "UTF-8"))), "ring", "segment")
+        graphs.withColumn("graph", folder).write.mode("overwrite").partitionBy("graph").parquet(f"{self.path}/{name}")
+
+    def _tasks(self, nodes: int) -> int:
+        return max(1, min(4 * parallelism(self.spark), -(-nodes // (SEGMENT_NODES // 4))))
+
+    def resolve(self, rows: DataFrame, expected: int | None = None, into: str | None = None) -> DataFrame:
+        """(space, number, own_id, first_id) of a batch's distinct codes: the first row of each in the batch, and of its page in all that arrived; pages not seen before become a shard.
+
+        rows: id (rising with arrival), number, and space if there are several; null numbers are no case. ``expected``:
+        how many rows there are, counted if not given; ``into``: the folder the result is written to.
+        """
+        rows = rows.where(F.col("number").isNotNull())
+        rows = rows if "space" in rows.columns else rows.withColumn("space", F.lit(""))
+        expected = rows.count() if expected is None else expected
+        codes = rows.groupBy("space", "number").agg(F.min("id").alias("own_id"))
+        bits = max([segment_bits(expected), *[s["bits"] for s in self.shards]])
+        shards, root = [(s["name"], bits - s["bits"]) for s in self.shards], self.path
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for space, ring, segment, c in _groups(batches):
+                key, own = c["key"], c["own_id"]
+                first, seen = own.copy(), np.zeros(len(key), bool)
+                for name, fewer in shards:
+                    graph = _open(root, name, space, ring, segment >> fewer)
+                    if graph is not None:
+                        q, node = graph.search(key)
+                        np.minimum.at(first, q, graph.firsts[node])
+                        seen[q] = True
+                graph = Graph.build(key, own)
+                q, node = graph.search(key)
+                np.minimum.at(first, q, graph.firsts[node])
+                n = len(key)
+                columns = [pa.array([space] * n, pa.string()), pa.array(turn(key) if ring else key), pa.array(own), pa.array(first), pa.array(seen)]
+                yield pa.RecordBatch.from_arrays(columns, names=["space", "number", "own_id", "first_id", "seen"])
+
+        tasks = self._tasks(2 * expected)
+        routed = on_rings(codes, bits, "own_id").repartition(tasks, "space", "ring", "segment")
+        near = routed.mapInArrow(search, "space string, number bigint, own_id bigint, first_id bigint, seen boolean")
+        known = near.groupBy("space", "number").agg(F.min("own_id").alias("own_id"), F.min("first_id").alias("first_id"), F.bool_or("seen").alias("seen"))
+        fresh = (F.col("own_id") == F.col("first_id")) & ~F.col("seen")
+        new = Observation()
+        known = materialize(known.observe(new, F.count_if(fresh).alias("n")), "known", path=into)
+        nodes = new.get["n"]
+        if nodes:
+            name, own_bits = self._next(), segment_bits(nodes)
+            graphs = on_rings(known.where(fresh), own_bits, "own_id").repartition(self._tasks(2 * nodes), "space", "ring", "segment").mapInArrow(_build, _GRAPH)
+            self._write(graphs, name)
+            self._save([*self.shards, {"name": name, "nodes": nodes, "bits": own_bits}])
+        return known.drop("seen")
 
-def _merge(t: pa.Table) -> pa.Table:
-    rows = t.to_pylist()
-    rings = [_unpack(r) for r in rows]
-    keys, firsts = np.concatenate([r.keys for r in rings]), np.concatenate([r.firsts for r in rings])
-    order = np.lexsort((firsts, keys))
-    keys, firsts = keys[order], firsts[order]
-    keep = np.r_[True, keys[1:] != keys[:-1]]
-    return _packed([_pack(rows[0]["segment"], rows[0]["ring"], Ring(keys[keep], firsts[keep]))])
+    def accept(self, batch: DataFrame) -> DataFrame:
+        """([space,] first_id, later_id) of a batch's rows ([space,] id, code) whose page is known, from history or from earlier in the batch; its new pages become a shard."""
+        rows = batch.withColumn("number", code_number(F.col("code"))).drop("code")
+        known = self.resolve(rows)
+        keep = ["space"] * ("space" in batch.columns)
+        return _later(rows if keep else rows.withColumn("space", F.lit("")), known).select(*keep, "first_id", "later_id")
 
+    def compact(self) -> int:
+        """Merges each size class that has FAN shards or more, and the class above if that fills it, in one pass; returns how many shards remain. The merged folders are removed."""
+        size_class = lambda s: int(np.log(max(s["nodes"], 1)) / np.log(FAN))
+        now = [{**s, "of": [s["name"]]} for s in self.shards]
+        while True:
+            by: dict[int, list[dict]] = {}
+            for s in now:
+                by.setdefault(size_class(s), []).append(s)
+            full = next((c for c in sorted(by) if len(by[c]) >= FAN), None)
+            if full is None:
+                break
+            now = [s for s in now if size_class(s) != full] + [{"nodes": sum(s["nodes"] for s in by[full]), "of": [n for s in by[full] for n in s["of"]]}]
+        for s in [s for s in now if len(s["of"]) > 1]:
+            self._merge(s["of"], s["nodes"])
+        return len(self.shards)
 
-def _check(new: pa.Table, old: pa.Table) -> pa.Table:
-    out = pa.schema([("code", pa.string()), ("earlier", pa.int64())])
-    if not new.num_rows:
-        return out.empty_table()
-    key, first, ring = new.column("key").to_numpy().astype(f"S{CODE_LENGTH}"), new.column("first_id").to_numpy(), new.column("ring")[0].as_py()
-    codes, earlier = [], []
-    for shard in [*map(_unpack, old.to_pylist()), Ring(key, first)]:
-        q, node = shard.search(key)
-        before = shard.firsts[node] < first[q]
-        found = key[q[before]]
-        codes.append((turn(found) if ring and len(found) else found).astype(str))
-        earlier.append(shard.firsts[node[before]])
-    return pa.Table.from_arrays([pa.array(np.concatenate(codes)), pa.array(np.concatenate(earlier).astype(np.int64))], schema=out)
+    def _merge(self, names: list[str], nodes: int) -> None:
+        where, path = fs.FileSystem.from_uri(self.path)
+        old = [s for s in self.shards if s["name"] in names]
+        bits, root, name = segment_bits(nodes), self.path, self._next()
+        listed = {f.base_name.removeprefix("graph=") for s in old for f in where.get_file_info(fs.FileSelector(posixpath.join(path, s["name"]))) if f.base_name.startswith("graph=")}
+        groups = sorted({(bytes.fromhex(x).decode(), int(r), k) for x, r, _ in (g.split("-") for g in listed) for k in range(1 << bits)})
+        parts = [(s["name"], s["bits"]) for s in old]
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for g in batch.to_pylist():
+                    keys, firsts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                    for shard, own in parts:
+                        segments = [g["segment"] >> (bits - own)] if own <= bits else range(g["segment"] << (own - bits), (g["segment"] + 1) << (own - bits))
+                        for k in segments:
+                            graph = _open(root, shard, g["space"], g["ring"], k)
+                            if graph is not None:
+                                here = _segments(graph.keys, bits) == g["segment"]
+                                keys.append(graph.keys[here])
+                                firsts.append(graph.firsts[here])
+                    if sum(map(len, keys)):
+                        yield _graph_batch(g["space"], g["ring"], g["segment"], Graph.build(np.concatenate(keys), np.concatenate(firsts)))
+
+        todo = self.spark.createDataFrame(groups, "space string, ring int, segment int").repartition(min(len(groups), 4 * parallelism(self.spark)), "space", "ring", "segment")
+        self._write(todo.mapInArrow(merge, _GRAPH), name)
+        self._save([s for s in self.shards if s["name"] not in names] + [{"name": name, "nodes": nodes, "bits": bits}])
+        for gone in names:
+            where.delete_dir(posixpath.join(path, gone))
+
+    def graphs(self) -> DataFrame:
+        """(shard, space, ring, segment, nodes, beam, sampled, near, found) of each graph: its size, and how its beam was tuned against exhaustive search."""
+        named = [self.spark.read.schema(_GRAPH).parquet(f"{self.path}/{s['name']}").select(F.lit(s["name"]).alias("shard"), *_GRAPH_TYPES.names[:8]) for s in self.shards]
+        return reduce(DataFrame.unionAll, named) if named else self.spark.createDataFrame([], "shard string, " + _GRAPH.split(", keys")[0])
+
+
+def _later(rows: DataFrame, known: DataFrame, *also: str) -> DataFrame:
+    on = ["space", "number", *also]
+    return rows.join(known.drop("own_id", "seen"), on).where("id > first_id").select("space", "first_id", F.col("id").alias("later_id"))
+
+
+def arrive(rows: DataFrame, history: History) -> tuple[DataFrame, DataFrame]:
+    """(rows, known): all batches of ``rows`` accepted one after another, in the order of their numbers.
+
+    rows: space, id, batch, number; null numbers are no case, rows without a batch arrive last. They are written once, a
+    folder for each batch, so that a batch is read without the others. What comes to the driver is a row per batch.
+    known: batch, space, number, own_id, first_id, as resolved when the batch arrived.
+    """
+    rows = rows.where(F.col("number").isNotNull()).select("space", "id", "number", F.coalesce("batch", F.lit((1 << 63) - 1)).alias("batch"))
+    rows = materialize(rows, "codes", "batch")
+    path, shape = own_folder(rows.sparkSession, "resolved"), "space string, number bigint, own_id bigint, first_id bigint, seen boolean, batch bigint"
+    batches = sorted(map(tuple, rows.groupBy("batch").count().collect()))
+    for batch, n in batches:
+        history.resolve(rows.where(F.col("batch") == batch).drop("batch"), n, f"{path}/batch={batch}")
+        history.compact()
+    read = rows.sparkSession.read.schema(shape)
+    return rows, (read.parquet(path) if batches else rows.sparkSession.createDataFrame([], shape))
+
+
+def duplicates(rows: DataFrame, space: str = "space", history: History | None = None) -> DataFrame:
+    """(space, first_id, later_id): each row whose page an earlier row of its space leads to, with that page's first row.
 
+    rows: space, id (unique in its space, rising with arrival), batch, code (null, or no whole code: no case). Batch by batch
+    through ``history``, a new one in the shared folder if none is given. At the end the rows join what their own batch
+    resolved their code to; a hot code's rows are spread over the batches, and further by adaptive skew handling.
+    """
+    spark = rows.sparkSession
+    if history is None:
+        path = own_folder(spark, "history")
+        history = History(spark, path)
+    rows, known = arrive(rows.select(F.col(space).cast("string").alias("space"), "id", F.col("batch").cast("bigint").alias("batch"), code_number(F.col("code")).alias("number")), history)
+    if history.shards:
+        remove_at_end(spark, history.path)
+    return _later(rows, known, "batch").withColumnRenamed("space", space)

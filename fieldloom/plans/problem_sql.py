@@ -91,11 +91,9 @@ WITH r AS (
       WHERE json_type(e.value) = 'VARCHAR' AND (e.value ->> '$') LIKE '%/%' AND NOT regexp_matches({_strip("(e.value ->> '$')")}, '{_WS}')) WHERE code IS NOT NULL)
   FROM airport_items
 ), c AS (SELECT table_name, code, min(id) AS first_id FROM r WHERE code IS NOT NULL GROUP BY ALL),
-n AS (
-  SELECT a.table_name, a.code, b.first_id FROM c a JOIN c b ON a.table_name = b.table_name AND left(a.code, 5) = left(b.code, 5) AND hamming(a.code, b.code) <= 1
-  UNION ALL
-  SELECT a.table_name, a.code, b.first_id FROM c a JOIN c b ON a.table_name = b.table_name AND right(a.code, 5) = right(b.code, 5) AND hamming(a.code, b.code) <= 1
-), k AS (SELECT table_name, code, min(first_id) AS first_id FROM n GROUP BY ALL)
+w AS (SELECT table_name, code, first_id, unnest(list_transform(range(1, 11), lambda i: left(code, i - 1) || '?' || substr(code, i + 1))) AS open_place FROM c),
+g AS (SELECT table_name, open_place, min(first_id) AS first_id FROM w GROUP BY ALL),
+k AS (SELECT w.table_name, w.code, min(g.first_id) AS first_id FROM w JOIN g ON w.table_name = g.table_name AND w.open_place = g.open_place GROUP BY ALL)
 SELECT r.table_name, k.first_id, r.id AS later_id FROM r JOIN k ON r.table_name = k.table_name AND r.code = k.code WHERE r.id > k.first_id""",
     "p4_found": f"{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country FROM r JOIN t ON r.batch_no = t.batch_no WHERE name IS NOT NULL GROUP BY r.batch_no, name, total HAVING count(*) * 20 >= total",
     "p4_counts": f"{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country, count(*)::BIGINT AS n_rows, total::BIGINT AS batch_rows FROM r JOIN t ON r.batch_no = t.batch_no GROUP BY r.batch_no, name, total",

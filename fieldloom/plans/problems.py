@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.links import page_code
 from ..operators import dedup_index, drift, hotkeys, nested, profile
-from ..session import materialize, parallelism, table
+from ..session import materialize, own_folder, table
 from .problem_sql import SQL  # noqa: F401
 
 
@@ -72,12 +72,31 @@ def p2_unified(spark: SparkSession, d: str) -> DataFrame:
     return drift.unified(held, names).toDF("item_id", "feed_id", "section_name", "field_name", "json_type", "value", "fits")
 
 
-def p3_found(spark: SparkSession, d: str) -> DataFrame:
+#: The feeds of airport_items arrive in so many runs of consecutive numbers, each accepted as one batch.
+FEED_RUNS = 20
+
+
+def _arrivals(spark: SparkSession, d: str) -> DataFrame:
+    """(table_name, id, batch, code) of both tables; a run of feeds arrives along with the batch of link_rows of the same number. Rows without batch or feed arrive last."""
     rows, items = table(spark, d, "link_rows"), table(spark, d, "airport_items")
     listed = rows.select(F.lit("link_rows").alias("table_name"), F.col("row_id").alias("id"), F.col("batch_no").cast("bigint").alias("batch"), page_code(F.col("airport_link")).alias("code"))
-    recorded = drift.record_pages(items, "item_id", "raw_json", "feed_id").select(F.lit("airport_items").alias("table_name"), F.col("item_id").alias("id"), F.col("feed_id").cast("bigint").alias("batch"), F.col("page").alias("code"))
-    n = rows.count() + items.count()
-    return dedup_index.duplicates(listed.unionByName(recorded), dedup_index.segments_for(n, parallelism(spark)), "table_name")
+    low, high = items.agg(F.min("feed_id"), F.max("feed_id")).first()
+    run = F.expr(f"(feed_id - {low or 0}) * {FEED_RUNS} div {(high or 0) - (low or 0) + 1} + 1")
+    recorded = drift.record_pages(items, "item_id", "raw_json", "feed_id").select(F.lit("airport_items").alias("table_name"), F.col("item_id").alias("id"), run.alias("batch"), F.col("page").alias("code"))
+    return listed.unionByName(recorded)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every batch in turn against the shards of all before it."""
+    return dedup_index.duplicates(_arrivals(spark, d), "table_name")
+
+
+def p3_index(spark: SparkSession, d: str) -> DataFrame:
+    """The graphs of the index once all batches are in: sizes, beams, and what the unwidened beams found of the neighbours that exhaustive search finds."""
+    history = dedup_index.History(spark, own_folder(spark, "history"))
+    dedup_index.duplicates(_arrivals(spark, d), "table_name", history)
+    per = history.graphs().groupBy(F.col("space").alias("table_name"), "ring", "shard")
+    return per.agg(F.count(F.lit(1)).alias("graphs"), F.sum("nodes").alias("nodes"), F.max("beam").alias("widest_beam"), F.sum("sampled").alias("sampled"), F.sum("near").alias("near"), F.sum("found").alias("found"))
 
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
@@ -134,4 +153,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}

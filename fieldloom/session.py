@@ -11,23 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset, as in single-machine tests, a temporary folder is made and set.
+    Only where it is unset and the master is local, as in single-machine tests, a temporary folder is made and set; on a
+    cluster a machine's own folder would not be shared, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="fieldloom-")
         spark.conf.set("spark.checkpoint.dir", found)
+        remove_at_end(spark, found)
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """Removes a folder when the session's JVM ends; until then results that are read lazily may need it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new name in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "table", by: str | None = None, path: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder (to ``path``, if given) and read back; ``by`` makes a folder of each value of a column.
 
     The written files outlive lost executors, are computed once however often the result is used,
-    and end the lineage. ``DataFrame.checkpoint`` would compute an uncached plan twice.
+    end the lineage, and go when the session ends. ``DataFrame.checkpoint`` would compute an uncached plan twice.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = path or own_folder(df.sparkSession, name)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    remove_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
