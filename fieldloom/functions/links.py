@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote, urljoin
+from collections.abc import Callable
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from .text import INVISIBLE
 
@@ -56,27 +55,70 @@ def link_page_of(value: object) -> str | None:
     return None if " " in bare else page_code_of(bare)
 
 
-@F.pandas_udf(StringType())
-def _join(base: pd.Series, ref: pd.Series) -> pd.Series:
-    def one(b: str | None, r: str | None) -> str | None:
-        try:
-            return urljoin(b or "", r or "") if b is not None or r is not None else None
-        except ValueError:
-            return r
+#: Schemes under which a reference without one is resolved against its base.
+RELATIVE_SCHEMES = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss"]
 
-    return pd.Series([one(b, r) for b, r in zip(base, ref)], dtype=object)
+
+#: Fixed value: the regular expression of RFC 3986, appendix B, with schemes as that document has them.
+URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:[?]([^#]*))?(?:#(.*))?$"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(url: Column) -> Column:
+    """scheme, host, path, query, fragment of a URL; a part that isn't there is ``''``."""
+    part = lambda k: F.regexp_extract(url, URL_PARTS, k)
+    return F.struct(F.lower(part(1)).alias("scheme"), part(2).alias("host"), part(3).alias("path"), part(4).alias("query"), part(5).alias("fragment"))
+
+
+def _merged(base: Column, path: Column) -> Column:
+    """A path that isn't empty, on its base's path, without dot segments."""
+    but_last = lambda x: F.slice(x, F.lit(1), F.greatest(F.size(x) - 1, F.lit(0)))
+    step = lambda done, x: F.when(x == "..", but_last(done)).when(x == ".", done).otherwise(F.array_append(done, x))
+    # a base's last name doesn't count; where it is empty the folder's end stays as a segment, to be dropped as one
+    folder = _let(F.split(base, "/"), lambda x: F.when(F.element_at(x, -1) == "", x).otherwise(but_last(x)))
+    both = _let(F.concat(folder, F.split(path, "/")), lambda x: F.filter(x, lambda y, i: (i == 0) | (i == F.size(x) - 1) | (y != "")))
+    segments = F.when(path.startswith("/"), F.split(path, "/")).otherwise(both)
+    done = lambda x: F.aggregate(x, F.array().cast("array<string>"), step)
+    text = _let(segments, lambda x: F.array_join(F.when(F.element_at(x, -1).isin(".", ".."), F.array_append(done(x), "")).otherwise(done(x)), "/"))
+    return _let(text, lambda x: F.when(x == "", "/").otherwise(x))
+
+
+def _text_of(scheme: Column, host: Column, path: Column, query: Column, fragment: Column) -> Column:
+    there = lambda lead, x, end: F.when(x != "", F.concat(F.lit(lead), x, F.lit(end))).otherwise("")
+    rooted = _let(path, lambda x: F.when((host != "") & (x != "") & ~x.startswith("/"), F.concat(F.lit("/"), x)).otherwise(x))
+    return F.concat(there("", scheme, ":"), there("//", host, ""), rooted, there("?", query, ""), there("#", fragment, ""))
+
+
+def _resolved(b: Column, r: Column, ref: Column) -> Column:
+    """``ref``, whose parts are ``r``, on a base whose parts are ``b``."""
+    scheme = F.when(r["scheme"] != "", r["scheme"]).otherwise(b["scheme"])
+    broken = F.contains(r["host"], F.lit("[")) != F.contains(r["host"], F.lit("]"))
+    bare = (r["host"] == "") & (r["path"] == "")
+    path = F.when(r["host"] != "", r["path"]).when(bare, b["path"]).otherwise(_merged(b["path"], r["path"]))
+    query = F.when(bare & (r["query"] == ""), b["query"]).otherwise(r["query"])
+    host = F.when(r["host"] != "", r["host"]).otherwise(b["host"])
+    return F.when((scheme != b["scheme"]) | ~scheme.isin(RELATIVE_SCHEMES) | broken, ref).otherwise(_text_of(scheme, host, path, query, r["fragment"]))
 
 
 def url_join(base: Column, ref: Column) -> Column:
-    """RFC 3986 join. Absolute links and host-relative ones under a plain base stay on the JVM; the rest take one Arrow pass.
+    """RFC 3986 join, of built-in expressions only.
 
-    A null or empty reference is the base itself. A reference that no URL parser accepts comes back unchanged.
+    A null or empty reference is the base itself, and without a base the reference comes back. Blanks and control
+    characters before a reference and tabs and line ends in it go, empty queries and fragments too. Semicolons have no
+    meaning of their own. A reference with a broken bracketed host comes back unchanged.
     """
-    ref = F.coalesce(ref, F.lit(""))
+    base, ref = F.coalesce(base, F.lit("")), F.coalesce(ref, F.lit(""))
+    tidy = lambda c: F.when(c.rlike(r"^[\x00-\x20]|[\t\r\n]"), F.regexp_replace(F.regexp_replace(c, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")).otherwise(c)
+    general = _let(F.struct(_let(tidy(base), _parts).alias("b"), _let(tidy(ref), _parts).alias("r")), lambda x: _resolved(x["b"], x["r"], ref))
+    # the common case, a path of its own without dots, needs no parts
     origin = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    odd = ref.rlike(r"(^|/)\.{1,2}(/|$|[?#])") | ref.rlike(r"[?#]$|[\t\r\n]")
+    odd = ref.rlike(r"(^|/)\.{1,2}(/|$|[?#])|[?#]$|[?]#|[\t\r\n]")
     rooted = ref.rlike(r"^/[^/]") & ~odd & (origin != "")
-    return F.when(ref == "", base).when(rooted, F.concat(origin, ref)).otherwise(_join(base, ref))
+    return F.when(ref == "", base).when(base == "", ref).when(rooted, F.concat(origin, ref)).otherwise(general)
 
 
 def absolutize(base: Column, link: Column) -> Column:

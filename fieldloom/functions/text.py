@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 #: The no-break blank, and characters that show nothing.
 NBSP = "\u00a0"
+#: All characters of Unicode's property White_Space.
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 INVISIBLE = "[\\u00ad\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufeff]"
 
 
 def py_strip(c: Column) -> Column:
     """Unicode strip: also no-break blanks, tabs and line ends."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def squeeze(c: Column) -> Column:

@@ -1,21 +1,25 @@
 """Schemas that drift between files: one consistent table, and a report of each change.
 
 Each file's schema is a small graph: sections, the fields nested in them, their types, and the names nested in objects.
-The graphs of consecutive files are matched by similarity flooding; correspondences between a field that goes and one
-that comes are then held against the contents of records present in both files, and a consistent one-to-one set is
-selected. Records are never gathered by file: they are folded to counts per file and field, and compared by joins.
+The graphs of consecutive files are matched by similarity flooding. Of the fields that go and come, each one's best
+matches are its candidates; these are held against the contents of records present in both files, and a consistent
+one-to-one set is selected. Only fields that this leaves without a match have their other pairs verified too, so flooding
+decides what is compared, and first, but no rename is lost to it. Records are never gathered by file: they are folded to
+counts per file and field, and contents meet by file pair, candidate and page.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import link_page_of
@@ -23,14 +27,17 @@ from ..session import materialize, spread
 from .nested import json_text, parse, unfold
 
 SECTIONS = ("Airport Details", "Additional Airport Details")
-TYPES = ("string", "number", "boolean", "object", "list")
+#: In the order of the alphabet: of types equally frequent in a field the first one counts.
+TYPES = ("boolean", "list", "number", "object", "string")
 #: A field exists in a file if at least one in so many of its records holds it.
 EXISTS_IN = 5
 #: Least share of pages in both files whose content must be the same for a rename, and least sum of that agreement beyond
 #: chance (1 for full agreement, 0 for what the values' frequencies make likely) and the flooding's score.
 SAME_CONTENT, EVIDENCE = 0.6, 0.6
+#: Two fields are candidates for a rename if each is among so many best matches of the other by flooding.
+CANDIDATES = 2
 
-_KIND = {str: "string", int: "number", float: "number", bool: "boolean", dict: "object", list: "list"}
+_KIND = {t: TYPES.index(k) for t, k in ((str, "string"), (int, "number"), (float, "number"), (bool, "boolean"), (dict, "object"), (list, "list"))}
 
 
 def section_fields(section: object) -> dict[str, object]:
@@ -85,52 +92,64 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def held_fields(items: DataFrame, feed: str, record: str, values: bool = False, key: str | None = None) -> DataFrame:
-    """feed, page, section, field, type, inner, whole, leaf (and key, value): a row for each field a record holds with a non-null value.
+def _records(part: pa.RecordBatch, column: int) -> Iterator[tuple[int, dict]]:
+    """(place, record) of each record that is an object."""
+    for i, text in enumerate(part.column(column).to_pylist()):
+        try:
+            item = unfold(parse(text))
+        except ValueError:
+            continue
+        if isinstance(item, dict):
+            yield i, item
+
+
+def held_fields(items: DataFrame, feed: str, record: str) -> DataFrame:
+    """feed, page, section, field, type, inner, whole, leaf: a row for each field a record holds with a non-null value.
 
-    A record that is null, no JSON or no object holds no field. One Arrow pass, no shuffle.
+    type: its number in TYPES; page: the number of the page's code. A record that is null, no JSON or no object holds no
+    field. One Arrow pass, no shuffle.
     """
-    feed_type, key_type = items.schema[feed].dataType.simpleString(), items.schema[key].dataType.simpleString() if key else None
-    also = [pa.string()] * values
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
+    names = ["page", "section", "field", "type", "inner", "whole", "leaf"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 rows, own = [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    try:
-                        item = unfold(parse(text))
-                    except ValueError:
-                        continue
-                    if not isinstance(item, dict):
-                        continue
-                    page = page_of(section_fields(item.get(SECTIONS[0])))
+                for i, item in _records(part, 1):
+                    code = page_of(section_fields(item.get(SECTIONS[0])))
+                    page = int(code, 36) if code else None
                     for section in SECTIONS:
                         for name, value in section_fields(item.get(section)).items():
                             if value is not None:
                                 inner = ",".join(value) if type(value) is dict else ""
-                                rows.append((page, section, name, _KIND[type(value)], inner, *_content(value), *[json_text(value)] * values))
+                                rows.append((page, section, name, _KIND[type(value)], inner, *_content(value)))
                                 own.append(i)
-                cols = list(zip(*rows)) or [()] * (7 + values)
-                arrays = [pa.array(c, t) for c, t in zip(cols, [pa.string()] * 5 + [pa.int64()] * 2 + also)]
-                yield pa.RecordBatch.from_arrays([part.column(j).take(pa.array(own, pa.int64())) for j in [0, *[2] * bool(key)]] + arrays, names=["feed", *["key"] * bool(key), *names])
+                cols = list(zip(*rows)) or [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own, pa.int64())), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["feed", *names])
 
-    names = ["page", "section", "field", "type", "inner", "whole", "leaf", *["value"] * values]
-    shape = f"feed {feed_type}" + f", key {key_type}" * bool(key) + ", page string, section string, field string, type string, inner string, whole bigint, leaf bigint" + ", value string" * values
-    return spread(items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"), *([F.col(key).alias("key")] if key else []))).mapInArrow(run, shape)
+    shape = f"feed {items.schema[feed].dataType.simpleString()}, page bigint, section string, field string, type int, inner string, whole bigint, leaf bigint"
+    return spread(items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"))).mapInArrow(run, shape)
 
 
-def schemas(held: DataFrame, sizes: DataFrame) -> DataFrame:
-    """feed, fields: the existing fields of each file with the type of most of their values (of equals, the one first in the alphabet).
+def existing(held: DataFrame, sizes: DataFrame) -> DataFrame:
+    """feed, section, field, type, inner, n, exists: the fields of each file with the type of most of their values, and whether enough records hold them.
 
-    ``sizes``: feed, records. Folded map-side to one state per file, field and type; the list is bounded, since at most
-    EXISTS_IN times as many fields can exist as a record holds on average.
+    ``sizes``: feed, records. Folded map-side to one state per file and field.
     """
-    by_type = held.groupBy("feed", "section", "field", "type").agg(F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"))
-    fields = by_type.groupBy("feed", "section", "field").agg(F.sum("n").alias("n"), F.min(F.struct((-F.col("n")).alias("less"), "type", "inner")).alias("most"))
-    there = fields.join(sizes, "feed").where(F.col("n") * EXISTS_IN >= F.col("records"))
-    return there.groupBy("feed").agg(F.array_sort(F.collect_list(F.struct("section", "field", F.col("most.type").alias("type"), F.col("most.inner").alias("inner")))).alias("fields"))
+    of_type = [F.count_if(F.col("type") == k).alias(f"n{k}") for k in range(len(TYPES))]
+    counts = held.groupBy("feed", "section", "field").agg(F.count(F.lit(1)).alias("n"), *of_type)
+    most = F.greatest(*[F.col(f"n{k}") for k in range(len(TYPES))])
+    typed = counts.withColumn("type", F.coalesce(*[F.when(F.col(f"n{k}") == most, k) for k in range(len(TYPES))]))
+    nested = held.where(F.col("type") == TYPES.index("object")).groupBy("feed", "section", "field").agg(F.max("inner").alias("inner"))
+    there = typed.join(sizes, "feed").join(nested, ["feed", "section", "field"], "left")
+    return there.select("feed", "section", "field", "type", F.coalesce("inner", F.lit("")).alias("inner"), "n", (F.col("n") * EXISTS_IN >= F.col("records")).alias("exists"))
+
+
+def schemas(fields: DataFrame) -> DataFrame:
+    """feed, fields: the existing fields of each file. The list is bounded, since at most EXISTS_IN times as many fields can exist as a record holds on average."""
+    return fields.where("exists").groupBy("feed").agg(F.array_sort(F.collect_list(F.struct("section", "field", "type", "inner"))).alias("fields"))
 
 
 @lru_cache(100_000)
@@ -179,8 +198,14 @@ def flood(old: list[tuple], new: list[tuple], rounds: int = 60, still: float = 1
     return score
 
 
-def compare(old: list[tuple], new: list[tuple]) -> Iterator[tuple]:
-    """(section, kind, old name, new name, score) between two schemas; kind ``match`` is a possible rename."""
+def _ranks(score: np.ndarray) -> np.ndarray:
+    """The place of each pair among those of its row, and of its column, whichever is worse; equal scores by position, so that places are distinct."""
+    rows, columns = (-score).argsort(1, kind="stable").argsort(1), (-score).argsort(0, kind="stable").argsort(0)
+    return np.maximum(rows, columns)
+
+
+def compare(old: list[tuple], new: list[tuple], match: Callable = flood) -> Iterator[tuple]:
+    """(section, kind, old name, new name, score) between two schemas. kind ``match``: a candidate for a rename, by flooding; ``rest``: any other pair of a field that goes and one that comes."""
     was, now = {x[:2]: x for x in old}, {x[:2]: x for x in new}
     for k in was.keys() & now.keys():
         if was[k][2] != now[k][2]:
@@ -189,26 +214,36 @@ def compare(old: list[tuple], new: list[tuple]) -> Iterator[tuple]:
     yield from ((s, "removed", n, "", 0.0) for s, n in gone)
     yield from ((s, "added", "", n, 0.0) for s, n in come)
     if {s for s, _ in gone} & {s for s, _ in come}:
-        score = flood(list(was.values()), list(now.values()))
+        score = match(list(was.values()), list(now.values()))
         i, j = ({k: n for n, k in enumerate(d)} for d in (was, now))
-        yield from ((s, "match", n, m, float(score[i[s, n], j[t, m]])) for s, n in gone for t, m in come if s == t)
+        for s in SECTIONS:
+            here, there = [k for k in gone if k[0] == s], [k for k in come if k[0] == s]
+            if here and there:
+                own = score[np.ix_([i[k] for k in here], [j[k] for k in there])]
+                rank = _ranks(own)
+                for a, (_, n) in enumerate(here):
+                    yield from ((s, "match" if rank[a, b] < CANDIDATES else "rest", n, m, float(own[a, b])) for b, (_, m) in enumerate(there))
 
 
-def _compare_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare_pass(match: Callable) -> Callable:
     key = lambda fields: [(x["section"], x["field"], x["type"], x["inner"] or "") for x in fields or []]
-    for batch in batches:
-        old, new = (batch.column(k).to_pylist() for k in ("old", "new"))
-        rows, own = [], []
-        for i, (x, y) in enumerate(zip(old, new)):
-            found = list(compare(key(x), key(y)))
-            rows += found
-            own += [i] * len(found)
-        cols = list(zip(*rows)) or [()] * 5
-        at = pa.array(own, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("feed").take(at), batch.column("before").take(at), *[pa.array(c, t) for c, t in zip(cols, [pa.string()] * 4 + [pa.float64()])]],
-            names=["feed", "before", "section", "kind", "old_name", "new_name", "score"],
-        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old, new = (batch.column(k).to_pylist() for k in ("old", "new"))
+            rows, own = [], []
+            for i, (x, y) in enumerate(zip(old, new)):
+                found = list(compare(key(x), key(y), match))
+                rows += found
+                own += [i] * len(found)
+            cols = list(zip(*rows)) or [()] * 5
+            at = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("feed").take(at), batch.column("before").take(at), *[pa.array(c, t) for c, t in zip(cols, [pa.string()] * 4 + [pa.float64()])]],
+                names=["feed", "before", "section", "kind", "old_name", "new_name", "score"],
+            )
+
+    return run
 
 
 def consecutive(files: DataFrame, feed: str, series: str, order: str) -> DataFrame:
@@ -219,11 +254,12 @@ def consecutive(files: DataFrame, feed: str, series: str, order: str) -> DataFra
 
 
 def _select_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One consistent set of renames for each file, candidates of flooding first, then by agreement and score; and the changes that they leave."""
     for batch in batches:
         rows, own = [], []
         for i, (changes, matches) in enumerate(zip(batch.column("changes").to_pylist(), batch.column("matches").to_pylist())):
             gone, come = set(), set()
-            for m in sorted(matches or [], key=lambda m: (-m["share"] - m["score"], m["section"], m["old_name"], m["new_name"])):
+            for m in sorted(matches or [], key=lambda m: (m["kind"] != "match", -m["share"] - m["score"], m["section"], m["old_name"], m["new_name"])):
                 old, new = (m["section"], m["old_name"]), (m["section"], m["new_name"])
                 if old not in gone and new not in come:
                     gone.add(old)
@@ -239,34 +275,49 @@ def _select_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("feed").take(pa.array(own, pa.int64())), *[pa.array(c, pa.string()) for c in cols]], names=["feed", "section", "kind", "old_name", "new_name"])
 
 
-def changes(held: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
+def verified(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(feed, section, kind, old_name, new_name, score, share) of the pairs whose contents agree well enough.
+
+    pairs: feed, before, section, kind, old_name, new_name, score. The contents of both fields meet by file, pair and page,
+    so a file that holds a third of all records is spread over its pages. Of a page that comes several times in a file the
+    least contents count.
+    """
+    key = F.xxhash64("section", "old_name", "new_name").alias("pair")
+    side = lambda k, feed, name: pairs.select(F.col(feed).alias("feed"), "section", F.col(name).alias("field"), F.col("feed").alias("at"), key, F.lit(k).alias("side"))
+    sides = side(0, "before", "old_name").unionAll(side(1, "feed", "new_name"))
+    content = held.where("page is not null").select("feed", "section", "field", "page", "type", "whole", "leaf").join(sides, ["feed", "section", "field"])
+    each = [F.min(F.when(F.col("side") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("type", "whole", "leaf")]
+    both = content.groupBy("at", "pair", "page").agg(*each).where("type0 is not null and type1 is not null")
+    same = (F.col("whole0") == F.col("whole1")) | ((F.col("type0") != F.col("type1")) & (F.col("leaf0") == F.col("leaf1")))
+    by_value = both.groupBy("at", "pair", "leaf0").agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("agree"))
+    agreed = by_value.groupBy("at", "pair").agg((F.sum("agree") / F.sum("n")).alias("share"), (F.sum(F.col("n") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance"))
+    beyond = F.when(F.col("share") == 1, 1.0).when(F.col("chance") < 1, (F.col("share") - F.col("chance")) / (1 - F.col("chance"))).otherwise(0.0)
+    named = pairs.withColumn("pair", key).join(agreed.withColumnRenamed("at", "feed"), ["feed", "pair"])
+    return named.where((F.col("share") >= SAME_CONTENT) & (beyond + F.col("score") >= EVIDENCE)).select("feed", "section", "kind", "old_name", "new_name", "score", "share")
+
+
+def changes(held: DataFrame, fields: DataFrame, pairs: DataFrame, match: Callable = flood) -> DataFrame:
     """(feed, section, kind, old_name, new_name): every change of each file against the one before it in its series.
 
-    ``held`` should be materialised, since schemas and contents are taken from it separately. A rename must hold the same
+    ``held`` and ``fields`` should be materialised, since they are read several times. A rename must hold the same
     content in at least SAME_CONTENT of the pages that are in both files with a value under either name, and reach EVIDENCE,
     so that two flags that agree often by chance are no rename; without such a page it is a removal and an addition. A
-    file without records compares as one without fields.
+    file without records compares as one without fields. ``match`` scores the pairs of two schemas' fields.
     """
     kind = pairs.schema["feed"].dataType.simpleString()
-    known = schemas(held, sizes)
+    known, shape = schemas(fields), f"feed {kind}, section string, kind string, old_name string, new_name string"
     sides = pairs.join(known.withColumnRenamed("fields", "new"), "feed", "left").join(known.select(F.col("feed").alias("before"), F.col("fields").alias("old")), "before", "left")
-    found = sides.mapInArrow(_compare_pass, f"feed {kind}, before {kind}, section string, kind string, old_name string, new_name string, score double")
+    found = sides.mapInArrow(_compare_pass(match), f"feed {kind}, before {kind}, section string, kind string, old_name string, new_name string, score double")
     found = materialize(found, "changes")
-    match = found.where("kind = 'match'").drop("kind")
-    content = held.where("page is not null")
-    per_page = lambda feed, name: content.groupBy(F.col("feed").alias(feed), "section", F.col("field").alias(name), "page").agg(F.min(F.struct("type", "whole", "leaf")).alias(name + "_c"))
-    wanted = lambda feed, name: match.select(feed, "section", name).distinct()
-    side = lambda feed, name: per_page(feed, name).join(wanted(feed, name), [feed, "section", name], "left_semi")
-    both = match.join(side("before", "old_name"), ["before", "section", "old_name"]).join(side("feed", "new_name"), ["feed", "section", "new_name", "page"])
-    same = (F.col("old_name_c.whole") == F.col("new_name_c.whole")) | ((F.col("old_name_c.type") != F.col("new_name_c.type")) & (F.col("old_name_c.leaf") == F.col("new_name_c.leaf")))
-    match_key = ["feed", "section", "old_name", "new_name", "score"]
-    by_value = both.groupBy(*match_key, F.col("old_name_c.leaf").alias("leaf")).agg(F.count(F.lit(1)).alias("n"), F.sum(same.cast("long")).alias("agree"))
-    agreed = by_value.groupBy(*match_key).agg((F.sum("agree") / F.sum("n")).alias("share"), (F.sum(F.col("n") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance"))
-    beyond = F.when(F.col("share") == 1, 1.0).when(F.col("chance") < 1, (F.col("share") - F.col("chance")) / (1 - F.col("chance"))).otherwise(0.0)
-    checked = agreed.where((F.col("share") >= SAME_CONTENT) & (beyond + F.col("score") >= EVIDENCE))
-    matches = checked.groupBy("feed").agg(F.collect_list(F.struct("section", "old_name", "new_name", "score", "share")).alias("matches"))
-    plain = found.where("kind <> 'match'").groupBy("feed").agg(F.collect_list(F.struct("section", "kind", "old_name", "new_name")).alias("changes"))
-    return plain.join(matches, "feed", "left").mapInArrow(_select_pass, f"feed {kind}, section string, kind string, old_name string, new_name string")
+    listed = lambda df, name, *c: df.groupBy("feed").agg(F.collect_list(F.struct(*c)).alias(name))
+    of_match = ["section", "kind", "old_name", "new_name", "score", "share"]
+    good = materialize(verified(held, found.where("kind = 'match'")), "matches")
+    none = F.array().cast("array<struct<section:string,kind:string,old_name:string,new_name:string>>").alias("changes")
+    taken = listed(good, "matches", *of_match).select("feed", none, "matches").mapInArrow(_select_pass, shape)
+    rest = found.where("kind = 'rest'").join(taken, ["feed", "section", "old_name"], "left_anti").join(taken, ["feed", "section", "new_name"], "left_anti")
+    late = verified(held, materialize(rest, "rest"))
+    plain = listed(found.where("kind not in ('match', 'rest')"), "changes", "section", "kind", "old_name", "new_name")
+    return plain.join(listed(good.unionByName(late), "matches", *of_match), "feed", "left").mapInArrow(_select_pass, shape)
 
 
 def canonical_names(changed: DataFrame, pairs: DataFrame, files: DataFrame, feed: str, series: str, order: str) -> DataFrame:
@@ -296,23 +347,92 @@ def canonical_names(changed: DataFrame, pairs: DataFrame, files: DataFrame, feed
     return per.mapInArrow(run, f"feed {kind}, section string, field string, name string")
 
 
-def unified(held: DataFrame, names: DataFrame) -> DataFrame:
-    """(key, feed, section, name, type, value, fits): all records' fields under one name and with one type for each name.
+class Target(NamedTuple):
+    """A column of the consistent table."""
+
+    column: str
+    section: str
+    name: str
+    type: str
+
+
+def targets(fields: DataFrame, names: DataFrame) -> list[Target]:
+    """The columns of the consistent table: every name that exists in some file, with the type of most of its values over all files.
 
-    type: that of most values of a name over all files; value as text, cast to it where it fits (flags as ``Yes``/``No`` are
-    booleans too), else as it stands with ``fits`` false, so nothing is lost.
+    What comes to the driver is bounded by the schema's names, as any table's schema is.
     """
-    named = held.join(names, ["feed", "section", "field"], "left").select("key", "feed", "section", F.coalesce("name", "field").alias("name"), F.col("type").alias("own_type"), "value")
-    counts = named.groupBy("section", "name", "own_type").count().groupBy("section", "name").agg(F.min(F.struct((-F.col("count")).alias("less"), "own_type")).alias("m"))
-    typed = named.join(counts.select("section", "name", F.col("m.own_type").alias("type")), ["section", "name"])
-    return typed.select("key", "feed", "section", "name", "type", _cast(F.col("type"), F.col("own_type"), F.col("value")).alias("c")).select("key", "feed", "section", "name", "type", "c.value", "c.fits")
+    named = fields.join(names, ["feed", "section", "field"], "left").withColumn("name", F.coalesce("name", "field"))
+    counts = named.groupBy("section", "name").agg(F.bool_or("exists").alias("exists"), *[F.sum(F.when(F.col("type") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(len(TYPES))])
+    out, taken = [], {}
+    for r in sorted(counts.where("exists").collect(), key=lambda r: (SECTIONS.index(r["section"]), r["name"])):
+        words = re.sub(r"[^0-9a-z]+", "_", re.sub(r"([a-z])([A-Z])", r"\1_\2", r["name"]).lower()).strip("_")
+        column = ("details_", "additional_")[SECTIONS.index(r["section"])] + (words or "field")
+        taken[column] = taken.get(column, 0) + 1  # names that differ in case and blanks alone are numbered
+        most = max(range(len(TYPES)), key=lambda k: (r[f"n{k}"], -k))
+        out.append(Target(column + f"_{taken[column]}" * (taken[column] > 1), r["section"], r["name"], TYPES[most]))
+    return out
+
+
+_TRUTH = {"yes": True, "y": True, "true": True, "no": False, "n": False, "false": False}
+
 
+def _cast(value: object, to: str) -> object:
+    """A value as a cell of a column of type ``to``; None where it doesn't fit."""
+    if to == "string":
+        return json_text(value[0] if type(value) is list and len(value) == 1 and type(value[0]) is str else value)
+    if to == "number":
+        try:
+            number = float(value) if type(value) in (int, float, str) else None
+        except (ValueError, OverflowError):
+            return None
+        return number if number is not None and number == number and abs(number) != float("inf") else None
+    if to == "boolean":
+        return value if type(value) is bool else _TRUTH.get(value.strip().lower()) if type(value) is str else None
+    if to == "list":
+        return json.dumps(value if type(value) is list else [value], ensure_ascii=False)
+    return json.dumps(value, ensure_ascii=False) if type(value) is dict else None
 
-def _cast(to: Column, own: Column, value: Column) -> Column:
-    number, lower = F.expr("try_cast(value as double)"), F.lower(F.trim(value))
-    truth = F.when(lower.isin("yes", "y", "true"), F.lit("true")).when(lower.isin("no", "n", "false"), F.lit("false"))
-    made = F.when(to == own, value).when(to == "string", value).when(to == "number", F.when(number.isNotNull(), F.trim(value))).when(to == "boolean", truth).when(to == "list", F.concat(F.lit("["), F.when(own == "string", F.to_json(F.array(value)).substr(F.lit(2), F.length(F.to_json(F.array(value))) - 2)).otherwise(value), F.lit("]")))
-    return F.struct(F.coalesce(made, value).alias("value"), made.isNotNull().alias("fits"))
+
+def unified(items: DataFrame, key: str, feed: str, record: str, names: DataFrame, columns: list[Target]) -> DataFrame:
+    """(key, feed, a column for each target, other): all records in one consistent table, a row each.
+
+    A field comes under the name it bore first in its series, cast to its column's type: numbers double, flags boolean
+    (``Yes`` and ``No`` too), lists and objects as JSON, all else text (a list of one text as that text, other lists and objects
+    as JSON); a single value in a list's column is a list of one.
+    other: by section and name, as JSON, what has no column or doesn't fit its type, so nothing is lost; of two values for
+    one column the second. Records that are no JSON object are rows of nulls. Nulls of the record are null. A record's
+    cells need only its own file's names, so no value is shuffled.
+    """
+    kinds = [items.schema[c].dataType.simpleString() for c in (key, feed)]
+    spark_type = {"number": ("double", pa.float64()), "boolean": ("boolean", pa.bool_())}
+    at = {(t.section, t.name): (i, t.type) for i, t in enumerate(columns)}
+    renamed = names.groupBy(F.col("feed").alias("_feed")).agg(F.collect_list(F.struct("section", "field", "name")).alias("renames"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                cells, other = [[None] * part.num_rows for _ in columns], [[] for _ in range(part.num_rows)]
+                renames = [{(r["section"], r["field"]): r["name"] for r in x or []} for x in part.column(3).to_pylist()]
+                for i, item in _records(part, 2):
+                    for section in SECTIONS:
+                        for name, value in section_fields(item.get(section)).items():
+                            if value is None:
+                                continue
+                            name = renames[i].get((section, name), name)
+                            place, to = at.get((section, name), (None, None))
+                            fit = _cast(value, to) if to and cells[place][i] is None else None
+                            if fit is None:
+                                other[i].append((f"{section}/{name}", json.dumps(value, ensure_ascii=False)))
+                            else:
+                                cells[place][i] = fit
+                maps = pa.array([list(dict(x).items()) for x in other], pa.map_(pa.string(), pa.string()))
+                arrays = [pa.array(c, spark_type.get(t.type, ("", pa.string()))[1]) for c, t in zip(cells, columns)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays, maps], names=[key, feed, *[t.column for t in columns], "other"])
+
+    shape = ", ".join([f"`{key}` {kinds[0]}", f"`{feed}` {kinds[1]}", *[f"`{t.column}` {spark_type.get(t.type, ('string',))[0]}" for t in columns], "other map<string,string>"])
+    rows = spread(items.select(key, feed, F.col(record).cast("string").alias("record"))).join(renamed, F.col(feed) == F.col("_feed"), "left")
+    return rows.select(key, feed, "record", "renames").mapInArrow(run, shape)
 
 
 def record_pages(items: DataFrame, key: str, record: str, batch: str) -> DataFrame:

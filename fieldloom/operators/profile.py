@@ -8,6 +8,7 @@ algebraic, so a load or value that holds most rows reaches the reducer as a few
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,8 @@ ALL_PATTERNS: dict[str, str | tuple[str, ...] | None] = PATTERNS | {
 MISSING = ("", "N/A")
 #: Sets of columns to scan that are read apart from each other; files with further ones are read column by column.
 SCANS = 6
+#: Classes of cells that aren't a valid value.
+IS_MISSING, IS_INVALID = "missing", "invalid"
 
 
 def is_missing(c: Column) -> Column:
@@ -57,8 +60,14 @@ def is_valid(column: str, c: Column, patterns: dict) -> Column:
 
 
 def cell_class(column: str, c: Column, patterns: dict) -> Column:
-    """``missing``, ``invalid``, or ``=`` and the valid value."""
-    return F.when(is_missing(c), "missing").when(is_valid(column, c, patterns), F.concat(F.lit("="), c)).otherwise("invalid")
+    """IS_MISSING, IS_INVALID, or ``=`` and the valid value; of free text ``#`` and its hash, since only equal values are to meet."""
+    p = patterns[column]
+    if p is None:
+        return F.when(is_missing(c), IS_MISSING).otherwise(F.concat(F.lit("#"), F.xxhash64(c).cast("string")))
+    valid, own = is_valid(column, c, patterns), F.concat(F.lit("="), c)
+    if isinstance(p, tuple):  # no listed value is a missing one, and most cells hold one
+        return F.when(valid, own).when(is_missing(c), IS_MISSING).otherwise(IS_INVALID)
+    return F.when(is_missing(c), IS_MISSING).when(valid, own).otherwise(IS_INVALID)
 
 
 def _plan(stats: DataFrame, load: str, settled: Column) -> tuple[DataFrame, DataFrame]:
@@ -89,8 +98,13 @@ def _scans(spark: SparkSession, path: str, plan: DataFrame) -> list[tuple[list[s
     return [(list(k), spark.read.schema(schema).parquet(*files)) for k, files in by.items()]
 
 
-def _classes(columns: list[str], patterns: dict) -> Column:
-    return F.array(*[F.struct(F.lit(c).alias("column_name"), cell_class(c, F.col(c).cast("string"), patterns).alias("class")) for c in columns])
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _named(number: str, names: list[str]) -> Column:
+    """The column's name for its number: rows bear numbers until they are folded."""
+    return F.element_at(F.array(*map(F.lit, names)), F.col(number) + 1).alias("column_name")
 
 
 class Checks(NamedTuple):
@@ -101,37 +115,34 @@ class Checks(NamedTuple):
 def checks(spark: SparkSession, path: str, patterns: dict, load: str, key: str) -> Checks:
     """Cells against their column's pattern. cells: (column_name, load, key) of each that is neither missing nor valid; shares: (column_name, load, class, n).
 
-    A file is scanned for a column unless each of its chunks is of one load and holds just nulls, or one value in every row.
+    A file is scanned for a column unless each of its chunks is of one load and holds just nulls, or one value in every
+    row, and no invalid one, whose rows' keys are needed. One scan gives both results: rows fold to states by column, load
+    and class, in which each invalid cell has its key; the states are written once, and cells and shares are read from them.
     """
     columns = list(patterns)
     typed = spark.read.parquet(path).schema
     stats = chunks(spark, path, [*columns, load], columns)
-    one = (F.col("nulls") == F.col("n_rows")) | ((F.col("nulls") == 0) & (F.size("candidates") == 1))
-    known, plan = _plan(stats, load, one)
-    scans = _scans(spark, path, plan)
+    class_of = lambda c: F.coalesce(*[F.when(F.col("column") == x, cell_class(x, c, patterns)) for x in columns])
+    null, one = F.col("nulls") == F.col("n_rows"), (F.col("nulls") == 0) & (F.size("candidates") == 1)
+    known, plan = _plan(stats, load, null | (one & (class_of(F.get("candidates", F.lit(0))) != IS_INVALID)))
     whole = known.join(plan.where("settled").select("file", "column"), ["file", "column"])
-    value = F.get("candidates", F.lit(0))
-    of_column = lambda c: F.coalesce(*[F.when(F.col("column") == x, cell_class(x, c, patterns)) for x in columns])
-    told = whole.select(F.col("column").alias("column_name"), F.expr(f"cast(load as {typed[load].dataType.simpleString()})").alias(load), of_column(value).alias("class"), F.col("n_rows").alias("n"))
-    cells, counts = [], []
-    for cols, df in scans:
-        row = df.select(load, key, F.explode(_classes(cols, patterns)).alias("x")).select(load, key, "x.*")
-        cells.append(row.where("class = 'invalid'").select("column_name", load, key))
-        counts.append(row.groupBy("column_name", load, "class").agg(F.count(F.lit(1)).alias("n")))
-    # a settled chunk of one invalid value in every row: its rows are read for their keys
-    bad = whole.where(of_column(value) == "invalid").select("file", "column").distinct().withColumn("settled", F.lit(False))
-    for cols, df in _scans(spark, path, bad):
-        row = df.select(load, key, F.explode(_classes(cols, patterns)).alias("x")).select(load, key, "x.*")
-        cells.append(row.where("class = 'invalid'").select("column_name", load, key))
-    none = spark.createDataFrame([], f"column_name string, {load} {typed[load].dataType.simpleString()}, {key} {typed[key].dataType.simpleString()}")
-    every = none
-    for c in cells:
-        every = every.unionByName(c)
-    total = told
-    for c in counts:
-        total = total.unionByName(c)
-    # a few states a load, taken several times by their readers: written once, so that the table isn't scanned for each
-    return Checks(every, materialize(total.groupBy("column_name", load, "class").agg(F.sum("n").alias("n")), "shares"))
+    number = F.array_position(F.array(*map(F.lit, columns)), F.col("column")).cast("int") - 1
+    states = [
+        whole.select(
+            number.alias("c"), F.col("load").cast(typed[load].dataType).alias(load), class_of(F.get("candidates", F.lit(0))).alias("class"),
+            F.lit(None).cast(typed[key].dataType).alias(key), F.col("n_rows").alias("n"),
+        )
+    ]
+    for cols, df in _scans(spark, path, plan):
+        each = F.array(*[F.struct(F.lit(columns.index(c)).alias("c"), cell_class(c, F.col(c).cast("string"), patterns).alias("class")) for c in cols])
+        row = df.select(load, key, F.explode(each).alias("x")).select("x.c", load, "x.class", F.when(F.col("x.class") == IS_INVALID, F.col(key)).alias(key))
+        states.append(row.groupBy("c", load, "class", key).agg(F.count(F.lit(1)).alias("n")))
+    states = materialize(_union(states), "states")
+    bad = states.where(F.col("class") == IS_INVALID)
+    each_one = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n")))
+    cells = bad.select(_named("c", columns), load, key, each_one.alias("i")).drop("i")
+    folded = states.groupBy("c", load, "class").agg(F.sum("n").alias("n"))
+    return Checks(cells, materialize(folded.select(_named("c", columns), load, "class", "n"), "shares"))
 
 
 def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
@@ -139,65 +150,81 @@ def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
     totals = shares.groupBy("column_name", load).agg(F.sum("n").alias("total"))
     here = shares.join(totals, ["column_name", load]).select("column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share"))
     # a share moves by more than `by` only if it is above it in one of the two loads
+    here = here.where(F.round("share", 12) > by)
     both = totals.select("column_name", F.col(load).cast("bigint").alias("at")).join(totals.select("column_name", (F.col(load) + 1).cast("bigint").alias("at")), ["column_name", "at"])
-    moved = here.select("column_name", "at", "class", F.col("share").alias("d")).unionByName(here.select("column_name", (F.col("at") + 1).alias("at"), "class", (-F.col("share")).alias("d")))
-    moved = moved.groupBy("column_name", "at", "class").agg(F.sum("d").alias("d")).where(F.round(F.abs("d"), 12) > by)
+    wanted = here.select("column_name", "at", "class").unionByName(here.select("column_name", (F.col("at") + 1).alias("at"), "class")).distinct()
+    every = shares.join(totals, ["column_name", load]).select("column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share"))
+    moved = every.select("column_name", "at", "class", F.col("share").alias("d")).unionByName(every.select("column_name", (F.col("at") + 1).alias("at"), "class", (-F.col("share")).alias("d")))
+    moved = moved.join(wanted, ["column_name", "at", "class"], "left_semi").groupBy("column_name", "at", "class").agg(F.sum("d").alias("d")).where(F.round(F.abs("d"), 12) > by)
     return moved.join(both, ["column_name", "at"], "left_semi").select("column_name", F.col("at").alias(load)).distinct()
 
 
-def profile(spark: SparkSession, path: str, load: str, distinct: bool = False, typed: bool = False) -> DataFrame:
-    """(column_name, load, n_rows, n_missing, low, high) of every column but ``load``, and n_distinct, exact, if asked.
+def profile(spark: SparkSession, path: str, load: str) -> DataFrame:
+    """(column_name, load, n_rows, n_missing, n_distinct, low, high) of every column but ``load``.
+
+    Missing: null, or without outer blanks ``''`` or ``N/A``. low, high: the extremes of the non-null cells in the column's own
+    order, written as text. n_distinct: of the non-null cells, exact up to a collision of 128-bit hashes. Null loads form a load.
 
-    Extrema are those of the non-null cells as text, with ``typed`` those in the column's own order, written as text; distinct values those of the non-null cells as written; null loads
-    form a load. Chunks of one load whose footer has exact nulls and extrema and whose dictionary holds no spelled-out
-    missing value are settled, so are chunks of nulls only; their dictionaries give their distinct values. Distinct
-    values of all other chunks are folded to one state a column, load and value before they are shuffled.
+    A chunk of one load is settled for counts and range by its footer's exact nulls and extrema; a text chunk needs its
+    dictionary too, since a missing value may be spelled out there. It is settled for distinct values by its dictionary.
+    What isn't settled is scanned: once by wide rows for counts and ranges, which fold to a state a load, and once by cells
+    for distinct values, of which only hashes are shuffled.
     """
     source = spark.read.parquet(path)
-    texts = [f.name for f in source.schema if f.dataType.simpleString() == "string"]
-    columns = [c for c in source.columns if c != load]
-    stats = chunks(spark, path, [*texts, load], texts)
+    kinds = {f.name: f.dataType for f in source.schema if f.name != load}
+    columns, texts = list(kinds), [c for c, t in kinds.items() if t.simpleString() == "string"]
+    load_kind = source.schema[load].dataType
+    stats = chunks(spark, path, [*columns, load], texts)
+    is_text, null = F.col("column").isin(*texts), F.col("nulls") == F.col("n_rows")
     spelled = F.exists("candidates", lambda x: py_strip(x).isin(*MISSING))
-    settled = (F.col("nulls") == F.col("n_rows")) | ((F.col("nulls") >= 0) & F.col("low").isNotNull() & F.col("candidates").isNotNull() & ~spelled)
-    known, plan = _plan(stats, load, settled)
-    kind = source.schema[load].dataType.simpleString()
-    whole = known.join(plan.where("settled").select("file", "column"), ["file", "column"])
-    told = whole.select(F.col("column").alias("column_name"), F.expr(f"cast(load as {kind})").alias(load), "n_rows", F.col("nulls").alias("n_missing"), "low", "high", "candidates")
-    of_parts = [F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing"), F.min("low").alias("low"), F.max("high").alias("high")]
-    parts = [told.groupBy("column_name", load).agg(*of_parts)]
-    # value states without rows of their own: those are counted from the footers
-    values = [told.select("column_name", load, F.explode("candidates").alias("value"), F.lit(0).cast("bigint").alias("n"))]
-    others = [c for c in columns if c not in texts]
-    scans = _scans(spark, path, plan) + ([(others, source)] if others else [])
-    for cols, df in scans:
-        text = lambda c: F.col(c) if c in texts else F.col(c).cast("string")
-        cells = df.select(load, F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in cols])).alias("x")).select("x.column_name", load, "x.value")
-        if distinct:
-            values.append(cells.groupBy("column_name", load, "value").agg(F.count(F.lit(1)).alias("n")))
-        else:
-            parts.append(cells.groupBy("column_name", load).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(is_missing(F.col("value"))).alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high")))
-    if distinct:
-        folded = _union(values).groupBy("column_name", load, "value").agg(F.sum("n").alias("n"))
-        missing = F.sum(F.when(is_missing(F.col("value")), F.col("n")).otherwise(0))
-        parts = [parts[0].withColumn("n_distinct", F.lit(0).cast("bigint"))]
-        parts.append(folded.groupBy("column_name", load).agg(F.sum("n").alias("n_rows"), missing.alias("n_missing"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("value").alias("n_distinct")))
-        of_parts.append(F.sum("n_distinct").alias("n_distinct"))
-    if typed and others:
-        none = F.lit(None).cast("string")
-        own = F.col("column_name").isin(*others)
-        parts = [p.withColumns({"low": F.when(own, none).otherwise(F.col("low")), "high": F.when(own, none).otherwise(F.col("high"))}) for p in parts]
-        ends = source.groupBy(load).agg(*[f(c).cast("string").alias(f"{k}_{i}") for i, c in enumerate(others) for k, f in (("low", F.min), ("high", F.max))])
-        zero = [F.lit(0).cast("bigint").alias(x) for x in ("n_rows", "n_missing", *(["n_distinct"] if distinct else []))]
-        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"low_{i}").alias("low"), F.col(f"high_{i}").alias("high")) for i, c in enumerate(others)]))
-        parts.append(ends.select(load, each.alias("x")).select("x.column_name", load, *zero, "x.low", "x.high"))
-    return _union(parts).groupBy("column_name", load).agg(*of_parts)
-
+    ranged = (F.col("nulls") >= 0) & F.col("low").isNotNull() & (~is_text | (F.col("candidates").isNotNull() & ~spelled))
+    known, plan = _plan(stats, load, null | ranged)
+    listed = known.where(F.col("load").isNotNull()).withColumn("settled", null | F.col("candidates").isNotNull())
+    listing = known.groupBy("file", "column").agg(F.bool_and(F.col("load").isNotNull() & (null | F.col("candidates").isNotNull())).alias("settled"))
+    at_load = F.col("load").cast(load_kind).alias(load)
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # counts and ranges: from footers, and from scans with all columns in one row
+    whole = known.join(plan.where("settled").select("file", "column"), ["file", "column"])
+    parts = [whole.select(F.col("column").alias("column_name"), at_load, "n_rows", F.col("nulls").alias("n_missing"), "low", "high")]
+    for cols, df in _scans(spark, path, plan):
+        cell = lambda i, c: [F.count_if(is_missing(F.col(c).cast("string"))).alias(f"m{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
+        # an aggregate with a sketch keeps its states as objects, so that text extrema need no sort of the rows
+        wide = df.groupBy(load).agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.lit(1)).alias("s"), *[x for i, c in enumerate(cols) for x in cell(i, c)])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"), F.col(f"l{i}").cast("string").alias("low"), F.col(f"h{i}").cast("string").alias("high")) for i, c in enumerate(cols)]))
+        parts.append(wide.select(load, "n", each.alias("x")).select("x.column_name", load, F.col("n").alias("n_rows"), "x.n_missing", "x.low", "x.high"))
+
+    # distinct values: hashes of what dictionaries list, and of scanned cells
+    number = F.array_position(F.array(*map(F.lit, columns)), F.col("column")).cast("int") - 1
+    hashed = lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit("second"), c).alias("b"))
+    told = listed.join(listing.where("settled").select("file", "column"), ["file", "column"]).select(number.alias("c"), at_load, F.explode("candidates").alias("v"))
+    values = [told.select("c", load, hashed(F.col("v")).alias("h"))]
+    for cols, df in _scans(spark, path, listing):
+        each = F.array(*[F.struct(F.lit(columns.index(c)).alias("c"), F.when(F.col(c).isNotNull(), hashed(F.col(c))).alias("h")) for c in cols])
+        values.append(df.select(load, F.explode(each).alias("x")).select("x.c", load, "x.h").where("h is not null"))
+    distinct = _union(values).select("c", load, "h.a", "h.b").distinct().groupBy("c", load).agg(F.count(F.lit(1)).alias("n_distinct"))
+
+    ends = [F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing")]
+    orders = sorted({t.simpleString() for t in kinds.values()})
+    for k, t in enumerate(orders):
+        own = F.col("column_name").isin(*[c for c, x in kinds.items() if x.simpleString() == t])
+        ends += [f(F.when(own, F.col(x).cast(t))).cast("string").alias(f"{x}{k}") for x, f in (("low", F.min), ("high", F.max))]
+    folded = _union(parts).groupBy("column_name", load).agg(*ends)
+    ranges = [F.coalesce(*[F.col(f"{x}{k}") for k in range(len(orders))]).alias(x) for x in ("low", "high")]
+    counts = distinct.select(_named("c", columns), F.col(load).alias("_load"), "n_distinct")
+    joined = folded.join(counts.withColumnRenamed("column_name", "_name"), (F.col("column_name") == F.col("_name")) & F.col(load).eqNullSafe(F.col("_load")), "left")
+    return joined.select("column_name", load, "n_rows", "n_missing", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"), *ranges)
+
+
+def settled_chunks(spark: SparkSession, path: str, load: str) -> DataFrame:
+    """(column_name, chunks, settled_range, settled_distinct): how many chunks footers and dictionaries settle for ``profile``."""
+    source = spark.read.parquet(path)
+    texts = [f.name for f in source.schema if f.dataType.simpleString() == "string" and f.name != load]
+    spelled = F.exists("candidates", lambda x: py_strip(x).isin(*MISSING))
+    null = F.col("nulls") == F.col("n_rows")
+    ranged = (F.col("nulls") >= 0) & F.col("low").isNotNull() & (~F.col("column").isin(*texts) | (F.col("candidates").isNotNull() & ~spelled))
+    known, _ = _plan(chunks(spark, path, source.columns, texts), load, null | ranged)
+    listed = F.col("load").isNotNull() & (null | F.col("candidates").isNotNull())
+    return known.groupBy(F.col("column").alias("column_name")).agg(F.count(F.lit(1)).alias("chunks"), F.count_if("settled").alias("settled_range"), F.count_if(listed).alias("settled_distinct"))
 
 
 def table_profile(spark: SparkSession, path: str) -> DataFrame:

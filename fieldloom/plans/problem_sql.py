@@ -65,8 +65,12 @@ _TEXTS = "airport_link airport_name city country icao iata airport_light_intensi
 
 
 def _profile(c: str) -> str:
+    """Ranges are those of the column's own type: numbers compare as numbers, times as times."""
     text = f"CAST({c} AS VARCHAR)"
-    return f"SELECT '{c}' AS column_name, load_no, count(*)::BIGINT AS n_rows, (count(*) FILTER ({c} IS NULL OR {_strip(text)} IN ('', 'N/A')))::BIGINT AS n_missing, min({text}) AS low, max({text}) AS high FROM detail_rows GROUP BY load_no"
+    shown = f"strftime({{}}({c}), '%Y-%m-%d %H:%M:%S')" if c == "loaded_at" else f"CAST({{}}({c}) AS VARCHAR)"
+    missing = f"{c} IS NULL OR {_strip(text)} IN ('', 'N/A')"
+    return f"""SELECT '{c}' AS column_name, load_no, count(*)::BIGINT AS n_rows, (count(*) FILTER ({missing}))::BIGINT AS n_missing,
+  count(DISTINCT {c})::BIGINT AS n_distinct, {shown.format('min')} AS low, {shown.format('max')} AS high FROM detail_rows GROUP BY load_no"""
 
 
 def _plain(c: str) -> str:
@@ -105,5 +109,5 @@ p AS (SELECT t.column_name, t.load_no, k.kind, coalesce(s.n, 0) / total AS share
 SELECT 'cell' AS case_kind, column_name, load_no, detail_id FROM u WHERE kind = 'invalid'
 UNION ALL
 SELECT DISTINCT 'shift', a.column_name, a.load_no, 0 FROM p a JOIN p b ON a.column_name = b.column_name AND a.kind = b.kind AND a.load_no = b.load_no + 1 WHERE round(abs(a.share - b.share), 12) > 0.15""",
-    "p5_profile": " UNION ALL ".join(_profile(c) for c in [*_TEXTS, "detail_id"]) + " UNION ALL SELECT 'loaded_at', load_no, count(*)::BIGINT, (count(*) FILTER (loaded_at IS NULL))::BIGINT, strftime(min(loaded_at), '%Y-%m-%d %H:%M:%S'), strftime(max(loaded_at), '%Y-%m-%d %H:%M:%S') FROM detail_rows GROUP BY load_no",
+    "p5_profile": " UNION ALL ".join(_profile(c) for c in [*_TEXTS, "detail_id", "loaded_at"]),
 }

@@ -53,23 +53,25 @@ def p1_values(spark: SparkSession, d: str) -> DataFrame:
     return nested.list_values(_nodes(spark, d, True), "item_id")
 
 
-def _drift(spark: SparkSession, d: str, values: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(fields of files, consecutive files, changes)."""
     items, files = table(spark, d, "airport_items"), table(spark, d, "feed_files")
-    held = materialize(drift.held_fields(items, "feed_id", "raw_json", values, "item_id" if values else None), "held")
+    held = materialize(drift.held_fields(items, "feed_id", "raw_json"), "held")
     sizes = items.groupBy(F.col("feed_id").alias("feed")).agg(F.count(F.lit(1)).alias("records"))
+    fields = materialize(drift.existing(held, sizes), "fields")
     pairs = drift.consecutive(files, "feed_id", "series", "load_no")
-    return held, files, pairs, drift.changes(held, sizes, pairs)
+    return fields, pairs, drift.changes(held, fields, pairs)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _drift(spark, d, False)[3].toDF("feed_id", "section_name", "change_kind", "old_name", "new_name")
+    return _drift(spark, d)[2].toDF("feed_id", "section_name", "change_kind", "old_name", "new_name")
 
 
 def p2_unified(spark: SparkSession, d: str) -> DataFrame:
-    """All records in one consistent table: every field under the name it bore first in its series, and with one type."""
-    held, files, pairs, changed = _drift(spark, d, True)
-    names = drift.canonical_names(changed, pairs, files, "feed_id", "series", "load_no")
-    return drift.unified(held, names).toDF("item_id", "feed_id", "section_name", "field_name", "json_type", "value", "fits")
+    """All records in one consistent table, a row each and a typed column for every field of both sections, under the name it bore first in its series."""
+    fields, pairs, changed = _drift(spark, d)
+    names = materialize(drift.canonical_names(changed, pairs, table(spark, d, "feed_files"), "feed_id", "series", "load_no"), "names")
+    return drift.unified(table(spark, d, "airport_items"), "item_id", "feed_id", "raw_json", names, drift.targets(fields, names))
 
 
 #: The feeds of airport_items arrive in so many runs of consecutive numbers, each accepted as one batch.
@@ -139,13 +141,13 @@ def p5_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_profile(spark: SparkSession, d: str) -> DataFrame:
-    """Every column by load: rows, missing cells, range as text (as in its SQL, so numbers are compared as text); p5_columns has ranges in the columns' own types and distinct values."""
+    """Every column by load: rows, missing cells, distinct values, and the range in the column's own order."""
     return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no")
 
 
-def p5_columns(spark: SparkSession, d: str) -> DataFrame:
-    """Every column by load: rows, missing cells, range in the column's own type, distinct values (exact)."""
-    return profile.profile(spark, f"{d}/detail_rows.parquet", "load_no", True, True)
+def p5_settled(spark: SparkSession, d: str) -> DataFrame:
+    """How many chunks of each column p5_profile takes from footers and dictionaries."""
+    return profile.settled_chunks(spark, f"{d}/detail_rows.parquet", "load_no")
 
 
 def p5_footers(spark: SparkSession, d: str) -> DataFrame:
@@ -153,4 +155,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_columns, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_settled, p5_footers)}

@@ -220,3 +220,22 @@ def test_queries_and_sql_agree_at_the_smallest_size(spark):
         want = sorted(map(repr, con.execute(f"select {', '.join(cols)} from ({sql[name]})").fetchall()))
         assert got == want, name
     assert e.entry(spark).count() > 0
+
+
+def test_url_join_like_the_standard_library(spark):
+    """Against the standard library, over references made of parts that matter."""
+    from itertools import product
+    from urllib.parse import urljoin
+
+    from fieldloom.functions.links import url_join
+
+    heads = ["", "/", "//", "./", "../", "../../", "../../../", "http:", "https:", "HTTPS://h.x", "mailto:", "//o.x/", "/a/", " ", "\t", "a:b", "1:b"]
+    tails = ["", "c", "c/", "c/./d", "c/../d", "c//d", "..", ".", "c/..", "?q=1", "c?q=/../x", "#f", "c#f/../g", "?", "#", "c?q#f", "c d", "é", "c\n/d"]
+    refs = sorted({a + b for a, b in product(heads, tails)})
+    bases = ["https://h.example/a/b/c?x=1#y", "http://h.example", "https://h.example/a/b/", "https://h.example/", "", "/p/q", "https://h.example//a//b/c"]
+    df = spark.createDataFrame(list(product(bases, refs)), "b string, r string")
+    got = df.select("b", "r", url_join(F.col("b"), F.col("r")).alias("u")).collect()
+    assert [(x["b"], x["r"], x["u"], urljoin(x["b"], x["r"])) for x in got if x["u"] != urljoin(x["b"], x["r"])] == []
+    assert "ArrowEval" not in df.select(url_join(F.col("b"), F.col("r")))._jdf.queryExecution().toString()
+    odd = spark.createDataFrame([("https://h.example/a", None), (None, "x"), ("https://h.example/a", "//[x/y")], "b string, r string")
+    assert [x[0] for x in odd.select(url_join(F.col("b"), F.col("r"))).collect()] == ["https://h.example/a", "x", "//[x/y"]
