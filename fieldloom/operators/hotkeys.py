@@ -9,14 +9,11 @@ distinct spellings rather than on rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import name_key
 
-#: Reference lists up to so many rows are broadcast, larger ones are joined by shuffle.
-BROADCAST_ROWS = 100_000
-
 
 def spellings(ref: DataFrame, name: str, others: str) -> DataFrame:
     """(key, name) for each name of a reference list and each of its other names; a key two names share goes to the one bearing it itself, then to the lesser."""
@@ -31,9 +28,7 @@ def count_states(df: DataFrame, keys: list[str], cell: str, **aggregates: Column
 
 
 def resolve(states: DataFrame, names: DataFrame) -> DataFrame:
-    """``states`` with the name their cell stands for, null where it names none."""
-    if names.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        names = F.broadcast(names)
+    """``states`` with the name their cell stands for, null where it names none. Adaptive execution broadcasts the names if they are few; what would be shuffled otherwise are states, not rows."""
     keyed = states.withColumn("key", name_key(F.col("cell")))
     return keyed.join(names, "key", "left").drop("key")
 
@@ -42,12 +37,12 @@ def shares(df: DataFrame, group: str, cell: str, ref: DataFrame, name: str, othe
     """(group, name, n, total): rows of each name in each group, and all rows of the group.
 
     Null groups form a group. Rows whose cell is null, blank or unknown count in the total and come out under the name
-    null. An empty table gives no rows. The total is folded from the states, not from the rows.
+    null. An empty table gives no rows. The total is summed over a
+    group's names, of which there are no more than the reference list has and the null one, so the table is scanned once.
     """
     states = resolve(count_states(df.select(group, cell), [group], cell), spellings(ref, name, others))
     per_name = states.groupBy(group, "name").agg(F.sum("n").alias("n"))
-    totals = per_name.groupBy(F.col(group).alias("g")).agg(F.sum("n").alias("total"))
-    return per_name.join(totals, F.col(group).eqNullSafe(F.col("g"))).select(group, "name", "n", "total")
+    return per_name.select(group, "name", "n", F.sum("n").over(Window.partitionBy(group)).alias("total"))
 
 
 def heavy(counted: DataFrame, share: float) -> DataFrame:
