@@ -8,6 +8,7 @@ included; ``:contains`` looks at all text below an element.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -20,14 +21,19 @@ SCOPES = {"ul", "ol", "dl", "table", "select", "div", "td", "th", "body"}
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "classes", "children", "parent", "order", "_text", "_below")
+    """order, end: the element's place in the document and that of the last one below it; previous: the element just before it among its siblings."""
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None, order: int):
-        self.tag, self.attrs, self.parent, self.order = tag, attrs, parent, order
-        self.classes = frozenset(attrs.get("class", "").split())
+    __slots__ = ("tag", "attrs", "classes", "children", "parent", "order", "end", "previous", "page", "_last", "_text")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None, order: int, page: Page):
+        self.tag, self.attrs, self.parent, self.order, self.page = tag, attrs, parent, order, page
+        self.classes = frozenset(attrs["class"].split()) if "class" in attrs else frozenset()
         self.children: list[Element | str] = []
         self._text: str | None = None
-        self._below: list[Element] | None = None
+        self._last: Element | None = None
+        self.previous = None if parent is None else parent._last
+        if parent is not None:
+            parent._last = self
 
     def text(self) -> str:
         """All text below."""
@@ -42,33 +48,41 @@ class Element:
             self._text = "".join(out)
         return self._text
 
-    def before(self) -> Element | None:
-        """The element just before this one among its siblings."""
-        last = None
-        for x in self.parent.children if self.parent else ():
-            if x is self:
-                return last
-            if type(x) is not str:
-                last = x
-        return None
-
-    def below(self) -> list[Element]:
-        """The elements below, in document order, once the tree is built."""
-        if self._below is None:
-            out, todo = [], [x for x in reversed(self.children) if type(x) is not str]
-            while todo:
-                x = todo.pop()
-                out.append(x)
-                todo += [y for y in reversed(x.children) if type(y) is not str]
-            self._below = out
-        return self._below
+
+class Page:
+    """All elements in document order, and their places by tag (``p``), class (``.c``) and id (``#i``)."""
+
+    def __init__(self) -> None:
+        self.elements: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+
+    def close(self) -> None:
+        for e in self.elements:
+            e.end = e.order
+            for k in (e.tag, *["." + c for c in e.classes], *(["#" + e.attrs["id"]] if "id" in e.attrs else [])):
+                self.places.setdefault(k, []).append(e.order)
+        for e in reversed(self.elements):
+            if e.parent is not None and e.parent.end < e.end:
+                e.parent.end = e.end
+
+    def below(self, top: Element, key: str | None) -> list[Element]:
+        """The elements below ``top`` that bear a tag, class or id, in document order."""
+        if key is None:
+            return self.elements[top.order + 1 : top.end + 1]
+        at = self.places.get(key, [])
+        return [self.elements[k] for k in at[bisect_right(at, top.order) : bisect_right(at, top.end)]]
 
 
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.n = 0
-        self.root = self.at = Element("#root", {}, None, 0)
+        self.page = Page()
+        self.root = self.at = self.made("#root", {}, None)
+
+    def made(self, tag: str, attrs: dict[str, str], parent: Element | None) -> Element:
+        e = Element(tag, attrs, parent, len(self.page.elements), self.page)
+        self.page.elements.append(e)
+        return e
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         x = self.at
@@ -80,11 +94,10 @@ class _Builder(HTMLParser):
             elif x.tag in SCOPES:
                 break
             x = x.parent
-        self.n += 1
         own: dict[str, str] = {}
         for k, v in attrs:
             own.setdefault(k, v or "")
-        e = Element(tag, own, self.at, self.n)
+        e = self.made(tag, own, self.at)
         self.at.children.append(e)
         if tag not in VOID:
             self.at = e
@@ -116,6 +129,7 @@ def parse(html: str) -> Element:
     b = _Builder()
     b.feed(html)
     b.close()
+    b.page.close()
     return b.root
 
 
@@ -177,8 +191,7 @@ def _matches(e: Element, steps: tuple, k: int, top: Element) -> bool:
     if k == 0:
         return True
     if steps[k][0] == "+":
-        b = e.before()
-        return b is not None and _matches(b, steps, k - 1, top)
+        return e.previous is not None and _matches(e.previous, steps, k - 1, top)
     a = e.parent
     while a is not None and a.parent is not None:
         if _matches(a, steps, k - 1, top):
@@ -187,23 +200,31 @@ def _matches(e: Element, steps: tuple, k: int, top: Element) -> bool:
     return False
 
 
+def _key(compound: tuple) -> str | None:
+    """The tag, class or id by which a page finds the elements that a compound may fit: a class or an id, if it has one."""
+    for tag, cls, id_, *_ in compound:
+        if cls is not None or id_ is not None:
+            return "." + cls if cls is not None else "#" + id_
+    return next((t.lower() for t, *_ in compound if t is not None), None)
+
+
 def select(top: Element, selector: str) -> list:
     """Elements, texts or attribute values, in document order."""
-    out = []
+    found: dict[int, tuple[Element, str]] = {}
     ways = _compiled(selector)
-    inner = top.below()
-    for e in [top, *inner] if any(not s for s, _ in ways) else inner:
-        for steps, pseudo in ways:
-            if not steps and e is not top or steps and (e is top or not _matches(e, steps, len(steps) - 1, top)):
-                continue
-            if pseudo == "text":
-                out += [x for x in e.children if type(x) is str]
-            elif pseudo.startswith("attr("):
-                if (v := e.attrs.get(pseudo[5:-1])) is not None:
-                    out.append(v)
-            else:
-                out.append(e)
-            break
+    for steps, pseudo in ways:
+        for e in top.page.below(top, _key(steps[-1][1])) if steps else [top]:
+            if e.order not in found and (not steps or _matches(e, steps, len(steps) - 1, top)):
+                found[e.order] = (e, pseudo)
+    out = []
+    for _, (e, pseudo) in sorted(found.items()) if len(ways) > 1 else found.items():
+        if pseudo == "text":
+            out += [x for x in e.children if type(x) is str]
+        elif pseudo.startswith("attr("):
+            if (v := e.attrs.get(pseudo[5:-1])) is not None:
+                out.append(v)
+        else:
+            out.append(e)
     return out
 
 

@@ -50,32 +50,56 @@ def nth(k: int) -> Callable[[Element, str], str]:
 
 
 # Selectors of the pages' markup.
-_LABEL = 'div.w35p.bold:contains("{}") + div'
-_VENDOR = [("Name", "div.vendorName a strong::text", text), ("Address", _LABEL.format("Address") + "::text", joined), ("Phone", _LABEL.format("Phone") + "::text", text)]
-_VENDOR_LINKS = [("Email", _LABEL.format("Email") + " a::attr(href)", mail), ("Website", _LABEL.format("Website") + " a::attr(href)", raw)]
-_CATERER = 'div.fl.w35p.bold:contains("{}")'
 SECTIONS = {
     "Contact Information": ("div.results-content div.clearfix.result", [
-        ("ContactName", "div.w31p.fl.bold::text", text), ("Frequency", "div.w17p.fl.p3px div::text", text),
-        ("Phone", 'div.w30p.fl.p3px div.clearfix:contains("Phone") + div::text', text), ("Fax", 'div.w30p.fl.p3px div.clearfix:contains("Fax") + div::text', text),
-        ("Email", "div.w22p.fl.p3px div a::attr(href)", mail), ("Website", 'div.w22p.fl.p3px a[href^="http"]::attr(href)', raw),
+        ("ContactName", "div.w31p.fl.bold::text", text),
+        ("Frequency", "div.w17p.fl.p3px div::text", text),
+        ("Phone", 'div.w30p.fl.p3px div.clearfix:contains("Phone") + div::text', text),
+        ("Fax", 'div.w30p.fl.p3px div.clearfix:contains("Fax") + div::text', text),
+        ("Email", "div.w22p.fl.p3px div a::attr(href)", mail),
+        ("Website", 'div.w22p.fl.p3px a[href^="http"]::attr(href)', raw),
     ]),
     "FBO Information": ("div.fbo div.vendor", [
-        *_VENDOR, ("Tel", _LABEL.format("Tel After Hours") + "::text", text), *_VENDOR_LINKS,
-        ("Aftn", 'div.w30p.fl strong:contains("AFTN") + div::text', text), ("Sita", 'div.w30p.fl strong:contains("SITA") + div::text', text),
+        ("Name", "div.vendorName a strong::text", text),
+        ("Address", 'div.w35p.bold:contains("Address") + div::text', joined),
+        ("Phone", 'div.w35p.bold:contains("Phone") + div::text', text),
+        ("Tel", 'div.w35p.bold:contains("Tel After Hours") + div::text', text),
+        ("Email", 'div.w35p.bold:contains("Email") + div a::attr(href)', mail),
+        ("Website", 'div.w35p.bold:contains("Website") + div a::attr(href)', raw),
+        ("Aftn", 'div.w30p.fl strong:contains("AFTN") + div::text', text),
+        ("Sita", 'div.w30p.fl strong:contains("SITA") + div::text', text),
+    ]),
+    "Handler Inforamtion": ("div.bluePanelContent div.vendor", [
+        ("Name", "div.vendorName a strong::text", text),
+        ("Address", 'div.w35p.bold:contains("Address") + div::text', joined),
+        ("Phone", 'div.w35p.bold:contains("Phone") + div::text', text),
+        ("Fax", 'div.w35p.bold:contains("Fax") + div::text', text),
+        ("Email", 'div.w35p.bold:contains("Email") + div a::attr(href)', mail),
+        ("Website", 'div.w35p.bold:contains("Website") + div a::attr(href)', raw),
     ]),
-    "Handler Inforamtion": ("div.bluePanelContent div.vendor", [*_VENDOR, ("Fax", _LABEL.format("Fax") + "::text", text), *_VENDOR_LINKS]),
     "Caterers Information": ("div.bluePanelRow.clearfix.mbGrey", [
-        ("Name", "div.clearboth a strong.fs18px::text", text), ("Phone", _CATERER.format("Phone") + " + div::text", text), ("Fax", _CATERER.format("Fax") + " + div::text", text),
-        ("Email", _CATERER.format("Email") + " a::attr(href)", mail), ("Website", _CATERER.format("Website") + " + div a::attr(href)", raw), ("SITA", _CATERER.format("SITA") + " + div::text", text),
+        ("Name", "div.clearboth a strong.fs18px::text", text),
+        ("Phone", 'div.fl.w35p.bold:contains("Phone") + div::text', text),
+        ("Fax", 'div.fl.w35p.bold:contains("Fax") + div::text', text),
+        ("Email", 'div.fl.w35p.bold:contains("Email") a::attr(href)', mail),
+        ("Website", 'div.fl.w35p.bold:contains("Website") + div a::attr(href)', raw),
+        ("SITA", 'div.fl.w35p.bold:contains("SITA") + div::text', text),
     ]),
     "Hotel Info": (".bluePanelRow.clearfix.mbGrey.noPaddingLR", [
-        ("Name", ".fs18px.bold::text", text), ("Phone", 'div:contains("Phone") + div::text', text), ("Fax", 'div:contains("Fax") + div::text', text), ("Website", 'div:contains("Website") + div a::attr(href)', raw),
-        ("Address", ".w25p .fl.w100p::text", lines), ("Distance", ".w20p .fl.w100p::text", nth(0)), ("PriceRange", ".w20p .fl.w100p::text", nth(1)),
+        ("Name", ".fs18px.bold::text", text),
+        ("Phone", 'div:contains("Phone") + div::text', text),
+        ("Fax", 'div:contains("Fax") + div::text', text),
+        ("Website", 'div:contains("Website") + div a::attr(href)', raw),
+        ("Address", ".w25p .fl.w100p::text", lines),
+        ("Distance", ".w20p .fl.w100p::text", nth(0)),
+        ("PriceRange", ".w20p .fl.w100p::text", nth(1)),
     ]),
     "Car Rental Info": ("div.bluePanelContent", [
-        ("SupplierId", 'input[type="hidden"]::attr(value)', raw), ("CompanyName", "div.w30p.fs18px.bold::text", text), ("Phone", "div.w35p div.fl.w65p::text", text),
-        ("Email", "div.fl.w35p div.fl.w65p + div a::attr(href)", mail), ("Website", "div.w35p a::attr(href)", raw),
+        ("SupplierId", 'input[type="hidden"]::attr(value)', raw),
+        ("CompanyName", "div.w30p.fs18px.bold::text", text),
+        ("Phone", "div.w35p div.fl.w65p::text", text),
+        ("Email", "div.fl.w35p div.fl.w65p + div a::attr(href)", mail),
+        ("Website", "div.w35p a::attr(href)", raw),
     ]),
 }
 ONE_OF = {"Car Rental Info": ("div.w30p.fs18px.bold::text", "div.w35p div.fl.w65p::text")}
@@ -134,35 +158,49 @@ def image(page: Element, url: str | None, icao: str | None, folder: str, referer
     return out
 
 
-def item(html: str | None, link: str | None, images: bool = False, folder: str = "downloaded_images") -> dict:
-    """A page as a record of ITEM, and ``_error``. A null page has empty sections; without ``images`` the image fields are null."""
-    out: dict = {"Airport Details": {}, **{m: {} for m in MAPS}, **{a: [] for a in ARRAYS}, **dict.fromkeys(IMAGE), "_error": None}
+def item(html: str | None, link: str | None, images: bool = False, folder: str = "downloaded_images", wanted: frozenset[str] | None = None) -> dict:
+    """A page as a record of ITEM, and ``_error``. A null page has empty sections; without ``images`` the image fields are null, and so are sections that aren't ``wanted``."""
+    asked = lambda name: wanted is None or name in wanted
+    empty = {"Airport Details": {}, **{m: {} for m in MAPS}, **{a: [] for a in ARRAYS}}
+    out: dict = {**{n: x if asked(n) else None for n, x in empty.items()}, **dict.fromkeys(IMAGE), "_error": None}
     try:
         page = parse(html or "")
-        out["Airport Details"] = details(page, link)
-        out[MAPS[0]] = additional(page)
-        out[MAPS[1]] = information(page)
+        found = details(page, link) if asked("Airport Details") or images else {}
+        if asked("Airport Details"):
+            out["Airport Details"] = found
+        for m, read in zip(MAPS, (additional, information)):
+            if asked(m):
+                out[m] = read(page)
         for a in ARRAYS:
-            out[a] = section(page, a)
+            if asked(a):
+                out[a] = section(page, a)
         if images:
-            out |= image(page, link, out["Airport Details"].get("ICAO"), folder, link)
+            out |= image(page, link, found.get("ICAO"), folder, link)
     except Exception as e:  # noqa: BLE001  a page never takes its batch with it
         out["_error"] = f"{type(e).__name__}: {e}"
     return out
 
 
-def extract(pages: DataFrame, key: str, link: str, html: str, images: bool = False, folder: str = "downloaded_images") -> DataFrame:
-    """``key``, the columns of ITEM and ``_error``: one record a page. Filters and joins belong before this pass, as none is pushed through it."""
-    types = [(f.name, to_arrow_type(f.dataType)) for f in ITEM.fields] + [("_error", pa.string())]
-    shape = ", ".join([f"key {pages.schema[key].dataType.simpleString()}", *[f"`{f.name}` {_ddl(f.dataType)}" for f in ITEM.fields], "_error string"])
+def extract(
+    pages: DataFrame, key: str, link: str, html: str, images: bool = False, folder: str = "downloaded_images", sections: list[str] | None = None
+) -> DataFrame:
+    """``key``, the columns of ITEM and ``_error``: one record a page, and of ITEM's sections only ``sections``, if given.
+
+    Filters and joins belong before this pass, as none is pushed through it.
+    """
+    wanted = None if sections is None else frozenset(sections)
+    kept = [f for f in ITEM.fields if wanted is None or f.name in wanted or images and f.name in IMAGE]
+    types = [(f.name, to_arrow_type(f.dataType)) for f in kept] + [("_error", pa.string())]
+    shape = ", ".join([f"key {pages.schema[key].dataType.simpleString()}", *[f"`{f.name}` {_ddl(f.dataType)}" for f in kept], "_error string"])
     plain = lambda v, t: list(v.items()) if pa.types.is_map(t) else v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                rows = [item(h, u, images, folder) for u, h in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([plain(r[n], t) for r in rows], t) for n, t in types]], names=["key", *[n for n, _ in types]])
+                rows = [item(h, u, images, folder, wanted) for u, h in zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
+                columns = [pa.array([plain(r[n], t) for r in rows], t) for n, t in types]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["key", *[n for n, _ in types]])
 
     out = spread(pages.select(F.col(key).alias("key"), F.col(link).cast("string").alias("link"), F.col(html).cast("string").alias("html"))).mapInArrow(run, shape)
     return out.withColumnRenamed("key", key)

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import absolutize, host_in
 from ..functions.text import py_strip
+from ..session import materialize
 
 #: Fixed value: the default column.
 LINK = "Airport Link"
-#: A set of finished links up to so many rows is broadcast, a larger one is joined by shuffle.
-BROADCAST_ROWS = 1_000_000
 
 
 def frontier(df: DataFrame, base: str, column: str = LINK, keep: list[str] | None = None) -> DataFrame:
@@ -55,12 +54,10 @@ def logged_in(status: Column, html: Column) -> Column:
 def remaining(links: DataFrame, column: str, done: DataFrame, done_column: str) -> DataFrame:
     """``links`` whose stripped link isn't among the finished ones, every column and repeated row kept; null links stay.
 
-    Finished links are stripped, empty and null ones dropped, and made distinct before the join. They are broadcast only
-    if BROADCAST_ROWS or fewer; beyond that the join shuffles both sides by link.
+    Finished links are stripped, empty and null ones dropped, made distinct and written once before the join. So their
+    size is known when the join is planned: Spark broadcasts them below its own threshold and shuffles both sides beyond.
     """
-    seen = done.select(py_strip(F.col(done_column)).alias("_seen")).where("_seen <> ''").distinct()
-    if seen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        seen = F.broadcast(seen)
+    seen = materialize(done.select(py_strip(F.col(done_column)).alias("_seen")).where("_seen <> ''").distinct(), "seen")
     return links.join(seen, py_strip(F.col(f"`{column}`")) == F.col("_seen"), "left_anti")
 
 
@@ -76,7 +73,28 @@ def progress(links: DataFrame, column: str, left: DataFrame) -> DataFrame:
     return both.agg(F.sum("a").alias("n_links"), F.sum("r").alias("n_remaining"), F.countDistinct("link").alias("n_distinct"))
 
 
+def ranked(df: DataFrame, column: str) -> DataFrame:
+    """(column, rank, n): the distinct values in order, numbered from 1, and how many there are; a null one comes first.
+
+    They are sorted by range, numbered within each range, and shifted by the sizes of the ranges before: the only window
+    without a key runs over one row per range. The ranges are written once, since cutting them again might cut elsewhere.
+    """
+    cut = df.select(column).distinct().repartitionByRange(column).withColumn("_range", F.spark_partition_id())
+    cut = materialize(cut, "ranges")
+    sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("n"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+    return cut.withColumn("_at", inside).join(F.broadcast(before), "_range").select(column, (F.col("_before") + F.col("_at")).alias("rank"), "n")
+
+
 def per_file(df: DataFrame, file: str, column: str) -> DataFrame:
     """(file, n_rows, n_links): rows and usable links of each input file."""
     c = F.col(column)
     return df.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(c.isNotNull() & (c != "")).alias("n_links"))
+
+
+def status(records: DataFrame, file: str) -> DataFrame:
+    """(file, n_records, status, error) of exploded feeds: how many records each input gave, ``ok`` or ``failed``, and why."""
+    bad = F.col("error").isNotNull()
+    per = records.groupBy(file).agg(F.count_if(~bad).alias("n_records"), F.max("error").alias("error"))
+    return per.select(file, "n_records", F.when(F.col("error").isNull(), "ok").otherwise("failed").alias("status"), "error")

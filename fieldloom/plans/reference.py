@@ -59,9 +59,8 @@ def batch_status(spark: SparkSession, d: str) -> DataFrame:
 
 def file_order(spark: SparkSession, d: str) -> DataFrame:
     """Input files in the order of their names, by bytes, each with its rank and how many there are."""
-    files = table(spark, d, "link_rows").select("file_name").distinct()
-    ranked = files.withColumn("rank", F.expr("row_number() over (order by file_name)"))  # one row a file: as many as a folder lists
-    return ranked.withColumn("n_files", F.expr("count(*) over ()"))
+    out = frontier.ranked(table(spark, d, "link_rows"), "file_name")
+    return out.select("file_name", F.col("rank").cast("int").alias("rank"), F.col("n").alias("n_files"))
 
 
 def union_feed(spark: SparkSession, d: str) -> DataFrame:

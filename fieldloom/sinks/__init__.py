@@ -42,12 +42,12 @@ def export_array(items: DataFrame, path: str, details: str = "Airport Details")
 def write_links(links: DataFrame, path: str, group: str = "Country") -> None:
     """Link tables in CSV, a folder for each group, replaced as a whole: header, CRLF, quotes doubled, null as an empty cell."""
     out = links.select(*[F.col(f"`{c}`") for c in LINK_COLUMNS], F.coalesce(F.col(f"`{group}`"), F.lit("")).alias("group"))
-    out.write.mode("overwrite").partitionBy("group").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").partitionBy("group").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_survivors(links: DataFrame, path: str) -> None:
     """What is left of a link table, with its own header, to be read by the next run."""
-    links.write.mode("overwrite").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").csv(path)
+    links.write.mode("overwrite").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def append_store(items: DataFrame, path: str) -> None:

@@ -130,6 +130,9 @@ def test_frontier(spark):
     assert [r["id"] for r in frontier.first_n(df, 2, "id").collect()] == [0, 1] and frontier.first_n(df, 0, "id").count() == len(links)
     with pytest.raises(ValueError):
         frontier.first_n(df, -1, "id")
+    names = spark.createDataFrame([(x,) for x in ["b", "a", None, "b", "Z", "é", "ab"]], "f string")
+    assert sorted((r["rank"], r["f"], r["n"]) for r in frontier.ranked(names, "f").collect()) == [(1, None, 6), (2, "Z", 6), (3, "a", 6), (4, "ab", 6), (5, "b", 6), (6, "é", 6)]
+    assert frontier.ranked(names.limit(0), "f").count() == 0
     urls = spark.createDataFrame([("https://A.aerodex.example:80/x",), ("https://aerodex.example.",), ("https://xaerodex.example/",), ("nope",), (None,), ("https://u@aerodex.example/?q",)], "u string")
     assert [r[0] for r in urls.select(host_in(F.col("u"), "aerodex.example")).collect()] == [True, True, False, False, False, True]
     assert urls.select(absolutize(F.lit(None).cast("string"), F.col("u"))).count() == 6
@@ -137,9 +140,11 @@ def test_frontier(spark):
     assert frontier.unique(urls.union(urls), "u").count() == 6
 
 
-@pytest.mark.parametrize("bound", [10, 1])
-def test_resume(spark, monkeypatch, bound):
-    monkeypatch.setattr(frontier, "BROADCAST_ROWS", bound)
+@pytest.mark.parametrize("bound", ["10MB", "-1"])
+def test_resume(spark, request, bound):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
     links = spark.createDataFrame([(1, " a "), (2, "b"), (3, None), (4, "b"), (5, ""), (6, "c")], "id int, l string")
     done = spark.createDataFrame([("a",), (None,), ("",), ("c\xa0",), ("a",)], "l string")
     left = frontier.remaining(links, "l", done, "l")
@@ -197,7 +202,7 @@ def test_stream_of_link_files(spark, tmp_path):
     for i, codes in enumerate((["aaaaabbbbb", "cccccddddd"], ["aaaaabbbbb", "cccccdddd0", "eeeeefffff"])):
         (tmp_path / "in").mkdir(exist_ok=True)
         (tmp_path / "in" / f"{i}.csv").write_text(head + "".join(f"I,n,c,s,k,/Field-Info/x-{c}\n" for c in codes))
-    h = History(spark, f"file://{tmp_path}/h", 2)
+    h = History(spark, f"file://{tmp_path}/h")
     q = deduplicated(link_stream(spark, str(tmp_path / "in")), h, str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
     assert q.exception() is None and spark.read.parquet(str(tmp_path / "out")).where("later_id > first_id").count() == 2
