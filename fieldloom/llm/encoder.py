@@ -38,15 +38,19 @@ class Encoder(NamedTuple):
     vocabulary: str
 
 
-def fit(spark: SparkSession, docs: DataFrame, text: str, vocabulary: str | None = None, sample: int = SAMPLE_DOCUMENTS, words: int = LEXICON_WORDS) -> Encoder:
+def fit(
+    spark: SparkSession, docs: DataFrame, key: str, text: str, vocabulary: str | None = None, sample: int = SAMPLE_DOCUMENTS, words: int = LEXICON_WORDS
+) -> Encoder:
     """Compiles the frequent words of a hash sample of about ``sample`` documents, with the vocabulary's ids, into a transducer.
 
-    The file goes to the session's shared folder and from there to every executor, which map it into memory. What comes
+    The sample is drawn by the documents' keys, not by their texts, so a text that a third of the corpus repeats is in it
+    in proportion. The file goes to the session's shared folder and from there to every executor, which map it into memory. What comes
     to the driver is bounded by ``words``.
     """
     vocabulary = vocabulary or vocabulary_path()
     share = min(1.0, sample / max(1, docs.count()))
-    kept = docs.where(F.col(text).isNotNull() & (F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20)))) if share < 1 else docs
+    drawn = F.pmod(F.xxhash64(key), F.lit(1 << 53)) < F.lit(int(share * (1 << 53)))
+    kept = docs.where(F.col(text).isNotNull() & drawn) if share < 1 else docs
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter[bytes] = Counter()
@@ -183,3 +187,35 @@ def token_counts(docs: DataFrame, keep: list[str], text: str, encoder: Encoder)
 
     out = spread(docs.select(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("text"))).mapInArrow(run, f"{kinds}, n_tokens bigint")
     return out.toDF(*keep, "n_tokens")
+
+
+@lru_cache(4)
+def _tokens(vocabulary: str) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all tokens in the order of their ids, where each begins)."""
+    words = sorted(ranks(vocabulary).items(), key=lambda x: x[1])
+    starts = np.zeros(words[-1][1] + 2, np.int64)
+    for w, i in words:
+        starts[i + 1] = len(w)
+    return np.frombuffer(b"".join(w for w, _ in words), np.uint8), np.cumsum(starts)
+
+
+def decode(encoded: DataFrame, key: str, ids: str, vocabulary: str) -> DataFrame:
+    """(key, text): the text that each list of ids stands for; bytes that are no text become U+FFFD, a null list is null."""
+    kind = encoded.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data, starts = _tokens(vocabulary)
+        for batch in batches:
+            texts: list[str | None] = []
+            for own in batch.column(1):
+                if own.values is None:
+                    texts.append(None)
+                    continue
+                i = own.values.to_numpy(zero_copy_only=False)
+                long = starts[i + 1] - starts[i]
+                ends = np.cumsum(long)
+                at = np.repeat(starts[i] - (ends - long), long) + np.arange(ends[-1] if len(ends) else 0)
+                texts.append(data[at].tobytes().decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["key", "text"])
+
+    return encoded.select(F.col(key).alias("key"), F.col(ids)).mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)

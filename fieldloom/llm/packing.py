@@ -11,18 +11,21 @@ largest first.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import parallelism
+from ..session import materialize, parallelism
 
 #: Containers a window has room for, and items a bucket of a queue should hold.
 WINDOW_CONTAINERS, BUCKET_ITEMS = 256, 20_000
 #: Container ids are window times this plus the place in the window.
 WINDOW_IDS = 1 << 20
+#: Windows that a prefix sum takes in one go.
+BLOCK_WINDOWS = 10_000
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[int]:
@@ -48,6 +51,42 @@ def _served(turn: Column, listed: list[tuple[float, float]]) -> Column:
     return out
 
 
+class Rates(NamedTuple):
+    """How queues are served: the named ones' totals and rates, and those of all others together."""
+
+    named: dict[str, tuple[float, float]]
+    rest: tuple[float, float]
+    total: float
+
+    @property
+    def listed(self) -> list[tuple[float, float]]:
+        return [*self.named.values(), self.rest]
+
+    def turn(self, position: Column) -> Column:
+        """The turn at which so many tokens have been served in all, from the turns at which queues run empty."""
+        ends = sorted({0.0, *[t / r for t, r in self.listed if t > 0]})
+        served = lambda x: sum(min(t, r * x) for t, r in self.listed)
+        out = F.lit(ends[-1])
+        for a, b in zip(reversed(ends[:-1]), reversed(ends[1:])):
+            slope = (served(b) - served(a)) / (b - a)
+            out = F.when(position < served(b), F.lit(a) + (position - F.lit(served(a))) / F.lit(slope)).otherwise(out)
+        return out
+
+
+def rates(totals: DataFrame, mixture: dict[str, float]) -> Rates:
+    """totals: (queue, m). Collects the totals of the named queues."""
+    named = {"=" + s: float(w) for s, w in mixture.items() if w > 0}
+    have = {r["queue"]: r["m"] for r in totals.where(F.col("queue").isin(*named)).groupBy("queue").agg(F.sum("m").alias("m")).collect()}
+    total = totals.agg(F.sum("m")).first()[0] or 0
+    rest = total - sum(have.values())
+    rest_rate = max(1 - sum(named.values()), 0) or (rest / max(total, 1)) or 1.0
+    return Rates({q: (float(have.get(q, 0)), w) for q, w in named.items()}, (float(rest), rest_rate), float(total))
+
+
+def _queue(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("~"))
+
+
 def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mixture: dict[str, float] | None = None, window_containers: int = WINDOW_CONTAINERS) -> DataFrame:
     """(key, piece_no, start_token, n_tokens, source, window_no, container_id): each document in one container.
 
@@ -62,7 +101,7 @@ def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mi
     spark = sizes.sparkSession
     buckets = max(parallelism(spark), -(-sizes.count() // BUCKET_ITEMS))
     docs = sizes.select(F.col(key).alias("key"), F.col(source).alias("source"), F.coalesce(F.col(tokens), F.lit(0)).cast("bigint").alias("n"))
-    docs = docs.withColumn("queue", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("~"))).withColumn("mark", F.xxhash64("key")).withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
+    docs = docs.withColumn("queue", _queue(F.col("source"))).withColumn("mark", F.xxhash64("key")).withColumn("bucket", F.pmod("mark", F.lit(buckets)).cast("int"))
     # prefix sums, first over buckets, then within
     folded = docs.where("n > 0").groupBy("queue", "bucket").agg(F.sum("n").alias("m"))
     by_bucket = Window.partitionBy("queue").orderBy("bucket")
@@ -76,14 +115,11 @@ def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mi
     items = items.withColumn("start_token", F.col("piece_no") * cap).withColumn("size", F.least(cap.cast("bigint"), F.col("n") - F.col("start_token")))
     done = F.col("ahead") + F.col("local") + F.col("start_token")
     if mixture:
-        named = {"=" + s: float(w) for s, w in mixture.items() if w > 0}
-        have = {r["queue"]: r["m"] for r in folded.where(F.col("queue").isin(*named)).groupBy("queue").agg(F.sum("m").alias("m")).collect()}
-        rest_total = total - sum(have.values())
-        rest_rate = max(1 - sum(named.values()), 0) or (rest_total / max(total, 1)) or 1.0
-        rates = F.lit(rest_rate / max(rest_total, 1)) * F.col("queue_total")
-        for q, w in named.items():
-            rates = F.when(F.col("queue") == q, F.lit(w)).otherwise(rates)
-        position = _served(done / rates, [(have.get(q, 0), w) for q, w in named.items()] + [(rest_total, rest_rate)])
+        plan = rates(folded, mixture)
+        rate = F.lit(plan.rest[1] / max(plan.rest[0], 1)) * F.col("queue_total")
+        for q, (_, w) in plan.named.items():
+            rate = F.when(F.col("queue") == q, F.lit(w)).otherwise(rate)
+        position = _served(done / rate, plan.listed)
     else:
         position = done / F.col("queue_total") * F.lit(float(total))
     items = items.withColumn("window_no", F.least(F.floor(position * windows / F.lit(float(max(total, 1)))), F.lit(windows - 1)).cast("bigint"))
@@ -103,6 +139,30 @@ def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mi
     return out.select(F.col("key").alias(key), "piece_no", "start_token", "n_tokens", F.col("source").alias(source if source != key else source + "_"), "window_no", "container_id")
 
 
+def balance(packed: DataFrame, source: str, mixture: dict[str, float]) -> DataFrame:
+    """(window_no, queue, n_tokens, target, deficit): for each window and each source of ``mixture``, and ``rest`` for all others, the tokens it was given, those it was due, and those it is short of at the window's end, carried on.
+
+    ``packed`` should be materialised. A source is due its rate for the window's turns until its queue is empty; then the
+    others share what it leaves. Prefix sums go over blocks of windows first, then within, so no task holds a source's
+    windows as a whole.
+    """
+    there = packed.where("n_tokens > 0").select("window_no", _queue(F.col(source)).alias("queue"), "n_tokens")
+    plan = rates(there.groupBy("queue").agg(F.sum("n_tokens").alias("m")), mixture)
+    named = F.when(F.col("queue").isin(*plan.named), F.col("queue")).otherwise("rest")
+    given = there.groupBy("window_no", named.alias("queue")).agg(F.sum("n_tokens").alias("n_tokens"))
+    windows = (packed.agg(F.max("window_no")).first()[0] or 0) + 1
+    each = F.explode(F.array(*[F.struct(F.lit(q).alias("queue"), F.lit(t).alias("total"), F.lit(r).alias("rate")) for q, (t, r) in [*plan.named.items(), ("rest", plan.rest)]]))
+    grid = packed.select("window_no").distinct().select("window_no", each.alias("q")).select("window_no", "q.*")
+    due = lambda w: F.least(F.col("total"), F.col("rate") * plan.turn(w * F.lit(plan.total / windows)))
+    rows = grid.join(given, ["window_no", "queue"], "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint"))).withColumn("block", F.expr(f"window_no div {BLOCK_WINDOWS}"))
+    rows = materialize(rows.withColumn("to_end", due(F.col("window_no") + 1)).withColumn("target", F.col("to_end") - due(F.col("window_no"))), "windows")
+    blocks = rows.groupBy("queue", "block").agg(F.sum("n_tokens").alias("m"))
+    ahead = blocks.select("queue", "block", (F.sum("m").over(Window.partitionBy("queue").orderBy("block")) - F.col("m")).alias("ahead"))
+    inside = F.sum("n_tokens").over(Window.partitionBy("queue", "block").orderBy("window_no"))
+    out = rows.withColumn("inside", inside).join(ahead, ["queue", "block"])
+    return out.select("window_no", F.regexp_replace("queue", "^=", "").alias("queue"), "n_tokens", "target", (F.col("to_end") - F.col("ahead") - F.col("inside")).alias("deficit"))
+
+
 def fill(packed: DataFrame, capacity: int) -> DataFrame:
     """One row: containers, tokens, share of their room that is filled, and the fullest container."""
     per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"))

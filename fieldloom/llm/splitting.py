@@ -29,6 +29,8 @@ INSIDE, WORD, BLANK, AFTER_CLAUSE, AFTER_SENTENCE, LINE, PARAGRAPH = range(-1, 6
 LONG_WORD = 32
 #: How far from its target an end may be moved, as a share of the pieces' length.
 REACH = 0.25
+#: So many pieces are added one by one where a limit fails; after that their number grows faster.
+STEADY = 4
 
 
 def _last3(data: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -162,20 +164,30 @@ def pieces(text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndar
         return [(0, len(text), n)]
     places, tokens, strong = units(text, edges, counts, ids, coder.vocabulary)
     body, before, inside = text.tobytes(), np.concatenate([[0], np.cumsum(counts)]), strong == INSIDE
-    for extra in range(n):
-        found = cut(tokens, strong, limit, overlap, extra)
-        if found is None:
-            continue
+
+    def tried(extra: int) -> list[tuple[int, int, int]] | None:
         out = []
-        for a, b in found:
+        for a, b in cut(tokens, strong, limit, overlap, extra) or ():
             s, e, m = int(places[a]), int(places[b]), int(tokens[b] - tokens[a])
             m = _count(body[s:e], coder) if inside[a] or inside[b] else _alone(body, edges, before, s, e, m, coder)
             if m > limit:
-                break
+                return None
             out.append((s, e, m))
-        else:
-            return out
-    raise ValueError("the limit is too small for a character and the overlap")
+        return out or None
+
+    # a piece more each time at first, then twice as many, and back by halves: a bad text takes log n rounds, not n
+    failed, extra, out = -1, 0, None
+    while out is None and extra < n:
+        out = tried(extra)
+        if out is None:
+            failed, extra = extra, extra + max(1, extra - STEADY)
+    while out is not None and extra - failed > 1:
+        middle = (failed + extra) // 2
+        fewer = tried(middle)
+        failed, extra, out = (failed, middle, fewer) if fewer else (middle, extra, out)
+    if out is None:
+        raise ValueError("the limit is too small for a character and the overlap")
+    return out
 
 
 def split_documents(docs: DataFrame, key: str, text: str, encoder: Encoder, limit: int, overlap: int, with_text: bool = True) -> DataFrame:

@@ -82,14 +82,28 @@ def docs(spark):
 
 @pytest.fixture(scope="module")
 def fitted(spark, docs):
-    return encoder.fit(spark, docs, "text", sample=10, words=50)
+    return encoder.fit(spark, docs, "doc_id", "text", sample=10, words=50)
 
 
 def test_encode(spark, docs, fitted):
     got = sorted((tuple(r) for r in encoder.encode(docs, "doc_id", "text", fitted).collect()), key=repr)
     assert got == sorted(((r["doc_id"], TRUTH.encode_ordinary(r["text"] or "")) for r in docs.collect()), key=repr)
     assert encoder.encode(docs.limit(0), "doc_id", "text", fitted).count() == 0
-    assert encoder.fit(spark, docs.limit(0), "text")
+    assert encoder.fit(spark, docs.limit(0), "doc_id", "text")
+
+
+def test_decoding_gives_the_texts_back(spark, docs, fitted):
+    ids = encoder.encode(docs, "doc_id", "text", fitted).unionAll(spark.createDataFrame([(99, None)], "doc_id bigint, ids array<int>"))
+    got = sorted((tuple(r) for r in encoder.decode(ids, "doc_id", "ids", PATH).collect()), key=repr)
+    assert got == sorted([(r["doc_id"], r["text"] or "") for r in docs.collect()] + [(99, None)], key=repr)
+
+
+def test_the_sample_is_bounded_when_one_text_repeats(spark):
+    """A text that half the corpus repeats is in the sample in proportion, not always or never."""
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "same words here").otherwise(F.concat(F.lit("w"), "id")).alias("text"))
+    words = encoder.fit(spark, docs, "doc_id", "text", sample=200, words=10_000)
+    lex = encoder._lexicon(words.file)
+    assert 60 < len(lex) < 180
 
 
 def sizes_of(spark, sizes):
@@ -136,6 +150,31 @@ def test_windows_keep_the_mixture(spark):
             assert abs(served[s] - target) <= 40  # the deficit carried on is less than one item
 
 
+def test_deficits_are_carried_and_stay_below_an_item(spark):
+    """With an explicit mixture: each window gives a source what it is due, short of less than an item, until its queue is empty."""
+    r = random.Random(6)
+    sizes = [(r.choices(["a", "b", "c", None], [6, 3, 1, 1])[0], r.randrange(0, 40)) for _ in range(6000)]
+    mixture = {"a": 0.2, "b": 0.5, "gone": 0.1}
+    packed = materialize(packing.pack(sizes_of(spark, sizes), "doc_id", "source", "n_tokens", 100, mixture, 20))
+    rows = packing.balance(packed, "source", mixture).collect()
+    windows = 1 + max(x["window_no"] for x in rows)
+    assert len(rows) == 4 * windows and sum(x["n_tokens"] for x in rows) == sum(n for _, n in sizes)
+    by = {}
+    for x in sorted(rows, key=lambda x: x["window_no"]):
+        by.setdefault(x["queue"], []).append(x)
+    for q, own in by.items():
+        sources = 2 if q == "rest" else 1
+        assert all(abs(x["deficit"]) <= 40 * sources for x in own) and abs(own[-1]["deficit"]) < 1e-6
+        short = 0.0
+        for x in own:
+            short += x["target"] - x["n_tokens"]
+            assert abs(short - x["deficit"]) < 1e-6
+    early = [x for x in rows if x["window_no"] == 0]
+    share = {x["queue"]: x["target"] / sum(y["target"] for y in early) for x in early}
+    assert share["gone"] == 0 and abs(share["b"] / share["a"] - 2.5) < 1e-9
+    assert packing.balance(packed.limit(0), "source", mixture).count() == 0
+
+
 def test_packing_of_nothing(spark):
     none = sizes_of(spark, [("a", 1)]).limit(0)
     assert packing.pack(none, "doc_id", "source", "n_tokens", 10).count() == 0
@@ -173,6 +212,24 @@ def test_splitting(docs, fitted, limit, overlap):
         check_pieces((TEXTS * 2)[i], sorted(own, key=lambda r: r["piece_no"]), limit, overlap)
 
 
+def test_pieces_are_added_in_few_rounds(fitted, monkeypatch):
+    """Where limits fail again and again, the number of pieces tried grows by doubling, and the least found that holds is kept."""
+    text = ("abc " * 400).encode()
+    w = pretokens.split(pa.array([text.decode()]))
+    c = coder()
+    counts, ids = c.encode(w)
+    tries, plain = [], splitting.cut
+
+    def fails(tokens, strong, limit, overlap, extra=0):
+        tries.append(extra)
+        return plain(tokens, strong, limit, overlap, extra) if extra >= 37 else None
+
+    monkeypatch.setattr(splitting, "cut", fails)
+    got = splitting.pieces(w.data, w.edges, counts, ids, c, 100, 10)
+    least = 1 + -(-(int(counts.sum()) - 100) // 90)
+    assert len(got) == least + 37 and len(tries) < 20
+
+
 def test_splitting_prefers_natural_ends(spark, fitted):
     text = "\n\n".join(" ".join(f"word{i}x{j} is here." for j in range(10)) for i in range(30))
     df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
