@@ -9,28 +9,33 @@ from urllib.parse import unquote
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import INVISIBLE
+from .text import bare
 
 #: Letters and digits in a page's code.
 CODE_LENGTH = 10
 
 _TAIL = r"(?:\.[a-z0-9]{1,5})?(?:/.*)?$"
 _CODE = rf"(?s)^.*-([a-z0-9]{{{CODE_LENGTH}}}){_TAIL}"
+#: Most links are written without anything odd and end in their code.
+_PLAIN = rf"\A[A-Za-z0-9:/._-]*-[A-Za-z0-9]{{{CODE_LENGTH}}}\z"
 _BARE = rf"(?s)^.*field-info/+([a-z0-9]{{{CODE_LENGTH}}}){_TAIL}"
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def page_code(link: Column) -> Column:
     """The code of the page a link leads to, in lower case; null where it leads to none.
 
     The path's last name that ends in a code counts, so folders, print views, sub-pages and file endings around it are
     immaterial; query and fragment are cut before escapes are resolved. Malformed escapes are taken as they stand.
     """
-    path = F.regexp_replace(link, r"(?s)[?#].*$", "")
-    plain = F.when(F.contains(path, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)).otherwise(path)
-    plain = F.lower(F.regexp_replace(F.regexp_replace(plain, INVISIBLE, ""), r"(?U)\s+", ""))
-    found = F.regexp_extract(plain, _CODE, 1)
-    bare = F.when(F.contains(plain, F.lit("field-info/")), F.regexp_extract(plain, _BARE, 1)).otherwise(F.lit(""))
-    return F.when(found != "", found).when(bare != "", bare)
+    path = F.substring_index(F.substring_index(link, "?", 1), "#", 1)
+    plain = _let(path, lambda p: F.when(F.contains(p, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)).otherwise(p))
+    general = _let(F.lower(bare(plain)), lambda p: _let(F.regexp_extract(p, _CODE, 1), lambda c: F.when(c != "", c).when(F.contains(p, F.lit("field-info/")), F.nullif(F.regexp_extract(p, _BARE, 1), F.lit("")))))
+    return F.when(link.rlike(_PLAIN), F.lower(F.right(link, F.lit(CODE_LENGTH)))).otherwise(general)
 
 
 _PY_CODE, _PY_BARE = re.compile(_CODE), re.compile(_BARE)
@@ -63,11 +68,6 @@ RELATIVE_SCHEMES = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file",
 URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:[?]([^#]*))?(?:#(.*))?$"
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _parts(url: Column) -> Column:
     """scheme, host, path, query, fragment of a URL; a part that isn't there is ``''``."""
     part = lambda k: F.regexp_extract(url, URL_PARTS, k)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 NBSP = "\u00a0"
 #: All characters of Unicode's property White_Space.
 WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+UNSEEN = "\u00ad\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\ufeff"
 INVISIBLE = "[\\u00ad\\u200b-\\u200f\\u202a-\\u202e\\u2060-\\u2064\\ufeff]"
 
 
@@ -17,6 +18,11 @@ def py_strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def bare(c: Column) -> Column:
+    """Without blanks of any kind and invisible characters."""
+    return F.translate(c, WHITE_SPACE + UNSEEN, "")
+
+
 def squeeze(c: Column) -> Column:
     """Without invisible characters, outer blanks and runs of blanks of any kind."""
     return F.trim(F.regexp_replace(F.regexp_replace(c, INVISIBLE, ""), r"(?U)\s+", " "))
