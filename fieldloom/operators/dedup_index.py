@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.links import CODE_LENGTH
-from ..session import materialize, own_folder, parallelism, remove_at_end
+from ..session import materialize, own_folder, parallelism, remove_at_end, uri
 from .smallworld import HALF_CODES, Graph, turn
 
 #: Nodes that a graph holds on average at most; a shard has the power of two of segments that this takes.
@@ -116,7 +116,7 @@ class History:
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/") if "://" in path else "file://" + path.rstrip("/")
+        self.spark, self.path = spark, uri(path.rstrip("/"))
         self.shards: list[dict] = self._load()
 
     def _load(self) -> list[dict]:

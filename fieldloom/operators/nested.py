@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import materialize, spread
 
 NODES = "dewey string, up int, node_path string, cut int, schema_path string, fields map<string,string>, element boolean, value string"
 
@@ -168,6 +168,62 @@ def list_values(nodes: DataFrame, key: str) -> DataFrame:
     return nodes.where("element").select(key, "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "value")
 
 
-def write_tables(nodes: DataFrame, path: str) -> None:
-    """All tables of ``nodes`` in one pass, a folder for each schema path; their number is that of the schema's objects and lists of scalars."""
-    nodes.where("error is null").withColumn("parent_dewey", parent_dewey()).write.mode("overwrite").partitionBy("schema_path").parquet(path)
+#: Texts of whole numbers and of numbers. Leading zeros make a text, as in codes.
+_WHOLE, _NUMBER = r"\A-?(?:0|[1-9][0-9]{0,17})\z", r"\A-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?\z"
+
+
+def all_fields(nodes: DataFrame, key: str) -> DataFrame:
+    """(key, dewey, schema_path, field_name, value): a row for each scalar field of each object. Nodes must be flattened with values."""
+    rows = nodes.where("not element").select(F.col(key).alias("key"), "dewey", "schema_path", F.explode("fields").alias("field_name", "value"))
+    return rows.withColumnRenamed("key", key)
+
+
+def columns_of(nodes: DataFrame) -> DataFrame:
+    """(schema_path, field_name, type, n_rows, n_values): the columns of every flat table.
+
+    type: bigint, double or boolean if all values that aren't null are written as such, else string; a column of nulls is
+    a string.
+    """
+    fields = nodes.where("not element").select("schema_path", F.explode("fields").alias("field_name", "value"))
+    v = F.col("value")
+    tests = {"bigint": v.rlike(_WHOLE), "double": v.rlike(_NUMBER), "boolean": v.isin("true", "false")}
+    fits = [F.count_if(t).alias(n) for n, t in tests.items()]
+    per = fields.groupBy("schema_path", "field_name").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"), *fits)
+    kind = F.coalesce(*[F.when((F.col("n_values") > 0) & (F.col(n) == F.col("n_values")), n) for n in tests], F.lit("string"))
+    return per.select("schema_path", "field_name", kind.alias("type"), "n_rows", "n_values")
+
+
+def tables(nodes: DataFrame, key: str) -> dict[str, DataFrame]:
+    """The flat table of every schema path: key, dewey, parent_dewey, and a typed column for each of its fields.
+
+    Nodes are written once, a folder for each path, so a table reads its own rows only. What comes to the driver are the
+    tables' columns. A column named like the key, a label or another column but for case gets a number. Absent fields
+    and JSON nulls are null. The scalars in a list are the table of the list's path: key, dewey, parent_dewey, value.
+    """
+    path = F.concat(F.lit("$"), F.col("schema_path"), F.when(F.col("element"), ":values").otherwise(""))
+    rows = nodes.where("error is null").select(F.col(key).alias("_key"), "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "element", "fields", "value", path.alias("of"))
+    rows = materialize(rows, "nodes", "of")
+    columns: dict[str, list] = {r["schema_path"]: [] for r in rows.where("not element").select("schema_path").distinct().collect()}
+    for r in sorted(columns_of(rows).collect(), key=lambda r: (r["schema_path"], r["field_name"])):
+        columns[r["schema_path"]].append(r)
+    labels = [F.col("_key").alias(key), "dewey", "parent_dewey"]
+    out = {}
+    for p, own in columns.items():
+        taken, cells = {key.lower(): 1, "dewey": 1, "parent_dewey": 1}, []
+        for r in own:
+            name = r["field_name"]
+            taken[name.lower()] = n = taken.get(name.lower(), 0) + 1
+            cells.append(F.col("fields").getItem(r["field_name"]).cast(r["type"]).alias(f"{name}_{n}" if n > 1 else name))
+        out[p] = rows.where(F.col("of") == "$" + p).select(*labels, *cells)
+    for r in rows.where("element").select("schema_path").distinct().collect():
+        out[r["schema_path"] + ":values"] = rows.where(F.col("of") == f"${r['schema_path']}:values").select(*labels, "value")
+    return out
+
+
+def write_tables(nodes: DataFrame, key: str, path: str) -> dict[str, str]:
+    """Writes every flat table, typed, to a folder of its own; returns the folders by schema path. Their number is that of the schema's objects and lists of scalars."""
+    out = {}
+    for i, (p, df) in enumerate(sorted(tables(nodes, key).items())):
+        out[p] = f"{path}/{i:04d}-" + (re.sub("[^A-Za-z0-9]+", "_", p).strip("_") or "record")
+        df.write.mode("overwrite").parquet(out[p])
+    return out

@@ -20,9 +20,9 @@ def _unfold(text: str) -> str:
 
 _NODES = f"""
 WITH RECURSIVE t AS (
-  SELECT item_id, '' AS parent_path, '' AS node_path, '' AS shape, '' AS dewey, '' AS parent_dewey, raw_json::JSON AS v FROM airport_items WHERE json_valid(raw_json)
+  SELECT item_id, '' AS parent_path, '' AS node_path, '' AS shape, '' AS dewey, '' AS parent_dewey, raw_json::JSON AS v, raw_json::JSON AS own FROM airport_items WHERE json_valid(raw_json)
   UNION ALL
-  SELECT item_id, parent_path, node_path, shape, dewey, parent_dewey, CASE WHEN json_type(w) = 'VARCHAR' THEN {_unfold("(w ->> '$')")} ELSE w END AS v
+  SELECT item_id, parent_path, node_path, shape, dewey, parent_dewey, CASE WHEN json_type(w) = 'VARCHAR' THEN {_unfold("(w ->> '$')")} ELSE w END AS v, w AS own
   FROM (
     SELECT t.item_id, CASE WHEN json_type(t.v) = 'OBJECT' THEN t.node_path ELSE t.parent_path END AS parent_path,
       CASE WHEN t.node_path = '' THEN e.key ELSE t.node_path || '/' || e.key END AS node_path,
@@ -78,7 +78,18 @@ def _plain(c: str) -> str:
     return f"NOT (json_type(v -> '$.{c}') = 'VARCHAR' AND regexp_matches(v ->> '$.{c}', '^[ \\t\\r\\n]*[\\[{{]') AND json_valid(v ->> '$.{c}'))"
 
 
+_SCALAR = "(v IS NULL OR json_type(v) NOT IN ('OBJECT', 'ARRAY'))"
+_FIELDS = f"""{_NODES}, f AS (SELECT item_id, parent_dewey AS dewey, regexp_replace(shape, '/?[^/]*$', '') AS schema_path, CASE WHEN parent_path = '' THEN node_path ELSE substr(node_path, length(parent_path) + 2) END AS field_name,
+  CASE WHEN json_type(own) <> 'NULL' THEN own ->> '$' END AS value FROM t WHERE node_path <> '' AND shape NOT LIKE '%[]' AND {_SCALAR})"""
+
 SQL = {
+    "p1_parents": f"{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records, count(DISTINCT CASE WHEN dewey <> '' THEN item_id || ':' || parent_dewey END)::BIGINT AS n_parents FROM t WHERE json_type(v) = 'OBJECT' GROUP BY shape",
+    "p1_values": f"{_NODES} SELECT item_id, dewey, parent_dewey, shape AS schema_path, CASE WHEN json_type(own) <> 'NULL' THEN own ->> '$' END AS value FROM t WHERE shape LIKE '%[]' AND {_SCALAR}",
+    "p1_fields": f"{_FIELDS} SELECT * FROM f",
+    "p1_columns": f"""{_FIELDS} SELECT schema_path, field_name, CASE WHEN count(value) > 0 AND bool_and(regexp_full_match(value, '-?(0|[1-9][0-9]{{0,17}})')) THEN 'bigint'
+  WHEN count(value) > 0 AND bool_and(regexp_full_match(value, '-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?')) THEN 'double' WHEN count(value) > 0 AND bool_and(value IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS type,
+  count(*)::BIGINT AS n_rows, count(value)::BIGINT AS n_values FROM f GROUP BY schema_path, field_name""",
+    "p1_groups": f"{_NODES} SELECT item_id, dewey, parent_dewey, v ->> '$.Group' AS group_name FROM t WHERE json_type(v) = 'OBJECT' AND shape = 'Additional Airport Details[]'",
     "p1_found": f"{_NODES} SELECT item_id, parent_path, node_path FROM t WHERE node_path <> '' AND json_type(v) = 'OBJECT'",
     "p1_tables": f"{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records FROM t WHERE json_type(v) = 'OBJECT' GROUP BY shape",
     "p1_details": f"""{_NODES} SELECT item_id, dewey, parent_dewey, {", ".join(f"CASE WHEN json_type(v -> '$.{c}') NOT IN ('OBJECT', 'ARRAY') AND {_plain(c)} THEN v ->> '$.{c}' END AS {c.lower()}" for c in ("Name", "City", "Country", "Link", "ICAO", "IATA"))}

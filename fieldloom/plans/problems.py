@@ -48,6 +48,22 @@ def p1_objects(spark: SparkSession, d: str) -> DataFrame:
     return nested.all_objects(_nodes(spark, d, True), "item_id")
 
 
+def p1_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Every scalar field of every object of every table, a row each."""
+    return nested.all_fields(_nodes(spark, d, True), "item_id")
+
+
+def p1_columns(spark: SparkSession, d: str) -> DataFrame:
+    """The columns of every flat table, with the type that all their values have."""
+    return nested.columns_of(_nodes(spark, d, True))
+
+
+def p1_groups(spark: SparkSession, d: str) -> DataFrame:
+    """One of the typed tables that nested.tables makes of every schema path: the groups of Additional Airport Details."""
+    made = nested.tables(_nodes(spark, d, True), "item_id")
+    return made["Additional Airport Details[]"].select("item_id", "dewey", "parent_dewey", F.col("Group").alias("group_name"))
+
+
 def p1_values(spark: SparkSession, d: str) -> DataFrame:
     """The scalars in lists, which are no object's fields: ``["HMUB"]`` under Airport Details/ICAO is one row of 'Airport Details/ICAO[]'."""
     return nested.list_values(_nodes(spark, d, True), "item_id")
@@ -155,4 +171,4 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_settled, p5_footers)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_fields, p1_columns, p1_groups, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_settled, p5_footers)}

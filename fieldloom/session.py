@@ -24,6 +24,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def uri(path: str) -> str:
+    """A path as Spark writes it, with its scheme as other libraries want it."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path.removeprefix("file:")
+    return path if "://" in path else "file://" + path
+
+
 def remove_at_end(spark: SparkSession, path: str) -> None:
     """Removes a folder when the session's JVM ends; until then results that are read lazily may need it."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

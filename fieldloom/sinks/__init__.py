@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions.text import base_name, strip_extension
 from ..schema import DETAILS, LINK_COLUMNS
+from ..session import materialize, uri
+
+#: Link tables as spreadsheets read them; blanks around a cell are part of it.
+_CSV = {"header": True, "escape": '"', "lineSep": "\r\n", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_feed(items: DataFrame, path: str) -> None:
@@ -25,7 +29,7 @@ def export_array(items: DataFrame, path: str, details: str = "Airport Details")
     Null fields of Airport Details are left out, as keys that were absent; other nulls are written. Rows stream through
     the driver partition by partition, so this is for deliveries, not for the corpus.
     """
-    where, name = fs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+    where, name = fs.FileSystem.from_uri(uri(path))
     where.create_dir(posixpath.dirname(name))
     n = 0
     with where.open_output_stream(name) as f:
@@ -42,12 +46,12 @@ def export_array(items: DataFrame, path: str, details: str = "Airport Details")
 def write_links(links: DataFrame, path: str, group: str = "Country") -> None:
     """Link tables in CSV, a folder for each group, replaced as a whole: header, CRLF, quotes doubled, null as an empty cell."""
     out = links.select(*[F.col(f"`{c}`") for c in LINK_COLUMNS], F.coalesce(F.col(f"`{group}`"), F.lit("")).alias("group"))
-    out.write.mode("overwrite").partitionBy("group").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    out.write.mode("overwrite").partitionBy("group").options(**_CSV).csv(path)
 
 
 def write_survivors(links: DataFrame, path: str) -> None:
     """What is left of a link table, with its own header, to be read by the next run."""
-    links.write.mode("overwrite").option("header", True).option("escape", '"').option("lineSep", "\r\n").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    links.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def append_store(items: DataFrame, path: str) -> None:
@@ -61,11 +65,8 @@ def per_input(items: DataFrame, file: str, path: str) -> None:
 
 
 def tee(df: DataFrame, *sinks: Callable[[DataFrame], object] | None) -> Iterator[object]:
-    """Runs each sink that isn't None on the same rows, computed once; yields what they return."""
-    df = df.persist()
-    try:
-        for sink in sinks:
-            if sink is not None:
-                yield sink(df)
-    finally:
-        df.unpersist()
+    """Runs each sink that isn't None on the same rows, computed once if there are several: they are written to the shared folder and read back. Yields what the sinks return."""
+    wanted = [sink for sink in sinks if sink is not None]
+    df = materialize(df, "tee") if len(wanted) > 1 else df
+    for sink in wanted:
+        yield sink(df)

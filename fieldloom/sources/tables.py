@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -57,19 +57,24 @@ def explode_feeds(df: DataFrame, keep: list[str], text: str) -> DataFrame:
     """(keep..., record_no, raw_json, error): every record of feeds held in a column, numbered from 1; a feed that breaks off gives its records up to there and a last row with the error."""
     shape = ", ".join([f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep] + ["record_no int, raw_json string, error string"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for *own, body in batch.itertuples(index=False, name=None):
-                n = 0
+            for i, body in enumerate(batch.column(len(keep)).to_pylist()):
+                numbers, records, errors, n = [], [], [], 0
                 try:
                     for n, r in enumerate(feed_records(body), 1):
-                        rows.append((*own, n, r, None))
+                        numbers.append(n)
+                        records.append(r)
+                        errors.append(None)
                 except ValueError as e:
-                    rows.append((*own, n + 1, None, str(e)[:200]))
-            yield pd.DataFrame(rows, columns=[*keep, "record_no", "raw_json", "error"])
-
-    return df.select(*keep, F.col(text)).mapInPandas(run, shape)
+                    numbers.append(n + 1)
+                    records.append(None)
+                    errors.append(str(e)[:200])
+                own = pa.array([i] * len(numbers), pa.int64())
+                columns = [pa.array(numbers, pa.int32()), pa.array(records, pa.string()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(own) for k in range(len(keep))], *columns], names=[*keep, "record_no", "raw_json", "error"])
+
+    return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, shape)
 
 
 def read_feeds(spark: SparkSession, path: str | list[str]) -> DataFrame:

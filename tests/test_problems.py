@@ -53,8 +53,23 @@ def test_flat_tables(spark, tmp_path):
     nodes = nested.flatten(df, "id", "j")
     assert rows(nested.table_at(nodes, "id", "D", ["N", "id", "gone"])) == [(1, "0", "", "a", "q", None)]
     assert rows(nested.table_at(nodes, "id", "E[]", ["K"]).select("dewey", "K")) == [("1.0", "k"), ("1.2", "N/A")]
-    nested.write_tables(nodes, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t")).count() == nodes.count()
+    made = nested.write_tables(nodes, "id", str(tmp_path / "t"))
+    assert sorted(made) == ["", "D", "E[]", "E[]/V", "E[]:values"]
+    assert sum(spark.read.parquet(p).count() for p in made.values()) == nodes.count() == 6
+
+
+def test_typed_tables(spark):
+    record = {"D": {"n": 1, "x": 1.5, "b": True, "code": "007", "id": "7", "ID": "q", "mix": 1, "none": None, "N": "up"}, "E": {"mix": "z"}}
+    more = {"D": {"n": "12", "x": 2, "b": False, "mix": "N/A", "dewey": "clash"}}
+    nodes = nested.flatten(spark.createDataFrame([(1, json.dumps(record)), (2, json.dumps(more)), (3, "broken")], "id int, j string"), "id", "j")
+    made = nested.tables(nodes, "id")
+    assert {c: t for c, t in made["D"].dtypes} == {
+        "id": "int", "dewey": "string", "parent_dewey": "string", "ID_2": "string", "N": "string", "b": "boolean", "code": "string", "dewey_2": "string", "id_3": "bigint", "mix": "string", "n_2": "bigint", "none": "string", "x": "double",
+    }
+    got = {r["id"]: r for r in made["D"].collect()}
+    assert (got[1]["n_2"], got[1]["x"], got[1]["b"], got[1]["code"], got[2]["dewey_2"], got[2]["mix"], got[2]["N"]) == (1, 1.5, True, "007", "clash", "N/A", None)
+    assert made[""].count() == 2 and made["E"].columns == ["id", "dewey", "parent_dewey", "mix"]
+    assert nested.tables(nodes.limit(0), "id") == {}
 
 
 def test_scalars_in_lists_are_kept(spark, tmp_path):
@@ -63,8 +78,9 @@ def test_scalars_in_lists_are_kept(spark, tmp_path):
     want = [(1, "0.0.0", "0", "D/I[]", "HMUB"), (1, "0.1.0", "0", "D/M[]", "1"), (1, "0.1.1", "0", "D/M[]", "2"), (1, "0.1.2", "0", "D/M[]", None), (1, "0.1.4.0", "0", "D/M[][]", "true"), (2, "0", "", "[]", "7")]
     assert rows(nested.list_values(nodes, "id")) == sorted(want, key=repr)
     assert rows(nested.links(nodes, "id")) == [(1, "", "D"), (1, "D", "D/M/3")] and nested.table_at(nodes, "id", "D/M[]", ["a"]).count() == 1
-    nested.write_tables(nodes, str(tmp_path / "t"))
-    assert {(r["schema_path"], r["value"]) for r in spark.read.parquet(str(tmp_path / "t")).where("element").collect()} == {(w[3], w[4]) for w in want}
+    made = nested.write_tables(nodes, "id", str(tmp_path / "t"))
+    got = {(p.removesuffix(":values"), r["value"]) for p, path in made.items() if p.endswith(":values") for r in spark.read.parquet(path).collect()}
+    assert got == {(w[3], w[4]) for w in want}
 
 
 def test_parents_of_each_table(spark, tmp_path):
