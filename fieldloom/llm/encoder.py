@@ -166,7 +166,9 @@ def encode(docs: DataFrame, key: str, text: str, encoder: Encoder) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), lists], names=["key", "ids"])
                 at += len(part)
 
-    return spread(docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return spread(docs.select(
+        F.col(key).alias("key"), F.col(text).cast("string").alias("text")
+    )).mapInArrow(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
 
 
 def token_counts(docs: DataFrame, keep: list[str], text: str, encoder: Encoder) -> DataFrame:
@@ -185,7 +187,9 @@ def token_counts(docs: DataFrame, keep: list[str], text: str, encoder: Encoder)
             n = pa.array(np.concatenate(sums) if sums else [], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], n], names=[*batch.schema.names[: len(keep)], "n_tokens"])
 
-    out = spread(docs.select(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("text"))).mapInArrow(run, f"{kinds}, n_tokens bigint")
+    out = spread(docs.select(
+        *[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], F.col(text).cast("string").alias("text")
+    )).mapInArrow(run, f"{kinds}, n_tokens bigint")
     return out.toDF(*keep, "n_tokens")
 
 

@@ -87,7 +87,10 @@ def _queue(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("~"))
 
 
-def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mixture: dict[str, float] | None = None, window_containers: int = WINDOW_CONTAINERS) -> DataFrame:
+def pack(
+    sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mixture: dict[str, float] | None = None,
+    window_containers: int = WINDOW_CONTAINERS
+) -> DataFrame:
     """(key, piece_no, start_token, n_tokens, source, window_no, container_id): each document in one container.
 
     ``sizes`` should be materialised, as it is read three times. A document of more than ``capacity`` tokens is cut into
@@ -105,14 +108,19 @@ def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mi
     # prefix sums, first over buckets, then within
     folded = docs.where("n > 0").groupBy("queue", "bucket").agg(F.sum("n").alias("m"))
     by_bucket = Window.partitionBy("queue").orderBy("bucket")
-    before = folded.select("queue", "bucket", (F.sum("m").over(by_bucket) - F.col("m")).alias("ahead"), F.sum("m").over(Window.partitionBy("queue")).alias("queue_total"))
+    before = folded.select(
+        "queue", "bucket", (F.sum("m").over(by_bucket) - F.col("m")).alias("ahead"),
+        F.sum("m").over(Window.partitionBy("queue")).alias("queue_total")
+    )
     total = folded.agg(F.sum("m")).first()[0] or 0
     windows = max(1, round(total / (capacity * window_containers)))
     cap = F.lit(capacity)
     inside = Window.partitionBy("queue", "bucket").orderBy("mark", "key", "n").rowsBetween(Window.unboundedPreceding, -1)
     items = docs.where("n > 0").withColumn("local", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(before, ["queue", "bucket"])
     items = items.withColumn("piece_no", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / cap).cast("bigint") - 1)))
-    items = items.withColumn("start_token", F.col("piece_no") * cap).withColumn("size", F.least(cap.cast("bigint"), F.col("n") - F.col("start_token")))
+    items = items.withColumn("start_token", F.col("piece_no") * cap).withColumn(
+        "size", F.least(cap.cast("bigint"), F.col("n") - F.col("start_token"))
+    )
     done = F.col("ahead") + F.col("local") + F.col("start_token")
     if mixture:
         plan = rates(folded, mixture)
@@ -128,15 +136,23 @@ def pack(sizes: DataFrame, key: str, source: str, tokens: str, capacity: int, mi
     def place(t: pa.Table) -> pa.Table:
         t = t.sort_by([("size", "descending"), ("mark", "ascending"), ("piece_no", "ascending")])
         slots = np.array(best_fit(t.column("size").to_pylist(), capacity), np.int64)
-        return t.drop_columns(["size", "mark"]).append_column("n_tokens", t.column("size")).append_column("container_id", pa.array(slots + t.column("window_no")[0].as_py() * WINDOW_IDS))
+        return t.drop_columns(["size", "mark"]).append_column("n_tokens", t.column("size")).append_column(
+            "container_id", pa.array(slots + t.column("window_no")[0].as_py() * WINDOW_IDS)
+        )
 
     shape = f"key {kind}, source {source_kind}, piece_no bigint, start_token bigint, window_no bigint, n_tokens bigint, container_id bigint"
     placed = items.select("key", "source", "piece_no", "start_token", "window_no", "size", "mark").groupBy("window_no").applyInArrow(place, shape)
     # documents without tokens lie in the first containers, spread over the windows
     lone = F.pmod("mark", F.lit(windows)).cast("bigint")
-    empty = docs.where("n <= 0").select("key", "source", F.lit(0).cast("bigint").alias("piece_no"), F.lit(0).cast("bigint").alias("start_token"), lone.alias("window_no"), F.lit(0).cast("bigint").alias("n_tokens"), (lone * WINDOW_IDS).alias("container_id"))
+    empty = docs.where("n <= 0").select(
+        "key", "source", F.lit(0).cast("bigint").alias("piece_no"), F.lit(0).cast("bigint").alias("start_token"), lone.alias("window_no"),
+        F.lit(0).cast("bigint").alias("n_tokens"), (lone * WINDOW_IDS).alias("container_id")
+    )
     out = placed.unionByName(empty)
-    return out.select(F.col("key").alias(key), "piece_no", "start_token", "n_tokens", F.col("source").alias(source if source != key else source + "_"), "window_no", "container_id")
+    return out.select(
+        F.col("key").alias(key), "piece_no", "start_token", "n_tokens", F.col("source").alias(source if source != key else source + "_"),
+        "window_no", "container_id"
+    )
 
 
 def balance(packed: DataFrame, source: str, mixture: dict[str, float]) -> DataFrame:
@@ -151,19 +167,32 @@ def balance(packed: DataFrame, source: str, mixture: dict[str, float]) -> DataFr
     named = F.when(F.col("queue").isin(*plan.named), F.col("queue")).otherwise("rest")
     given = there.groupBy("window_no", named.alias("queue")).agg(F.sum("n_tokens").alias("n_tokens"))
     windows = (packed.agg(F.max("window_no")).first()[0] or 0) + 1
-    each = F.explode(F.array(*[F.struct(F.lit(q).alias("queue"), F.lit(t).alias("total"), F.lit(r).alias("rate")) for q, (t, r) in [*plan.named.items(), ("rest", plan.rest)]]))
+    each = F.explode(F.array(*[
+        F.struct(F.lit(q).alias("queue"), F.lit(t).alias("total"), F.lit(r).alias("rate")) for q,
+        (t, r) in [*plan.named.items(), ("rest", plan.rest)]
+    ]))
     grid = packed.select("window_no").distinct().select("window_no", each.alias("q")).select("window_no", "q.*")
     due = lambda w: F.least(F.col("total"), F.col("rate") * plan.turn(w * F.lit(plan.total / windows)))
-    rows = grid.join(given, ["window_no", "queue"], "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint"))).withColumn("block", F.expr(f"window_no div {BLOCK_WINDOWS}"))
-    rows = materialize(rows.withColumn("to_end", due(F.col("window_no") + 1)).withColumn("target", F.col("to_end") - due(F.col("window_no"))), "windows")
+    rows = grid.join(given, ["window_no", "queue"], "left").withColumn(
+        "n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint"))
+    ).withColumn("block", F.expr(f"window_no div {BLOCK_WINDOWS}"))
+    rows = materialize(
+        rows.withColumn("to_end", due(F.col("window_no") + 1)).withColumn("target", F.col("to_end") - due(F.col("window_no"))), "windows"
+    )
     blocks = rows.groupBy("queue", "block").agg(F.sum("n_tokens").alias("m"))
     ahead = blocks.select("queue", "block", (F.sum("m").over(Window.partitionBy("queue").orderBy("block")) - F.col("m")).alias("ahead"))
     inside = F.sum("n_tokens").over(Window.partitionBy("queue", "block").orderBy("window_no"))
     out = rows.withColumn("inside", inside).join(ahead, ["queue", "block"])
-    return out.select("window_no", F.regexp_replace("queue", "^=", "").alias("queue"), "n_tokens", "target", (F.col("to_end") - F.col("ahead") - F.col("inside")).alias("deficit"))
+    return out.select(
+        "window_no", F.regexp_replace("queue", "^=", "").alias("queue"), "n_tokens", "target",
+        (F.col("to_end") - F.col("ahead") - F.col("inside")).alias("deficit")
+    )
 
 
 def fill(packed: DataFrame, capacity: int) -> DataFrame:
     """One row: containers, tokens, share of their room that is filled, and the fullest container."""
     per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"))
-    return per.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), (F.sum("used") / (F.count(F.lit(1)) * F.lit(capacity))).alias("filled"), F.max("used").alias("fullest"))
+    return per.agg(
+        F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"),
+        (F.sum("used") / (F.count(F.lit(1)) * F.lit(capacity))).alias("filled"), F.max("used").alias("fullest")
+    )

@@ -62,7 +62,10 @@ def p7_documents(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("n_tokens")
     kept = (F.col("held") == n) & (F.col("end") == n) & (F.col("start") == 0)
     whole = (F.col("pieces") == F.greatest(F.lit(1), F.ceil(n / CAPACITY))) & (F.col("containers") == F.col("pieces"))
-    return sizes.join(own, "doc_id", "left").select("doc_id", F.coalesce(kept, F.lit(False)).alias("kept"), F.coalesce(whole, F.lit(False)).alias("whole"), F.coalesce(F.col("used") <= CAPACITY, F.lit(False)).alias("fits"))
+    return sizes.join(own, "doc_id", "left").select(
+        "doc_id", F.coalesce(kept, F.lit(False)).alias("kept"), F.coalesce(whole, F.lit(False)).alias("whole"),
+        F.coalesce(F.col("used") <= CAPACITY, F.lit(False)).alias("fits")
+    )
 
 
 def _split(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
@@ -85,9 +88,15 @@ def p8_text(spark: SparkSession, d: str) -> DataFrame:
     per = _split(spark, d, True).groupBy("doc_id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
     before = lambda i: F.get("p", i - 1)
     rest = F.transform("p", lambda x, i: F.when(i == 0, x["text"]).otherwise(F.substr(x["text"], before(i)["end_char"] - x["start_char"] + 1)))
-    in_order = F.forall(F.transform("p", lambda x, i: (x["piece_no"] == i) & (x["n_pieces"] == F.size("p")) & ((i == 0) | (before(i)["start_char"] < x["start_char"]) & (x["start_char"] < before(i)["end_char"]) & (before(i)["end_char"] < x["end_char"]))), lambda ok: ok)
+    in_order = F.forall(
+        F.transform("p", lambda x, i: (x["piece_no"] == i) & (x["n_pieces"] == F.size("p")) & ((i == 0) | (before(i)["start_char"] < x["start_char"]) & (x["start_char"] < before(i)["end_char"]) & (before(i)["end_char"] < x["end_char"]))),
+        lambda ok: ok
+    )
     within = F.forall("p", lambda x: x["n_tokens"] <= LIMIT)
-    return per.select("doc_id", F.when(F.get("p", F.lit(0))["text"].isNotNull(), F.array_join(rest, "")).alias("text"), in_order.alias("in_order"), within.alias("within"))
+    return per.select(
+        "doc_id", F.when(F.get("p", F.lit(0))["text"].isNotNull(), F.array_join(rest, "")).alias("text"), in_order.alias("in_order"),
+        within.alias("within")
+    )
 
 
 QUERIES = {f.__name__: f for f in (p6_ids, p6_text, p7_containers, p7_fill, p7_mixture, p7_documents, p8_found, p8_pieces, p8_text)}

@@ -154,7 +154,9 @@ def _count(piece: bytes, coder: Coder) -> int:
     return int(coder.encode(split(pa.array([piece.decode("utf-8")])))[0].sum())
 
 
-def pieces(text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndarray, coder: Coder, limit: int, overlap: int) -> list[tuple[int, int, int]]:
+def pieces(
+    text: np.ndarray, edges: np.ndarray, counts: np.ndarray, ids: np.ndarray, coder: Coder, limit: int, overlap: int
+) -> list[tuple[int, int, int]]:
     """(start byte, end byte, tokens) of a text's pieces, tokens as counted in the piece alone.
 
     Raises ValueError if the limit is below the tokens of a character and the overlap.
@@ -235,8 +237,12 @@ def split_documents(docs: DataFrame, key: str, text: str, encoder: Encoder, limi
                 cols = list(zip(*rows)) or [()] * 6
                 take = pa.array(cols[0], pa.int64())
                 own_keys = batch.column(0).slice(at, len(part)).take(take)
-                arrays = [own_keys, *[pa.array(c, t) for c, t in zip(cols[1:], [pa.int32()] * 2 + [pa.int64()] * 3)]] + ([pa.array(texts, pa.string())] if with_text else [])
-                yield pa.RecordBatch.from_arrays(arrays, names=["key", "piece_no", "n_pieces", "start_char", "end_char", "n_tokens"] + ["text"] * with_text)
+                arrays = [
+                    own_keys, *[pa.array(c, t) for c, t in zip(cols[1:], [pa.int32()] * 2 + [pa.int64()] * 3)]
+                ] + ([pa.array(texts, pa.string())] if with_text else [])
+                yield pa.RecordBatch.from_arrays(
+                    arrays, names=["key", "piece_no", "n_pieces", "start_char", "end_char", "n_tokens"] + ["text"] * with_text
+                )
                 at += len(part)
 
     shape = f"key {kind}, piece_no int, n_pieces int, start_char bigint, end_char bigint, n_tokens bigint" + ", text string" * with_text
