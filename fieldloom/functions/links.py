@@ -33,8 +33,14 @@ def page_code(link: Column) -> Column:
     immaterial; query and fragment are cut before escapes are resolved. Malformed escapes are taken as they stand.
     """
     path = F.substring_index(F.substring_index(link, "?", 1), "#", 1)
-    plain = _let(path, lambda p: F.when(F.contains(p, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)).otherwise(p))
-    general = _let(F.lower(bare(plain)), lambda p: _let(F.regexp_extract(p, _CODE, 1), lambda c: F.when(c != "", c).when(F.contains(p, F.lit("field-info/")), F.nullif(F.regexp_extract(p, _BARE, 1), F.lit("")))))
+    plain = _let(
+        path,
+        lambda p: F.when(F.contains(p, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)).otherwise(p)
+    )
+    general = _let(
+        F.lower(bare(plain)),
+        lambda p: _let(F.regexp_extract(p, _CODE, 1), lambda c: F.when(c != "", c).when(F.contains(p, F.lit("field-info/")), F.nullif(F.regexp_extract(p, _BARE, 1), F.lit(""))))
+    )
     return F.when(link.rlike(_PLAIN), F.lower(F.right(link, F.lit(CODE_LENGTH)))).otherwise(general)
 
 
@@ -61,7 +67,10 @@ def link_page_of(value: object) -> str | None:
 
 
 #: Schemes under which a reference without one is resolved against its base.
-RELATIVE_SCHEMES = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss"]
+RELATIVE_SCHEMES = [
+    "", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp",
+    "svn", "svn+ssh", "ws", "wss"
+]
 
 
 #: Fixed value: the regular expression of RFC 3986, appendix B, with schemes as that document has them.
@@ -101,7 +110,9 @@ def _resolved(b: Column, r: Column, ref: Column) -> Column:
     path = F.when(r["host"] != "", r["path"]).when(bare, b["path"]).otherwise(_merged(b["path"], r["path"]))
     query = F.when(bare & (r["query"] == ""), b["query"]).otherwise(r["query"])
     host = F.when(r["host"] != "", r["host"]).otherwise(b["host"])
-    return F.when((scheme != b["scheme"]) | ~scheme.isin(RELATIVE_SCHEMES) | broken, ref).otherwise(_text_of(scheme, host, path, query, r["fragment"]))
+    return F.when(
+        (scheme != b["scheme"]) | ~scheme.isin(RELATIVE_SCHEMES) | broken, ref
+    ).otherwise(_text_of(scheme, host, path, query, r["fragment"]))
 
 
 def url_join(base: Column, ref: Column) -> Column:

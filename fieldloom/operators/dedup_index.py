@@ -57,7 +57,9 @@ def on_rings(codes: DataFrame, bits: int, *keep: str) -> DataFrame:
     node = lambda ring, key, lead: F.struct(F.lit(ring).alias("ring"), key.alias("key"), lead.alias("lead"))
     both = F.explode(F.array(node(0, F.col("number"), half), node(1, rest * HALF_CODES + half, rest)))
     mixed = (F.col("n.lead") * _MIX).bitwiseAND((1 << _BITS) - 1)
-    return codes.select("space", both.alias("n"), *keep).select("space", "n.ring", F.shiftright(mixed, _BITS - bits).cast("int").alias("segment"), "n.key", *keep)
+    return codes.select("space", both.alias("n"), *keep).select(
+        "space", "n.ring", F.shiftright(mixed, _BITS - bits).cast("int").alias("segment"), "n.key", *keep
+    )
 
 
 def _segments(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -178,7 +180,9 @@ class History:
         tasks = self._tasks(2 * expected)
         routed = on_rings(codes, bits, "own_id").repartition(tasks, "space", "ring", "segment")
         near = routed.mapInArrow(search, "space string, number bigint, own_id bigint, first_id bigint, seen boolean")
-        known = near.groupBy("space", "number").agg(F.min("own_id").alias("own_id"), F.min("first_id").alias("first_id"), F.bool_or("seen").alias("seen"))
+        known = near.groupBy("space", "number").agg(
+            F.min("own_id").alias("own_id"), F.min("first_id").alias("first_id"), F.bool_or("seen").alias("seen")
+        )
         fresh = (F.col("own_id") == F.col("first_id")) & ~F.col("seen")
         new = Observation()
         known = materialize(known.observe(new, F.count_if(fresh).alias("n")), "known", path=into)
@@ -208,7 +212,9 @@ class History:
             full = next((c for c in sorted(by) if len(by[c]) >= FAN), None)
             if full is None:
                 break
-            now = [s for s in now if size_class(s) != full] + [{"nodes": sum(s["nodes"] for s in by[full]), "of": [n for s in by[full] for n in s["of"]]}]
+            now = [s for s in now if size_class(s) != full] + [{
+                "nodes": sum(s["nodes"] for s in by[full]), "of": [n for s in by[full] for n in s["of"]]
+            }]
         for s in [s for s in now if len(s["of"]) > 1]:
             self._merge(s["of"], s["nodes"])
         return len(self.shards)
@@ -217,7 +223,9 @@ class History:
         where, path = fs.FileSystem.from_uri(self.path)
         old = [s for s in self.shards if s["name"] in names]
         bits, root, name = segment_bits(nodes), self.path, self._next()
-        listed = {f.base_name.removeprefix("graph=") for s in old for f in where.get_file_info(fs.FileSelector(posixpath.join(path, s["name"]))) if f.base_name.startswith("graph=")}
+        listed = {
+            f.base_name.removeprefix("graph=") for s in old for f in where.get_file_info(fs.FileSelector(posixpath.join(path, s["name"]))) if f.base_name.startswith("graph=")
+        }
         groups = sorted({(bytes.fromhex(x).decode(), int(r), k) for x, r, _ in (g.split("-") for g in listed) for k in range(1 << bits)})
         parts = [(s["name"], s["bits"]) for s in old]
 
@@ -226,7 +234,9 @@ class History:
                 for g in batch.to_pylist():
                     keys, firsts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
                     for shard, own in parts:
-                        segments = [g["segment"] >> (bits - own)] if own <= bits else range(g["segment"] << (own - bits), (g["segment"] + 1) << (own - bits))
+                        segments = [g["segment"] >> (bits - own)] if own <= bits else range(
+                            g["segment"] << (own - bits), (g["segment"] + 1) << (own - bits)
+                        )
                         for k in segments:
                             graph = _open(root, shard, g["space"], g["ring"], k)
                             if graph is not None:
@@ -236,7 +246,9 @@ class History:
                     if sum(map(len, keys)):
                         yield _graph_batch(g["space"], g["ring"], g["segment"], Graph.build(np.concatenate(keys), np.concatenate(firsts)))
 
-        todo = self.spark.createDataFrame(groups, "space string, ring int, segment int").repartition(min(len(groups), 4 * parallelism(self.spark)), "space", "ring", "segment")
+        todo = self.spark.createDataFrame(groups, "space string, ring int, segment int").repartition(
+            min(len(groups), 4 * parallelism(self.spark)), "space", "ring", "segment"
+        )
         self._write(todo.mapInArrow(merge, _GRAPH), name)
         self._save([s for s in self.shards if s["name"] not in names] + [{"name": name, "nodes": nodes, "bits": bits}])
         for gone in names:
@@ -244,7 +256,9 @@ class History:
 
     def graphs(self) -> DataFrame:
         """(shard, space, ring, segment, nodes, beam, sampled, near, found) of each graph: its size, and how its beam was tuned against exhaustive search."""
-        named = [self.spark.read.schema(_GRAPH).parquet(f"{self.path}/{s['name']}").select(F.lit(s["name"]).alias("shard"), *_GRAPH_TYPES.names[:8]) for s in self.shards]
+        named = [
+            self.spark.read.schema(_GRAPH).parquet(f"{self.path}/{s['name']}").select(F.lit(s["name"]).alias("shard"), *_GRAPH_TYPES.names[:8]) for s in self.shards
+        ]
         return reduce(DataFrame.unionAll, named) if named else self.spark.createDataFrame([], "shard string, " + _GRAPH.split(", keys")[0])
 
 
@@ -282,7 +296,10 @@ def duplicates(rows: DataFrame, space: str = "space", history: History | None =
     if history is None:
         path = own_folder(spark, "history")
         history = History(spark, path)
-    rows, known = arrive(rows.select(F.col(space).cast("string").alias("space"), "id", F.col("batch").cast("bigint").alias("batch"), code_number(F.col("code")).alias("number")), history)
+    rows, known = arrive(
+        rows.select(F.col(space).cast("string").alias("space"), "id", F.col("batch").cast("bigint").alias("batch"), code_number(F.col("code")).alias("number")),
+        history
+    )
     if history.shards:
         remove_at_end(spark, history.path)
     return _later(rows, known, "batch").withColumnRenamed("space", space)

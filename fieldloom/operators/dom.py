@@ -14,8 +14,14 @@ from html.parser import HTMLParser
 
 #: Fixed values of HTML: elements without content, and those that an opening tag ends.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-BLOCKS = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
-ENDED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
+BLOCKS = {
+    "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
+    "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"
+}
+ENDED_BY = {
+    "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody"}, "td": {"td", "th", "tr"},
+    "th": {"td", "th", "tr"}, "option": {"option"}
+}
 #: An implied end doesn't reach out of these.
 SCOPES = {"ul", "ol", "dl", "table", "select", "div", "td", "th", "body"}
 
@@ -133,7 +139,9 @@ def parse(html: str) -> Element:
     return b.root
 
 
-_PART = re.compile(r"""(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>\^?=)"(?P<val>[^"]*)")?\]|:contains\("(?P<has>[^"]*)"\)""")
+_PART = re.compile(
+    r"""(?P<tag>[a-zA-Z][\w-]*)|\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>\^?=)"(?P<val>[^"]*)")?\]|:contains\("(?P<has>[^"]*)"\)"""
+)
 
 
 def _compound(text: str) -> list[tuple]:

@@ -127,7 +127,9 @@ def held_fields(items: DataFrame, feed: str, record: str) -> DataFrame:
                                 rows.append((page, section, name, _KIND[type(value)], inner, *_content(value)))
                                 own.append(i)
                 cols = list(zip(*rows)) or [()] * len(kinds)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own, pa.int64())), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["feed", *names])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(own, pa.int64())), *[pa.array(c, t) for c, t in zip(cols, kinds)]], names=["feed", *names]
+                )
 
     shape = f"feed {items.schema[feed].dataType.simpleString()}, page bigint, section string, field string, type int, inner string, whole bigint, leaf bigint"
     return spread(items.select(F.col(feed).alias("feed"), F.col(record).cast("string").alias("record"))).mapInArrow(run, shape)
@@ -144,7 +146,10 @@ def existing(held: DataFrame, sizes: DataFrame) -> DataFrame:
     typed = counts.withColumn("type", F.coalesce(*[F.when(F.col(f"n{k}") == most, k) for k in range(len(TYPES))]))
     nested = held.where(F.col("type") == TYPES.index("object")).groupBy("feed", "section", "field").agg(F.max("inner").alias("inner"))
     there = typed.join(sizes, "feed").join(nested, ["feed", "section", "field"], "left")
-    return there.select("feed", "section", "field", "type", F.coalesce("inner", F.lit("")).alias("inner"), "n", (F.col("n") * EXISTS_IN >= F.col("records")).alias("exists"))
+    return there.select(
+        "feed", "section", "field", "type", F.coalesce("inner", F.lit("")).alias("inner"), "n",
+        (F.col("n") * EXISTS_IN >= F.col("records")).alias("exists")
+    )
 
 
 def schemas(fields: DataFrame) -> DataFrame:
@@ -259,7 +264,9 @@ def _select_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, own = [], []
         for i, (changes, matches) in enumerate(zip(batch.column("changes").to_pylist(), batch.column("matches").to_pylist())):
             gone, come = set(), set()
-            for m in sorted(matches or [], key=lambda m: (m["kind"] != "match", -m["share"] - m["score"], m["section"], m["old_name"], m["new_name"])):
+            for m in sorted(
+                matches or [], key=lambda m: (m["kind"] != "match", -m["share"] - m["score"], m["section"], m["old_name"], m["new_name"])
+            ):
                 old, new = (m["section"], m["old_name"]), (m["section"], m["new_name"])
                 if old not in gone and new not in come:
                     gone.add(old)
@@ -272,7 +279,10 @@ def _select_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append((s, c["kind"], c["old_name"], c["new_name"]))
                     own.append(i)
         cols = list(zip(*rows)) or [()] * 4
-        yield pa.RecordBatch.from_arrays([batch.column("feed").take(pa.array(own, pa.int64())), *[pa.array(c, pa.string()) for c in cols]], names=["feed", "section", "kind", "old_name", "new_name"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("feed").take(pa.array(own, pa.int64())), *[pa.array(c, pa.string()) for c in cols]],
+            names=["feed", "section", "kind", "old_name", "new_name"]
+        )
 
 
 def verified(held: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -285,15 +295,21 @@ def verified(held: DataFrame, pairs: DataFrame) -> DataFrame:
     key = F.xxhash64("section", "old_name", "new_name").alias("pair")
     side = lambda k, feed, name: pairs.select(F.col(feed).alias("feed"), "section", F.col(name).alias("field"), F.col("feed").alias("at"), key, F.lit(k).alias("side"))
     sides = side(0, "before", "old_name").unionAll(side(1, "feed", "new_name"))
-    content = held.where("page is not null").select("feed", "section", "field", "page", "type", "whole", "leaf").join(sides, ["feed", "section", "field"])
+    content = held.where("page is not null").select(
+        "feed", "section", "field", "page", "type", "whole", "leaf"
+    ).join(sides, ["feed", "section", "field"])
     each = [F.min(F.when(F.col("side") == k, F.col(c))).alias(f"{c}{k}") for k in (0, 1) for c in ("type", "whole", "leaf")]
     both = content.groupBy("at", "pair", "page").agg(*each).where("type0 is not null and type1 is not null")
     same = (F.col("whole0") == F.col("whole1")) | ((F.col("type0") != F.col("type1")) & (F.col("leaf0") == F.col("leaf1")))
     by_value = both.groupBy("at", "pair", "leaf0").agg(F.count(F.lit(1)).alias("n"), F.count_if(same).alias("agree"))
-    agreed = by_value.groupBy("at", "pair").agg((F.sum("agree") / F.sum("n")).alias("share"), (F.sum(F.col("n") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance"))
+    agreed = by_value.groupBy("at", "pair").agg(
+        (F.sum("agree") / F.sum("n")).alias("share"), (F.sum(F.col("n") * F.col("n")) / F.sum("n") / F.sum("n")).alias("chance")
+    )
     beyond = F.when(F.col("share") == 1, 1.0).when(F.col("chance") < 1, (F.col("share") - F.col("chance")) / (1 - F.col("chance"))).otherwise(0.0)
     named = pairs.withColumn("pair", key).join(agreed.withColumnRenamed("at", "feed"), ["feed", "pair"])
-    return named.where((F.col("share") >= SAME_CONTENT) & (beyond + F.col("score") >= EVIDENCE)).select("feed", "section", "kind", "old_name", "new_name", "score", "share")
+    return named.where(
+        (F.col("share") >= SAME_CONTENT) & (beyond + F.col("score") >= EVIDENCE)
+    ).select("feed", "section", "kind", "old_name", "new_name", "score", "share")
 
 
 def changes(held: DataFrame, fields: DataFrame, pairs: DataFrame, match: Callable = flood) -> DataFrame:
@@ -306,8 +322,12 @@ def changes(held: DataFrame, fields: DataFrame, pairs: DataFrame, match: Callabl
     """
     kind = pairs.schema["feed"].dataType.simpleString()
     known, shape = schemas(fields), f"feed {kind}, section string, kind string, old_name string, new_name string"
-    sides = pairs.join(known.withColumnRenamed("fields", "new"), "feed", "left").join(known.select(F.col("feed").alias("before"), F.col("fields").alias("old")), "before", "left")
-    found = sides.mapInArrow(_compare_pass(match), f"feed {kind}, before {kind}, section string, kind string, old_name string, new_name string, score double")
+    sides = pairs.join(known.withColumnRenamed("fields", "new"), "feed", "left").join(
+        known.select(F.col("feed").alias("before"), F.col("fields").alias("old")), "before", "left"
+    )
+    found = sides.mapInArrow(
+        _compare_pass(match), f"feed {kind}, before {kind}, section string, kind string, old_name string, new_name string, score double"
+    )
     found = materialize(found, "changes")
     listed = lambda df, name, *c: df.groupBy("feed").agg(F.collect_list(F.struct(*c)).alias(name))
     of_match = ["section", "kind", "old_name", "new_name", "score", "share"]
@@ -327,8 +347,12 @@ def canonical_names(changed: DataFrame, pairs: DataFrame, files: DataFrame, feed
     """
     kind = files.schema[feed].dataType.simpleString()
     renamed = changed.where("kind = 'renamed'").groupBy("feed").agg(F.collect_list(F.struct("section", "old_name", "new_name")).alias("renames"))
-    loads = files.where(F.col(series).isNotNull() & F.col(order).isNotNull()).select(F.col(feed).alias("feed"), F.col(series).alias("series"), F.col(order).alias("load"))
-    per = loads.join(renamed, "feed", "left").groupBy("series").agg(F.array_sort(F.collect_list(F.struct("load", "feed", "renames"))).alias("loads")).where(F.exists("loads", lambda x: x["renames"].isNotNull()))
+    loads = files.where(F.col(series).isNotNull() & F.col(order).isNotNull()).select(
+        F.col(feed).alias("feed"), F.col(series).alias("series"), F.col(order).alias("load")
+    )
+    per = loads.join(renamed, "feed", "left").groupBy("series").agg(
+        F.array_sort(F.collect_list(F.struct("load", "feed", "renames"))).alias("loads")
+    ).where(F.exists("loads", lambda x: x["renames"].isNotNull()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,7 +365,9 @@ def canonical_names(changed: DataFrame, pairs: DataFrame, files: DataFrame, feed
                     now = {k: v for k, v in now.items() if k not in {old for old, _ in moved}} | first
                     rows += [(x["feed"], s, n, v) for (s, n), v in now.items() if n != v]
             cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [feed_type, *[pa.string()] * 3])], names=["feed", "section", "field", "name"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, [feed_type, *[pa.string()] * 3])], names=["feed", "section", "field", "name"]
+            )
 
     feed_type = pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()
     return per.mapInArrow(run, f"feed {kind}, section string, field string, name string")
@@ -362,7 +388,10 @@ def targets(fields: DataFrame, names: DataFrame) -> list[Target]:
     What comes to the driver is bounded by the schema's names, as any table's schema is.
     """
     named = fields.join(names, ["feed", "section", "field"], "left").withColumn("name", F.coalesce("name", "field"))
-    counts = named.groupBy("section", "name").agg(F.bool_or("exists").alias("exists"), *[F.sum(F.when(F.col("type") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(len(TYPES))])
+    counts = named.groupBy("section", "name").agg(
+        F.bool_or("exists").alias("exists"),
+        *[F.sum(F.when(F.col("type") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(len(TYPES))]
+    )
     out, taken = [], {}
     for r in sorted(counts.where("exists").collect(), key=lambda r: (SECTIONS.index(r["section"]), r["name"])):
         words = re.sub(r"[^0-9a-z]+", "_", re.sub(r"([a-z])([A-Z])", r"\1_\2", r["name"]).lower()).strip("_")
@@ -428,9 +457,14 @@ def unified(items: DataFrame, key: str, feed: str, record: str, names: DataFrame
                                 cells[place][i] = fit
                 maps = pa.array([list(dict(x).items()) for x in other], pa.map_(pa.string(), pa.string()))
                 arrays = [pa.array(c, spark_type.get(t.type, ("", pa.string()))[1]) for c, t in zip(cells, columns)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *arrays, maps], names=[key, feed, *[t.column for t in columns], "other"])
-
-    shape = ", ".join([f"`{key}` {kinds[0]}", f"`{feed}` {kinds[1]}", *[f"`{t.column}` {spark_type.get(t.type, ('string',))[0]}" for t in columns], "other map<string,string>"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *arrays, maps], names=[key, feed, *[t.column for t in columns], "other"]
+                )
+
+    shape = ", ".join([
+        f"`{key}` {kinds[0]}", f"`{feed}` {kinds[1]}", *[f"`{t.column}` {spark_type.get(t.type, ('string',))[0]}" for t in columns],
+        "other map<string,string>"
+    ])
     rows = spread(items.select(key, feed, F.col(record).cast("string").alias("record"))).join(renamed, F.col(feed) == F.col("_feed"), "left")
     return rows.select(key, feed, "record", "renames").mapInArrow(run, shape)
 
@@ -450,4 +484,6 @@ def record_pages(items: DataFrame, key: str, record: str, batch: str) -> DataFra
                     pages.append(None)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(pages, pa.string())], names=[key, batch, "page"])
 
-    return spread(items.select(key, batch, F.col(record).cast("string").alias("record"))).mapInArrow(run, f"`{key}` {kinds[key]}, `{batch}` {kinds[batch]}, page string")
+    return spread(
+        items.select(key, batch, F.col(record).cast("string").alias("record"))
+    ).mapInArrow(run, f"`{key}` {kinds[key]}, `{batch}` {kinds[batch]}, page string")

@@ -107,7 +107,10 @@ ADDITIONAL = (".clearfix.mb20px.mainInfo .table", ".bold::text", ".w45p::text, .
 INFORMATION = ("div.clearboth.p3xp.bold::text", "div.clearboth.p3px::text")
 IMAGE_AT = "#dnn_ctr422_VDC_ctl00_divRunwayDiagram img::attr(src)"
 INDEX_AT, LISTING_AT = "div.byCountry ul li a", "div.result.clearfix"
-LISTING = ("div.col1.w15p.fl.p10px::text", "div.col2.w30p.fl.p10px a::text", "div.col3.w15p.fl.p10px::text", "div.col4.w25p.fl.p10px::text", "div.col2.w30p.fl.p10px a::attr(href)")
+LISTING = (
+    "div.col1.w15p.fl.p10px::text", "div.col2.w30p.fl.p10px a::text", "div.col3.w15p.fl.p10px::text", "div.col4.w25p.fl.p10px::text",
+    "div.col2.w30p.fl.p10px a::attr(href)"
+)
 MARKERS = {"ICAO": ("ICAO -", ","), "IATA": ("IATA -", None)}
 
 
@@ -154,7 +157,10 @@ def image(page: Element, url: str | None, icao: str | None, folder: str, referer
     out: dict[str, str | None] = dict.fromkeys(IMAGE) | {"Referer Url": referer}
     if src:
         name = f"{'UNKNOWN' if icao is None else icao}_runway_diagram.jpg"
-        out |= {"Runway Diagram Url": urljoin(url or "", src), "Runway Diagram Image Name": name, "Runway Diagram Local Path": posixpath.join(folder, name)}
+        out |= {
+            "Runway Diagram Url": urljoin(url or "", src), "Runway Diagram Image Name": name,
+            "Runway Diagram Local Path": posixpath.join(folder, name)
+        }
     return out
 
 
@@ -202,7 +208,9 @@ def extract(
                 columns = [pa.array([plain(r[n], t) for r in rows], t) for n, t in types]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["key", *[n for n, _ in types]])
 
-    out = spread(pages.select(F.col(key).alias("key"), F.col(link).cast("string").alias("link"), F.col(html).cast("string").alias("html"))).mapInArrow(run, shape)
+    out = spread(pages.select(
+        F.col(key).alias("key"), F.col(link).cast("string").alias("link"), F.col(html).cast("string").alias("html")
+    )).mapInArrow(run, shape)
     return out.withColumnRenamed("key", key)
 
 
@@ -228,14 +236,20 @@ def _harvest(pages: DataFrame, keep: list[str], url: str, html: str, fields: lis
                 rows += found
                 own += [i] * len(found)
             cols = list(zip(*rows)) or [()] * len(fields)
-            yield pa.RecordBatch.from_arrays([batch.column(j).take(pa.array(own, pa.int64())) for j in range(len(keep))] + [pa.array(c, pa.string()) for c in cols], names=[*kept, *fields])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(j).take(pa.array(own, pa.int64())) for j in range(len(keep))] + [pa.array(c, pa.string()) for c in cols],
+                names=[*kept, *fields]
+            )
 
     return spread(pages.select(*keep, F.col(url).cast("string").alias("_url"), F.col(html).cast("string").alias("_html"))).mapInArrow(run, shape)
 
 
 def index_links(pages: DataFrame, keep: list[str], url: str, html: str) -> DataFrame:
     """(keep..., country, link): a row for each country's link of an index page, its text stripped, its address absolute."""
-    return _harvest(pages, keep, url, html, ["country", "link"], lambda page, u: [((first(a, "::text") or "").strip(), urljoin(u, a.attrs.get("href", ""))) for a in select(page, INDEX_AT)])
+    return _harvest(
+        pages, keep, url, html, ["country", "link"], lambda page,
+        u: [((first(a, "::text") or "").strip(), urljoin(u, a.attrs.get("href", ""))) for a in select(page, INDEX_AT)]
+    )
 
 
 def listing_rows(pages: DataFrame, keep: list[str], url: str, html: str) -> DataFrame:

@@ -69,7 +69,9 @@ def without_keys(m: Column, *names: str) -> Column:
 def progress(links: DataFrame, column: str, left: DataFrame) -> DataFrame:
     """One row: rows in all, rows remaining, distinct stripped links that aren't empty."""
     link = py_strip(F.col(column))
-    both = links.select(F.lit(1).alias("a"), F.lit(0).alias("r"), F.when(link != "", link).alias("link")).unionAll(left.select(F.lit(0), F.lit(1), F.lit(None).cast("string")))
+    both = links.select(
+        F.lit(1).alias("a"), F.lit(0).alias("r"), F.when(link != "", link).alias("link")
+    ).unionAll(left.select(F.lit(0), F.lit(1), F.lit(None).cast("string")))
     return both.agg(F.sum("a").alias("n_links"), F.sum("r").alias("n_remaining"), F.countDistinct("link").alias("n_distinct"))
 
 
@@ -82,7 +84,10 @@ def ranked(df: DataFrame, column: str) -> DataFrame:
     cut = df.select(column).distinct().repartitionByRange(column).withColumn("_range", F.spark_partition_id())
     cut = materialize(cut, "ranges")
     sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("n"))
+    before = sizes.select(
+        "_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("n")
+    )
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(column))
     return cut.withColumn("_at", inside).join(F.broadcast(before), "_range").select(column, (F.col("_before") + F.col("_at")).alias("rank"), "n")
 

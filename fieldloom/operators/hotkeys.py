@@ -17,7 +17,10 @@ from ..functions.text import name_key
 
 def spellings(ref: DataFrame, name: str, others: str) -> DataFrame:
     """(key, name) for each name of a reference list and each of its other names; a key two names share goes to the one bearing it itself, then to the lesser."""
-    own = ref.select(F.col(name).alias("name"), F.explode(F.concat(F.array(F.struct(F.lit(0).alias("rank"), F.col(name).alias("as"))), F.transform(F.coalesce(F.col(others), F.array().cast("array<string>")), lambda x: F.struct(F.lit(1).alias("rank"), x.alias("as"))))).alias("e"))
+    own = ref.select(
+        F.col(name).alias("name"),
+        F.explode(F.concat(F.array(F.struct(F.lit(0).alias("rank"), F.col(name).alias("as"))), F.transform(F.coalesce(F.col(others), F.array().cast("array<string>")), lambda x: F.struct(F.lit(1).alias("rank"), x.alias("as"))))).alias("e")
+    )
     keyed = own.where("name is not null").select(name_key(F.col("e.as")).alias("key"), F.struct("e.rank", "name").alias("best")).where("key <> ''")
     return keyed.groupBy("key").agg(F.min("best").alias("best")).select("key", F.col("best.name").alias("name"))
 

@@ -126,7 +126,9 @@ def flatten(df: DataFrame, key: str, record: str, values: bool = True) -> DataFr
                     names=["key", "dewey", "up", "node_path", "cut", "schema_path", "fields", "element", "value", "error"],
                 )
 
-    out = spread(df.select(F.col(key).alias("key"), F.col(record).cast("string").alias("record"))).mapInArrow(run, f"key {kind}, {NODES}, error string")
+    out = spread(df.select(
+        F.col(key).alias("key"), F.col(record).cast("string").alias("record")
+    )).mapInArrow(run, f"key {kind}, {NODES}, error string")
     return out.withColumnRenamed("key", key)
 
 
@@ -201,7 +203,10 @@ def tables(nodes: DataFrame, key: str) -> dict[str, DataFrame]:
     and JSON nulls are null. The scalars in a list are the table of the list's path: key, dewey, parent_dewey, value.
     """
     path = F.concat(F.lit("$"), F.col("schema_path"), F.when(F.col("element"), ":values").otherwise(""))
-    rows = nodes.where("error is null").select(F.col(key).alias("_key"), "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "element", "fields", "value", path.alias("of"))
+    rows = nodes.where("error is null").select(
+        F.col(key).alias("_key"), "dewey", parent_dewey().alias("parent_dewey"), "schema_path", "element", "fields", "value",
+        path.alias("of")
+    )
     rows = materialize(rows, "nodes", "of")
     columns: dict[str, list] = {r["schema_path"]: [] for r in rows.where("not element").select("schema_path").distinct().collect()}
     for r in sorted(columns_of(rows).collect(), key=lambda r: (r["schema_path"], r["field_name"])):

@@ -73,7 +73,9 @@ def cell_class(column: str, c: Column, patterns: dict) -> Column:
 def _plan(stats: DataFrame, load: str, settled: Column) -> tuple[DataFrame, DataFrame]:
     """stats, written once, with ``load`` (null where a row group mixes loads); and for each file and column whether all its chunks are settled."""
     stats = materialize(stats, "footers")
-    loads = stats.where(F.col("column") == load).select("file", "row_group", F.when((F.col("low") == F.col("high")) & (F.col("nulls") == 0), F.col("low")).alias("load"))
+    loads = stats.where(F.col("column") == load).select(
+        "file", "row_group", F.when((F.col("low") == F.col("high")) & (F.col("nulls") == 0), F.col("low")).alias("load")
+    )
     known = stats.where(F.col("column") != load).join(loads, ["file", "row_group"])
     known = materialize(known.withColumn("settled", F.col("load").isNotNull() & F.coalesce(settled, F.lit(False))), "chunks")
     return known, known.groupBy("file", "column").agg(F.bool_and("settled").alias("settled"))
@@ -135,7 +137,9 @@ def checks(spark: SparkSession, path: str, patterns: dict, load: str, key: str)
     ]
     for cols, df in _scans(spark, path, plan):
         each = F.array(*[F.struct(F.lit(columns.index(c)).alias("c"), cell_class(c, F.col(c).cast("string"), patterns).alias("class")) for c in cols])
-        row = df.select(load, key, F.explode(each).alias("x")).select("x.c", load, "x.class", F.when(F.col("x.class") == IS_INVALID, F.col(key)).alias(key))
+        row = df.select(load, key, F.explode(each).alias("x")).select(
+            "x.c", load, "x.class", F.when(F.col("x.class") == IS_INVALID, F.col(key)).alias(key)
+        )
         states.append(row.groupBy("c", load, "class", key).agg(F.count(F.lit(1)).alias("n")))
     states = materialize(_union(states), "states")
     bad = states.where(F.col("class") == IS_INVALID)
@@ -148,13 +152,21 @@ def checks(spark: SparkSession, path: str, patterns: dict, load: str, key: str)
 def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
     """(column_name, load) whose share of missing cells, of invalid cells or of any one valid value differs by more than ``by`` from the load before (number less one); a load without that one before it has no shift."""
     totals = shares.groupBy("column_name", load).agg(F.sum("n").alias("total"))
-    here = shares.join(totals, ["column_name", load]).select("column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share"))
+    here = shares.join(totals, ["column_name", load]).select(
+        "column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share")
+    )
     # a share moves by more than `by` only if it is above it in one of the two loads
     here = here.where(F.round("share", 12) > by)
-    both = totals.select("column_name", F.col(load).cast("bigint").alias("at")).join(totals.select("column_name", (F.col(load) + 1).cast("bigint").alias("at")), ["column_name", "at"])
+    both = totals.select("column_name", F.col(load).cast("bigint").alias("at")).join(
+        totals.select("column_name", (F.col(load) + 1).cast("bigint").alias("at")), ["column_name", "at"]
+    )
     wanted = here.select("column_name", "at", "class").unionByName(here.select("column_name", (F.col("at") + 1).alias("at"), "class")).distinct()
-    every = shares.join(totals, ["column_name", load]).select("column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share"))
-    moved = every.select("column_name", "at", "class", F.col("share").alias("d")).unionByName(every.select("column_name", (F.col("at") + 1).alias("at"), "class", (-F.col("share")).alias("d")))
+    every = shares.join(totals, ["column_name", load]).select(
+        "column_name", F.col(load).cast("bigint").alias("at"), "class", (F.col("n") / F.col("total")).alias("share")
+    )
+    moved = every.select("column_name", "at", "class", F.col("share").alias("d")).unionByName(every.select(
+        "column_name", (F.col("at") + 1).alias("at"), "class", (-F.col("share")).alias("d")
+    ))
     moved = moved.join(wanted, ["column_name", "at", "class"], "left_semi").groupBy("column_name", "at", "class").agg(F.sum("d").alias("d")).where(F.round(F.abs("d"), 12) > by)
     return moved.join(both, ["column_name", "at"], "left_semi").select("column_name", F.col("at").alias(load)).distinct()
 
@@ -189,14 +201,23 @@ def profile(spark: SparkSession, path: str, load: str) -> DataFrame:
     for cols, df in _scans(spark, path, plan):
         cell = lambda i, c: [F.count_if(is_missing(F.col(c).cast("string"))).alias(f"m{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
         # an aggregate with a sketch keeps its states as objects, so that text extrema need no sort of the rows
-        wide = df.groupBy(load).agg(F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.lit(1)).alias("s"), *[x for i, c in enumerate(cols) for x in cell(i, c)])
-        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"), F.col(f"l{i}").cast("string").alias("low"), F.col(f"h{i}").cast("string").alias("high")) for i, c in enumerate(cols)]))
-        parts.append(wide.select(load, "n", each.alias("x")).select("x.column_name", load, F.col("n").alias("n_rows"), "x.n_missing", "x.low", "x.high"))
+        wide = df.groupBy(load).agg(
+            F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.lit(1)).alias("s"), *[x for i, c in enumerate(cols) for x in cell(i, c)]
+        )
+        each = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"), F.col(f"l{i}").cast("string").alias("low"), F.col(f"h{i}").cast("string").alias("high")) for i,
+            c in enumerate(cols)
+        ]))
+        parts.append(wide.select(load, "n", each.alias("x")).select(
+            "x.column_name", load, F.col("n").alias("n_rows"), "x.n_missing", "x.low", "x.high"
+        ))
 
     # distinct values: hashes of what dictionaries list, and of scanned cells
     number = F.array_position(F.array(*map(F.lit, columns)), F.col("column")).cast("int") - 1
     hashed = lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit("second"), c).alias("b"))
-    told = listed.join(listing.where("settled").select("file", "column"), ["file", "column"]).select(number.alias("c"), at_load, F.explode("candidates").alias("v"))
+    told = listed.join(
+        listing.where("settled").select("file", "column"), ["file", "column"]
+    ).select(number.alias("c"), at_load, F.explode("candidates").alias("v"))
     values = [told.select("c", load, hashed(F.col("v")).alias("h"))]
     for cols, df in _scans(spark, path, listing):
         each = F.array(*[F.struct(F.lit(columns.index(c)).alias("c"), F.when(F.col(c).isNotNull(), hashed(F.col(c))).alias("h")) for c in cols])
@@ -211,7 +232,10 @@ def profile(spark: SparkSession, path: str, load: str) -> DataFrame:
     folded = _union(parts).groupBy("column_name", load).agg(*ends)
     ranges = [F.coalesce(*[F.col(f"{x}{k}") for k in range(len(orders))]).alias(x) for x in ("low", "high")]
     counts = distinct.select(_named("c", columns), F.col(load).alias("_load"), "n_distinct")
-    joined = folded.join(counts.withColumnRenamed("column_name", "_name"), (F.col("column_name") == F.col("_name")) & F.col(load).eqNullSafe(F.col("_load")), "left")
+    joined = folded.join(
+        counts.withColumnRenamed("column_name", "_name"), (F.col("column_name") == F.col("_name")) & F.col(load).eqNullSafe(F.col("_load")),
+        "left"
+    )
     return joined.select("column_name", load, "n_rows", "n_missing", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"), *ranges)
 
 
@@ -224,11 +248,16 @@ def settled_chunks(spark: SparkSession, path: str, load: str) -> DataFrame:
     ranged = (F.col("nulls") >= 0) & F.col("low").isNotNull() & (~F.col("column").isin(*texts) | (F.col("candidates").isNotNull() & ~spelled))
     known, _ = _plan(chunks(spark, path, source.columns, texts), load, null | ranged)
     listed = F.col("load").isNotNull() & (null | F.col("candidates").isNotNull())
-    return known.groupBy(F.col("column").alias("column_name")).agg(F.count(F.lit(1)).alias("chunks"), F.count_if("settled").alias("settled_range"), F.count_if(listed).alias("settled_distinct"))
+    return known.groupBy(F.col("column").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_if("settled").alias("settled_range"), F.count_if(listed).alias("settled_distinct")
+    )
 
 
 def table_profile(spark: SparkSession, path: str) -> DataFrame:
     """(column_name, n_rows, nulls, chunks, with_dictionary) from footers and page headers alone; nulls is null where a footer lacks them."""
     stats = chunks(spark, path)
     known = F.bool_and(F.col("nulls") >= 0)
-    return stats.groupBy(F.col("column").alias("column_name")).agg(F.sum("n_rows").alias("n_rows"), F.when(known, F.sum("nulls")).alias("nulls"), F.count(F.lit(1)).alias("chunks"), F.count_if(F.col("candidates").isNotNull()).alias("with_dictionary"))
+    return stats.groupBy(F.col("column").alias("column_name")).agg(
+        F.sum("n_rows").alias("n_rows"), F.when(known, F.sum("nulls")).alias("nulls"), F.count(F.lit(1)).alias("chunks"),
+        F.count_if(F.col("candidates").isNotNull()).alias("with_dictionary")
+    )

@@ -174,7 +174,10 @@ class Graph:
         links = np.frombuffer(row["links"], np.int32).reshape(-1, 2 * SIDE)
         ends = np.cumsum(np.frombuffer(row["sizes"], np.int32))
         each = [links[b - n : b] for b, n in zip(ends, np.frombuffer(row["sizes"], np.int32))]
-        return cls(np.frombuffer(row["keys"], np.int64), np.frombuffer(row["firsts"], np.int64), each, row["beam"], row["sampled"], row["near"], row["found"])
+        return cls(
+            np.frombuffer(row["keys"], np.int64), np.frombuffer(row["firsts"], np.int64), each, row["beam"], row["sampled"], row["near"],
+            row["found"]
+        )
 
 
 def _nearest(along: np.ndarray) -> np.ndarray:

@@ -50,7 +50,9 @@ def json_lines(spark: SparkSession, d: str) -> DataFrame:
     path = own_folder(spark, "feed")
     sinks.write_feed(read_items(table(spark, d, "airport_items"), "item_id", "raw_json"), path)
     remove_at_end(spark, path)
-    r = spark.read.schema(f"item_id bigint, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in ITEM.fields if f.name in ('Hotel Info',))}").json(path)
+    r = spark.read.schema(
+        f"item_id bigint, {', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in ITEM.fields if f.name in ('Hotel Info',))}"
+    ).json(path)
     return r.select("item_id", F.coalesce(F.size(F.filter("`Hotel Info`", lambda x: x.isNotNull())), F.lit(0)).alias("hotels"))
 
 
@@ -58,16 +60,22 @@ def json_arrays(spark: SparkSession, d: str) -> DataFrame:
     """Each feed written as one file holding one array, and read whole by one task: its records by their place."""
     path = own_folder(spark, "arrays")
     feeds = table(spark, d, "airport_items").groupBy("feed_id").agg(F.array_sort(F.collect_list(F.struct("item_id", "raw_json"))).alias("r"))
-    feeds.select("feed_id", F.concat(F.lit("[\n"), F.array_join(F.transform("r", lambda x: x["raw_json"]), ",\n"), F.lit("\n]\n")).alias("value")).write.partitionBy("feed_id").text(path)
+    feeds.select(
+        "feed_id", F.concat(F.lit("[\n"), F.array_join(F.transform("r", lambda x: x["raw_json"]), ",\n"), F.lit("\n]\n")).alias("value")
+    ).write.partitionBy("feed_id").text(path)
     remove_at_end(spark, path)
     feed = F.regexp_extract("source_file", "feed_id=([0-9]+)", 1).cast("bigint").alias("feed_id")
-    return tables.read_feeds(spark, f"{path}/feed_id=*").select(feed, "record_no", F.get_json_object("raw_json", "$['Airport Details'].Country").alias("country"))
+    return tables.read_feeds(spark, f"{path}/feed_id=*").select(
+        feed, "record_no", F.get_json_object("raw_json", "$['Airport Details'].Country").alias("country")
+    )
 
 
 def feed_status(spark: SparkSession, d: str) -> DataFrame:
     """Feeds with their number of records and whether reading them succeeded; every seventh breaks off in its second record."""
     whole = F.concat(F.lit("["), "raw_json", F.lit(","), "raw_json", F.lit("]"))
-    feeds = table(spark, d, "airport_items").select("item_id", F.when(F.col("item_id") % 7 == 0, F.concat(F.lit("["), "raw_json", F.lit("][{"))).otherwise(whole).alias("feed"))
+    feeds = table(spark, d, "airport_items").select(
+        "item_id", F.when(F.col("item_id") % 7 == 0, F.concat(F.lit("["), "raw_json", F.lit("][{"))).otherwise(whole).alias("feed")
+    )
     return frontier.status(tables.explode_feeds(feeds, ["item_id"], "feed"), "item_id").select("item_id", "n_records", "status")
 
 
@@ -112,11 +120,17 @@ def images_on(spark: SparkSession, d: str) -> DataFrame:
 
 def chained(spark: SparkSession, d: str) -> DataFrame:
     """Item pipelines in order of their priority, whatever the order they are given in."""
-    steps = ((300, lambda x: x.withColumn("icao", F.concat("icao", F.lit("3")))), (100, lambda x: x.withColumn("icao", F.concat("icao", F.lit("1")))), (200, lambda x: x.where("icao like '%1'")))
+    steps = (
+        (300, lambda x: x.withColumn("icao", F.concat("icao", F.lit("3")))),
+        (100, lambda x: x.withColumn("icao", F.concat("icao", F.lit("1")))), (200, lambda x: x.where("icao like '%1'"))
+    )
     return clean.chain(table(spark, d, "detail_rows").select("detail_id", "icao"), *steps)
 
 
-QUERIES = {f.__name__: f for f in (csv_by_country, csv_write_back, json_lines, json_arrays, feed_status, store_twice, outputs_per_input, session_live, mail_links, images_on, chained)}
+QUERIES = {f.__name__: f for f in (
+    csv_by_country, csv_write_back, json_lines, json_arrays, feed_status, store_twice, outputs_per_input, session_live, mail_links,
+    images_on, chained
+)}
 
 _CELLS = ", ".join(f"coalesce({c}, '') AS {c}" for c in _OWN)
 _DONE = f"(SELECT DISTINCT {_strip('''(CASE WHEN json_type(raw_json, '$.\"Airport Details\"') = 'VARCHAR' THEN (raw_json ->> '$.\"Airport Details\"') ELSE (raw_json -> '$.\"Airport Details\"') END) ->> '$.Link' ''')} AS k FROM airport_items)"
@@ -124,14 +138,19 @@ _HOTEL = """CASE WHEN json_type(raw_json, '$."Hotel Info"') = 'VARCHAR' THEN (ra
 
 SQL = {
     "csv_by_country": f"SELECT {', '.join(_OWN)}, count(*)::BIGINT AS n FROM (SELECT {_CELLS} FROM link_rows) GROUP BY ALL",
-    "csv_write_back": f"SELECT {', '.join(_OWN)}, count(*)::BIGINT AS n FROM (SELECT {_CELLS} FROM link_rows WHERE coalesce({_strip('airport_link')} NOT IN (SELECT k FROM {_DONE} WHERE k <> ''), true)) GROUP BY ALL",
-    "json_lines": f"SELECT item_id, CASE json_type(h) WHEN 'OBJECT' THEN 1 WHEN 'ARRAY' THEN len(list_filter(h::JSON[], lambda x: json_type(x) = 'OBJECT'))::INT ELSE 0 END AS hotels FROM (SELECT item_id, {_HOTEL} AS h FROM airport_items)",
-    "json_arrays": "SELECT feed_id, (row_number() OVER (PARTITION BY feed_id ORDER BY item_id))::INT AS record_no, raw_json ->> '$.\"Airport Details\".Country' AS country FROM airport_items",
-    "feed_status": "SELECT item_id, (CASE WHEN item_id % 7 = 0 THEN 1 ELSE 2 END)::BIGINT AS n_records, CASE WHEN item_id % 7 = 0 THEN 'failed' ELSE 'ok' END AS status FROM airport_items",
+    "csv_write_back": f"""SELECT {', '.join(_OWN)}, count(*)::BIGINT AS n FROM (SELECT {_CELLS} FROM link_rows
+  WHERE coalesce({_strip('airport_link')} NOT IN (SELECT k FROM {_DONE} WHERE k <> ''), true)) GROUP BY ALL""",
+    "json_lines": f"""SELECT item_id, CASE json_type(h) WHEN 'OBJECT' THEN 1 WHEN 'ARRAY' THEN len(list_filter(h::JSON[],
+  lambda x: json_type(x) = 'OBJECT'))::INT ELSE 0 END AS hotels FROM (SELECT item_id, {_HOTEL} AS h FROM airport_items)""",
+    "json_arrays": """SELECT feed_id, (row_number() OVER (PARTITION BY feed_id ORDER BY item_id))::INT AS record_no,
+  raw_json ->> '$.\"Airport Details\".Country' AS country FROM airport_items""",
+    "feed_status": """SELECT item_id, (CASE WHEN item_id % 7 = 0 THEN 1 ELSE 2 END)::BIGINT AS n_records, CASE WHEN item_id % 7 = 0 THEN 'failed'
+  ELSE 'ok' END AS status FROM airport_items""",
     "store_twice": "SELECT item_id, 2::BIGINT AS n FROM airport_items",
     "outputs_per_input": "SELECT row_id, regexp_replace(string_split(file_name, '/')[-1], '\\.[^.]*$', '') AS source FROM link_rows",
     "session_live": "SELECT doc_id, n_chars % 3 = 0 AND n_chars % 2 = 0 AS live FROM documents WHERE n_chars % 3 IN (0, 1)",
-    "mail_links": "SELECT detail_id, CASE WHEN detail_id % 2 = 0 THEN icao || '@mailto:x' ELSE CASE WHEN starts_with(icao || ' mailto:', 'mailto:') THEN substr(icao || ' mailto:', 8) ELSE icao || ' mailto:' END END AS email FROM detail_rows",
+    "mail_links": """SELECT detail_id, CASE WHEN detail_id % 2 = 0 THEN icao || '@mailto:x' ELSE CASE WHEN starts_with(icao || ' mailto:', 'mailto:')
+  THEN substr(icao || ' mailto:', 8) ELSE icao || ' mailto:' END END AS email FROM detail_rows""",
     "images_on": "SELECT detail_id, airport_link AS referer_url, NULL::VARCHAR AS mode FROM detail_rows",
     "chained": "SELECT detail_id, icao || '13' AS icao FROM detail_rows WHERE icao IS NOT NULL",
 }

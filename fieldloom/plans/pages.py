@@ -70,7 +70,9 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 def _section(spark: SparkSession, d: str, section: str) -> DataFrame:
     x = extract.extract(_pages(spark, d), "detail_id", "airport_link", "html", sections=[section])
     rows = clean.entries(x, "detail_id", section)
-    return rows.toDF(*[{"ContactName": "contact_name", "PriceRange": "price_range", "SupplierId": "supplier_id", "CompanyName": "company_name"}.get(c, c.lower()) for c in rows.columns])
+    return rows.toDF(*[{
+        "ContactName": "contact_name", "PriceRange": "price_range", "SupplierId": "supplier_id", "CompanyName": "company_name"
+    }.get(c, c.lower()) for c in rows.columns])
 
 
 def page_contacts(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +109,10 @@ def page_maps(spark: SparkSession, d: str) -> DataFrame:
     """The two sections of keys and values: the last value of a key that comes twice, and lists paired by position."""
     x = extract.extract(_pages(spark, d), "detail_id", "airport_link", "html", sections=["Additional Airport Details", "Airport Information"])
     a, i = F.col("`Additional Airport Details`"), F.col("`Airport Information`")
-    return x.select("detail_id", a["Customs"].alias("customs"), a["Slots"].alias("slots"), i["Elevation (ft)"].alias("elevation_ft"), i["Variation"].alias("variation"), i["Alone"].alias("alone"))
+    return x.select(
+        "detail_id", a["Customs"].alias("customs"), a["Slots"].alias("slots"), i["Elevation (ft)"].alias("elevation_ft"),
+        i["Variation"].alias("variation"), i["Alone"].alias("alone")
+    )
 
 
 def _images(spark: SparkSession, d: str) -> DataFrame:
@@ -124,7 +129,10 @@ def page_image_paths(spark: SparkSession, d: str) -> DataFrame:
     """Records with the path of the image that was fetched for them, where fetching succeeded."""
     link = F.col("airport_link")
     url = F.concat(F.coalesce(F.regexp_extract(link, r"^https?://[^/?#]+", 0), F.lit("")), F.lit("/r/"), F.col("detail_id"), F.lit(".jpg"))
-    fetched = table(spark, d, "detail_rows").select(url.alias("url"), F.concat(F.lit("full/"), F.col("detail_id"), F.lit(".jpg")).alias("path"), (F.col("detail_id") % 3 != 0).alias("ok"))
+    fetched = table(spark, d, "detail_rows").select(
+        url.alias("url"), F.concat(F.lit("full/"), F.col("detail_id"), F.lit(".jpg")).alias("path"),
+        (F.col("detail_id") % 3 != 0).alias("ok")
+    )
     return clean.with_images(_images(spark, d), fetched).select("detail_id", "runway_diagram_path")
 
 
@@ -138,12 +146,20 @@ def index_links(spark: SparkSession, d: str) -> DataFrame:
 def listing_links(spark: SparkSession, d: str) -> DataFrame:
     """The absolute links of listing pages; a row without a link has the page's own address."""
     name = F.when(F.col("icao").isNotNull(), _markup('<a href="../info/{row_id}">{airport_name}</a>')).otherwise(html_of("airport_name"))
-    html = F.concat(F.lit('<div class="result clearfix"><div class="col2 w30p fl p10px">'), name, _markup('</div><div class="col4 w25p fl p10px">{country}</div></div>'))
+    html = F.concat(
+        F.lit('<div class="result clearfix"><div class="col2 w30p fl p10px">'), name,
+        _markup('</div><div class="col4 w25p fl p10px">{country}</div></div>')
+    )
     pages = table(spark, d, "link_rows").select("row_id", F.lit(BASE).alias("url"), html.alias("html"))
-    return extract.listing_rows(pages, ["row_id"], "url", "html").select("row_id", F.col("Country").alias("country"), F.col("`Airport Link`").alias("link"))
+    return extract.listing_rows(pages, ["row_id"], "url", "html").select(
+        "row_id", F.col("Country").alias("country"), F.col("`Airport Link`").alias("link")
+    )
 
 
-QUERIES = {f.__name__: f for f in (page_contacts, page_fbos, page_handlers, page_caterers, page_hotels, page_rentals, page_maps, page_images, page_image_paths, index_links, listing_links)}
+QUERIES = {f.__name__: f for f in (
+    page_contacts, page_fbos, page_handlers, page_caterers, page_hotels, page_rentals, page_maps, page_images, page_image_paths,
+    index_links, listing_links
+)}
 
 
 def _text(c: str, default: str = "'N/A'") -> str:

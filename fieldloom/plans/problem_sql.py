@@ -83,15 +83,20 @@ _FIELDS = f"""{_NODES}, f AS (SELECT item_id, parent_dewey AS dewey, regexp_repl
   CASE WHEN json_type(own) <> 'NULL' THEN own ->> '$' END AS value FROM t WHERE node_path <> '' AND shape NOT LIKE '%[]' AND {_SCALAR})"""
 
 SQL = {
-    "p1_parents": f"{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records, count(DISTINCT CASE WHEN dewey <> '' THEN item_id || ':' || parent_dewey END)::BIGINT AS n_parents FROM t WHERE json_type(v) = 'OBJECT' GROUP BY shape",
-    "p1_values": f"{_NODES} SELECT item_id, dewey, parent_dewey, shape AS schema_path, CASE WHEN json_type(own) <> 'NULL' THEN own ->> '$' END AS value FROM t WHERE shape LIKE '%[]' AND {_SCALAR}",
+    "p1_parents": f"""{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records, count(DISTINCT
+  CASE WHEN dewey <> '' THEN item_id || ':' || parent_dewey END)::BIGINT AS n_parents FROM t WHERE json_type(v) = 'OBJECT'
+  GROUP BY shape""",
+    "p1_values": f"""{_NODES} SELECT item_id, dewey, parent_dewey, shape AS schema_path, CASE WHEN json_type(own) <> 'NULL'
+  THEN own ->> '$' END AS value FROM t WHERE shape LIKE '%[]' AND {_SCALAR}""",
     "p1_fields": f"{_FIELDS} SELECT * FROM f",
     "p1_columns": f"""{_FIELDS} SELECT schema_path, field_name, CASE WHEN count(value) > 0 AND bool_and(regexp_full_match(value, '-?(0|[1-9][0-9]{{0,17}})')) THEN 'bigint'
   WHEN count(value) > 0 AND bool_and(regexp_full_match(value, '-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][+-]?[0-9]+)?')) THEN 'double' WHEN count(value) > 0 AND bool_and(value IN ('true', 'false')) THEN 'boolean' ELSE 'string' END AS type,
   count(*)::BIGINT AS n_rows, count(value)::BIGINT AS n_values FROM f GROUP BY schema_path, field_name""",
-    "p1_groups": f"{_NODES} SELECT item_id, dewey, parent_dewey, v ->> '$.Group' AS group_name FROM t WHERE json_type(v) = 'OBJECT' AND shape = 'Additional Airport Details[]'",
+    "p1_groups": f"""{_NODES} SELECT item_id, dewey, parent_dewey, v ->> '$.Group' AS group_name FROM t
+  WHERE json_type(v) = 'OBJECT' AND shape = 'Additional Airport Details[]'""",
     "p1_found": f"{_NODES} SELECT item_id, parent_path, node_path FROM t WHERE node_path <> '' AND json_type(v) = 'OBJECT'",
-    "p1_tables": f"{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records FROM t WHERE json_type(v) = 'OBJECT' GROUP BY shape",
+    "p1_tables": f"""{_NODES} SELECT shape AS schema_path, count(*)::BIGINT AS n_rows, count(DISTINCT item_id)::BIGINT AS n_records FROM t
+  WHERE json_type(v) = 'OBJECT' GROUP BY shape""",
     "p1_details": f"""{_NODES} SELECT item_id, dewey, parent_dewey, {", ".join(f"CASE WHEN json_type(v -> '$.{c}') NOT IN ('OBJECT', 'ARRAY') AND {_plain(c)} THEN v ->> '$.{c}' END AS {c.lower()}" for c in ("Name", "City", "Country", "Link", "ICAO", "IATA"))}
 FROM t WHERE json_type(v) = 'OBJECT' AND shape = 'Airport Details'""",
     "p1_entries": f"""{_NODES} SELECT item_id, dewey, parent_dewey, v ->> '$.Key' AS entry_key, CASE WHEN json_type(v -> '$.Value') NOT IN ('OBJECT', 'ARRAY') AND {_plain('Value')} THEN v ->> '$.Value' END AS entry_value
@@ -110,9 +115,12 @@ w AS (SELECT table_name, code, first_id, unnest(list_transform(range(1, 11), lam
 g AS (SELECT table_name, open_place, min(first_id) AS first_id FROM w GROUP BY ALL),
 k AS (SELECT w.table_name, w.code, min(g.first_id) AS first_id FROM w JOIN g ON w.table_name = g.table_name AND w.open_place = g.open_place GROUP BY ALL)
 SELECT r.table_name, k.first_id, r.id AS later_id FROM r JOIN k ON r.table_name = k.table_name AND r.code = k.code WHERE r.id > k.first_id""",
-    "p4_found": f"{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country FROM r JOIN t ON r.batch_no = t.batch_no WHERE name IS NOT NULL GROUP BY r.batch_no, name, total HAVING count(*) * 20 >= total",
-    "p4_counts": f"{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country, count(*)::BIGINT AS n_rows, total::BIGINT AS batch_rows FROM r JOIN t ON r.batch_no = t.batch_no GROUP BY r.batch_no, name, total",
-    "p4_summary": f"{_SHARES} SELECT name AS country, count(*)::BIGINT AS n_rows, min(harvested_at) AS first_at, max(harvested_at) AS last_at, (count(*) FILTER (airport_link IS NULL OR regexp_full_match(airport_link, ' *')))::BIGINT AS no_link FROM r GROUP BY name",
+    "p4_found": f"""{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country FROM r
+  JOIN t ON r.batch_no = t.batch_no WHERE name IS NOT NULL GROUP BY r.batch_no, name, total HAVING count(*) * 20 >= total""",
+    "p4_counts": f"""{_SHARES}, t AS (SELECT batch_no, count(*) AS total FROM r GROUP BY batch_no) SELECT r.batch_no, name AS country,
+  count(*)::BIGINT AS n_rows, total::BIGINT AS batch_rows FROM r JOIN t ON r.batch_no = t.batch_no GROUP BY r.batch_no, name, total""",
+    "p4_summary": f"""{_SHARES} SELECT name AS country, count(*)::BIGINT AS n_rows, min(harvested_at) AS first_at, max(harvested_at) AS last_at,
+  (count(*) FILTER (airport_link IS NULL OR regexp_full_match(airport_link, ' *')))::BIGINT AS no_link FROM r GROUP BY name""",
     "p5_found": f"""{_CLASS},
 s AS (SELECT column_name, load_no, kind, count(*) AS n FROM u GROUP BY ALL),
 t AS (SELECT column_name, load_no, sum(n) AS total FROM s GROUP BY ALL),

@@ -28,7 +28,10 @@ def p1_tables(spark: SparkSession, d: str) -> DataFrame:
 def p1_parents(spark: SparkSession, d: str) -> DataFrame:
     """Rows of each flat table, in how many records they lie, and how many distinct objects they are nested in; the records themselves hang from none."""
     nodes = _nodes(spark, d, False).where("error is null").withColumn("parent", F.when(F.col("dewey") != "", nested.parent_dewey()))
-    return nodes.groupBy("schema_path").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_records"), F.countDistinct("item_id", "parent").alias("n_parents"))
+    return nodes.groupBy("schema_path").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("item_id").alias("n_records"),
+        F.countDistinct("item_id", "parent").alias("n_parents")
+    )
 
 
 def p1_details(spark: SparkSession, d: str) -> DataFrame:
@@ -97,10 +100,15 @@ FEED_RUNS = 20
 def _arrivals(spark: SparkSession, d: str) -> DataFrame:
     """(table_name, id, batch, code) of both tables; a run of feeds arrives along with the batch of link_rows of the same number. Rows without batch or feed arrive last."""
     rows, items = table(spark, d, "link_rows"), table(spark, d, "airport_items")
-    listed = rows.select(F.lit("link_rows").alias("table_name"), F.col("row_id").alias("id"), F.col("batch_no").cast("bigint").alias("batch"), page_code(F.col("airport_link")).alias("code"))
+    listed = rows.select(
+        F.lit("link_rows").alias("table_name"), F.col("row_id").alias("id"), F.col("batch_no").cast("bigint").alias("batch"),
+        page_code(F.col("airport_link")).alias("code")
+    )
     low, high = items.agg(F.min("feed_id"), F.max("feed_id")).first()
     run = F.expr(f"(feed_id - {low or 0}) * {FEED_RUNS} div {(high or 0) - (low or 0) + 1} + 1")
-    recorded = drift.record_pages(items, "item_id", "raw_json", "feed_id").select(F.lit("airport_items").alias("table_name"), F.col("item_id").alias("id"), run.alias("batch"), F.col("page").alias("code"))
+    recorded = drift.record_pages(items, "item_id", "raw_json", "feed_id").select(
+        F.lit("airport_items").alias("table_name"), F.col("item_id").alias("id"), run.alias("batch"), F.col("page").alias("code")
+    )
     return listed.unionByName(recorded)
 
 
@@ -114,7 +122,10 @@ def p3_index(spark: SparkSession, d: str) -> DataFrame:
     history = dedup_index.History(spark, own_folder(spark, "history"))
     dedup_index.duplicates(_arrivals(spark, d), "table_name", history)
     per = history.graphs().groupBy(F.col("space").alias("table_name"), "ring", "shard")
-    return per.agg(F.count(F.lit(1)).alias("graphs"), F.sum("nodes").alias("nodes"), F.max("beam").alias("widest_beam"), F.sum("sampled").alias("sampled"), F.sum("near").alias("near"), F.sum("found").alias("found"))
+    return per.agg(
+        F.count(F.lit(1)).alias("graphs"), F.sum("nodes").alias("nodes"), F.max("beam").alias("widest_beam"),
+        F.sum("sampled").alias("sampled"), F.sum("near").alias("near"), F.sum("found").alias("found")
+    )
 
 
 def _shares(spark: SparkSession, d: str) -> DataFrame:
@@ -137,13 +148,19 @@ def p4_summary(spark: SparkSession, d: str) -> DataFrame:
         table(spark, d, "link_rows"), [], "country", first_at=F.min("harvested_at"), last_at=F.max("harvested_at"), no_link=F.count_if(link.isNull() | (F.trim(link) == ""))
     )
     named = hotkeys.resolve(states, hotkeys.spellings(table(spark, d, "country_ref"), "country", "also_known"))
-    return named.groupBy(F.col("name").alias("country")).agg(F.sum("n").alias("n_rows"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("no_link").alias("no_link"))
+    return named.groupBy(F.col("name").alias("country")).agg(
+        F.sum("n").alias("n_rows"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"),
+        F.sum("no_link").alias("no_link")
+    )
 
 
 def _p5_cases(spark: SparkSession, d: str, patterns: dict) -> DataFrame:
     checked = profile.checks(spark, f"{d}/detail_rows.parquet", patterns, "load_no", "detail_id")
     cells = checked.cells.select(F.lit("cell").alias("case_kind"), "column_name", F.col("load_no").cast("int").alias("load_no"), "detail_id")
-    shifts = profile.shifts(checked.shares, "load_no", 0.15).select(F.lit("shift").alias("case_kind"), "column_name", F.col("load_no").cast("int").alias("load_no"), F.lit(0).cast("bigint").alias("detail_id"))
+    shifts = profile.shifts(checked.shares, "load_no", 0.15).select(
+        F.lit("shift").alias("case_kind"), "column_name", F.col("load_no").cast("int").alias("load_no"),
+        F.lit(0).cast("bigint").alias("detail_id")
+    )
     return cells.unionByName(shifts)
 
 
@@ -171,4 +188,7 @@ def p5_footers(spark: SparkSession, d: str) -> DataFrame:
     return profile.table_profile(spark, f"{d}/detail_rows.parquet")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_fields, p1_columns, p1_groups, p1_values, p2_found, p2_unified, p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_settled, p5_footers)}
+QUERIES = {f.__name__: f for f in (
+    p1_found, p1_tables, p1_parents, p1_details, p1_entries, p1_objects, p1_fields, p1_columns, p1_groups, p1_values, p2_found, p2_unified,
+    p3_found, p3_index, p4_found, p4_counts, p4_summary, p5_found, p5_cases, p5_profile, p5_settled, p5_footers
+)}

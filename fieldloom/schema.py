@@ -21,7 +21,10 @@ ARRAYS = {
 IMAGE = ["Runway Diagram Url", "Runway Diagram Local Path", "Referer Url", "Runway Diagram Image Name"]
 #: Older records' names for sections, and for the parts of Runway Diagram.
 RENAMED = {"Handler Information": "Handler Inforamtion"}
-OLD_IMAGE = {"url": "Runway Diagram Url", "local_path": "Runway Diagram Local Path", "image_name": "Runway Diagram Image Name", "referer": "Referer Url"}
+OLD_IMAGE = {
+    "url": "Runway Diagram Url", "local_path": "Runway Diagram Local Path", "image_name": "Runway Diagram Image Name",
+    "referer": "Referer Url"
+}
 #: The section that cleaning leaves alone.
 UNCLEANED = "Contact Information"
 
@@ -54,13 +57,18 @@ def read_items(df: DataFrame, key: str, raw: str) -> DataFrame:
     out = [F.from_json(cell("Airport Details"), record(DETAILS)).alias("Airport Details")]
     entry = T.ArrayType(T.StructType([T.StructField("Entries", T.ArrayType(record(["Key", "Value"])))]))
     for m in MAPS:
-        pairs = F.filter(F.flatten(F.transform(F.from_json(cell(m), entry), lambda g: F.coalesce(g["Entries"], F.array().cast("array<struct<Key:string,Value:string>>")))), lambda e: e["Key"].isNotNull())
+        pairs = F.filter(
+            F.flatten(F.transform(F.from_json(cell(m), entry), lambda g: F.coalesce(g["Entries"], F.array().cast("array<struct<Key:string,Value:string>>")))),
+            lambda e: e["Key"].isNotNull()
+        )
         first = F.filter(pairs, lambda e, i: F.array_position(F.transform(pairs, lambda x: x["Key"]), e["Key"]) == i + 1)
         out.append(F.when(F.ltrim(cell(m)).startswith("["), F.map_from_entries(first)).otherwise(F.from_json(cell(m), _OPEN)).alias(m))
     for a, fields in ARRAYS.items():
         old = [o for o, n in RENAMED.items() if n == a]
         text = F.coalesce(cell(a), *map(cell, old))
-        out.append(F.from_json(F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), T.ArrayType(record(fields))).alias(a))
+        out.append(F.from_json(
+            F.when(F.ltrim(text).startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text), T.ArrayType(record(fields))
+        ).alias(a))
     image = F.from_json(cell("Runway Diagram"), record(list(OLD_IMAGE)))
     out += [F.coalesce(cell(n), image[o]).alias(n) for n in IMAGE for o, to in OLD_IMAGE.items() if to == n]
     return parts.select(F.col("key").alias(key), *out)

@@ -107,7 +107,9 @@ def dictionary_of(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData) -> list[str]
 
 def read_footer(path: str, columns: list[str], dictionaries: list[str]) -> Iterator[tuple]:
     """CHUNKS rows of one file; nulls is -1 and extrema are null where the footer has none that are exact."""
-    where, name = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else "file://" + path)
+    where, name = fs.FileSystem.from_uri(
+        path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else "file://" + path
+    )
     with where.open_input_file(name) as f:
         meta = pq.read_metadata(f)
         for g in range(meta.num_row_groups):
@@ -120,7 +122,9 @@ def read_footer(path: str, columns: list[str], dictionaries: list[str]) -> Itera
                 nulls = s.null_count if s is not None and s.has_null_count else -1
                 low = high = None
                 if s is not None and s.has_min_max:
-                    low, high = (x if isinstance(x, str) else x.decode("utf-8", "replace") if isinstance(x, bytes) else x.isoformat(" ") if hasattr(x, "isoformat") else str(x) for x in (s.min, s.max))
+                    low, high = (
+                        x if isinstance(x, str) else x.decode("utf-8", "replace") if isinstance(x, bytes) else x.isoformat(" ") if hasattr(x, "isoformat") else str(x) for x in (s.min, s.max)
+                    )
                     if chunk.physical_type in ("BYTE_ARRAY", "FIXED_LEN_BYTE_ARRAY") and max(len(low.encode()), len(high.encode())) >= EXACT_TEXT or chunk.physical_type in ("FLOAT", "DOUBLE"):
                         low = high = None
                 words = dictionary_of(f, chunk) if chunk.path_in_schema in dictionaries else None
@@ -133,7 +137,9 @@ def chunks(spark: SparkSession, path: str, columns: list[str] | None = None, dic
     columns = df.columns if columns is None else columns
     dictionaries = [c for c in columns if df.schema[c].dataType.simpleString() == "string"] if dictionaries is None else dictionaries
     files = df.inputFiles()
-    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism)))
+    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(
+        1, min(len(files), 4 * spark.sparkContext.defaultParallelism)
+    ))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from urllib.parse import unquote

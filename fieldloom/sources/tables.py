@@ -24,7 +24,10 @@ def read_links(spark: SparkSession, path: str | list[str], on_missing: str = "er
         raise ValueError("on_missing is 'error' or 'empty'")
     try:
         df = spark.read.schema(LINKS).option("header", True).option("escape", '"').option("multiLine", True).option("encoding", "UTF-8").option("pathGlobFilter", "*.csv").csv(path)
-        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in LINKS.names], F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("_at"))
+        df = df.select(
+            *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in LINKS.names], F.col("_metadata.file_path").alias("source_file"),
+            F.monotonically_increasing_id().alias("_at")
+        )
     except AnalysisException as e:
         if on_missing == "empty" and "PATH_NOT_FOUND" in str(e):
             return spark.createDataFrame([], LINKS).withColumns({"source_file": F.lit(""), "line_no": F.lit(0).cast("bigint")})
@@ -72,7 +75,9 @@ def explode_feeds(df: DataFrame, keep: list[str], text: str) -> DataFrame:
                     errors.append(str(e)[:200])
                 own = pa.array([i] * len(numbers), pa.int64())
                 columns = [pa.array(numbers, pa.int32()), pa.array(records, pa.string()), pa.array(errors, pa.string())]
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(own) for k in range(len(keep))], *columns], names=[*keep, "record_no", "raw_json", "error"])
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(k).take(own) for k in range(len(keep))], *columns], names=[*keep, "record_no", "raw_json", "error"]
+                )
 
     return df.select(*keep, F.col(text).cast("string").alias("_text")).mapInArrow(run, shape)
 

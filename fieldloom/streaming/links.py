@@ -26,7 +26,9 @@ def deduplicated(stream: DataFrame, history: History, out: str, checkpoint: str,
     """
 
     def accept(batch: DataFrame, number: int) -> None:
-        rows = batch.select(page_code(F.col(f"`{link}`")).alias("code"), (F.monotonically_increasing_id() + F.lit(number) * F.lit(1 << 44)).alias("id"))
+        rows = batch.select(
+            page_code(F.col(f"`{link}`")).alias("code"), (F.monotonically_increasing_id() + F.lit(number) * F.lit(1 << 44)).alias("id")
+        )
         history.accept(rows).write.mode("overwrite").parquet(f"{out}/batch={number}")
         history.compact()
 
