@@ -219,9 +219,11 @@ def test_queries_and_sql_agree_at_the_smallest_size(spark):
         con.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
     sql, queries = e.oracle_sql(), e.queries()
     assert set(sql) <= set(queries)
-    for name in ("p1_found", "p3_found", "p4_found", "p5_found", "frontier_urls", "resume_left_anti", "items_clean", "page_details"):
-        got = sorted(map(repr, (tuple(r) for r in queries[name](spark, d).collect())))
-        cols = queries[name](spark, d).columns
+    core = ("p1_found", "p1_values", "p3_found", "p4_found", "p5_found", "p5_profile")
+    pages = ("page_details", "page_contacts", "page_hotels", "page_maps", "page_images")
+    for name in (*core, *pages, "frontier_urls", "resume_left_anti", "items_clean", "csv_by_country", "json_arrays"):
+        df = queries[name](spark, d)
+        cols, got = df.columns, sorted(map(repr, (tuple(r) for r in df.collect())))
         want = sorted(map(repr, con.execute(f"select {', '.join(cols)} from ({sql[name]})").fetchall()))
         assert got == want, name
     assert e.entry(spark).count() > 0
