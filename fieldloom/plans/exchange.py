@@ -15,6 +15,7 @@ from ..schema import ITEM, LINK_COLUMNS, read_items
 from ..session import own_folder, remove_at_end, table
 from ..sources import tables
 from .problem_sql import _strip
+from .reference import BASE, URL
 
 _OWN = ["icao", "airport_name", "city", "state", "country", "airport_link"]
 
@@ -45,6 +46,38 @@ def csv_write_back(spark: SparkSession, d: str) -> DataFrame:
     return _counted(tables.read_links(spark, path))
 
 
+def csv_in_order(spark: SparkSession, d: str) -> DataFrame:
+    """Link tables of a folder, a file for each harvest, with each row's line and the rank of its file by name."""
+    path = own_folder(spark, "harvests")
+    named = table(spark, d, "link_rows").select(*[F.col(a).alias(b) for a, b in zip(_OWN, LINK_COLUMNS)], "file_name", "row_id")
+    sinks.write_files(named, path, "file_name", "row_id")
+    remove_at_end(spark, path)
+    read = tables.read_links(spark, f"{path}/source=*").withColumn("file_name", F.url_decode(F.replace(F.regexp_extract("source_file", "source=([^/]+)", 1), F.lit("+"), F.lit("%2B"))))
+    ranks = frontier.ranked(read, "file_name")
+    return read.join(ranks, "file_name").select("file_name", "line_no", "rank", F.col("`Airport Name`").alias("airport_name"))
+
+
+def csv_missing(spark: SparkSession, d: str) -> DataFrame:
+    """A link table that isn't there, read as an empty one where the caller asks for that."""
+    return tables.read_links(spark, own_folder(spark, "none"), "empty").select(F.col("`Airport Link`").alias("airport_link"), "line_no")
+
+
+def frontier_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """A work list by default parameters: the default column, no limit, repeated links kept."""
+    urls = frontier.first_n(frontier.frontier(_links(spark, d), BASE), 0, "url")
+    return urls.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+
+
+def image_files(spark: SparkSession, d: str) -> DataFrame:
+    """Image files of a folder with their sizes, read where they are used."""
+    path = own_folder(spark, "images")
+    made = table(spark, d, "feed_files").select("feed_id", F.concat(F.lit("image "), "feed_id").alias("value"))
+    made.write.partitionBy("feed_id").text(path)
+    remove_at_end(spark, path)
+    found = tables.read_images(spark, f"{path}/feed_id=*")
+    return found.select(F.regexp_extract("path", "feed_id=([0-9]+)", 1).cast("bigint").alias("feed_id"), "length", F.decode("content", "UTF-8").alias("content"))
+
+
 def json_lines(spark: SparkSession, d: str) -> DataFrame:
     """Records written as a feed of JSON lines and read back by their schema: names, and how many entries come next to them."""
     path = own_folder(spark, "feed")
@@ -128,7 +161,7 @@ def chained(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    csv_by_country, csv_write_back, json_lines, json_arrays, feed_status, store_twice, outputs_per_input, session_live, mail_links,
+    csv_by_country, csv_write_back, csv_in_order, csv_missing, frontier_defaults, image_files, json_lines, json_arrays, feed_status, store_twice, outputs_per_input, session_live, mail_links,
     images_on, chained
 )}
 
@@ -140,6 +173,11 @@ SQL = {
     "csv_by_country": f"SELECT {', '.join(_OWN)}, count(*)::BIGINT AS n FROM (SELECT {_CELLS} FROM link_rows) GROUP BY ALL",
     "csv_write_back": f"""SELECT {', '.join(_OWN)}, count(*)::BIGINT AS n FROM (SELECT {_CELLS} FROM link_rows
   WHERE coalesce({_strip('airport_link')} NOT IN (SELECT k FROM {_DONE} WHERE k <> ''), true)) GROUP BY ALL""",
+    "csv_in_order": """SELECT regexp_replace(string_split(file_name, '/')[-1], '\\.[^.]*$', '') AS file_name, row_number() OVER (PARTITION BY file_name ORDER BY row_id) AS line_no,
+  dense_rank() OVER (ORDER BY file_name) AS rank, coalesce(airport_name, '') AS airport_name FROM link_rows""",
+    "csv_missing": "SELECT airport_link, row_id AS line_no FROM link_rows WHERE false",
+    "frontier_defaults": f"SELECT url, count(*)::BIGINT AS n FROM (SELECT {URL} AS url FROM link_rows WHERE airport_link <> '') GROUP BY url",
+    "image_files": "SELECT feed_id, (length('image ' || feed_id) + 1)::BIGINT AS length, 'image ' || feed_id || chr(10) AS content FROM feed_files",
     "json_lines": f"""SELECT item_id, CASE json_type(h) WHEN 'OBJECT' THEN 1 WHEN 'ARRAY' THEN len(list_filter(h::JSON[],
   lambda x: json_type(x) = 'OBJECT'))::INT ELSE 0 END AS hotels FROM (SELECT item_id, {_HOTEL} AS h FROM airport_items)""",
     "json_arrays": """SELECT feed_id, (row_number() OVER (PARTITION BY feed_id ORDER BY item_id))::INT AS record_no,

@@ -257,14 +257,14 @@ def _rooted(c: str, empty: bool = False) -> str:
 
 
 _TIDY = "regexp_replace(regexp_replace(airport_link, '[\\t\\r\\n]', '', 'g'), '^[\\x{0}-\\x{20}]+', '')"
-_URL = f"""{_strip(f'''CASE WHEN starts_with(airport_link, 'http') THEN airport_link
+URL = f"""{_strip(f'''CASE WHEN starts_with(airport_link, 'http') THEN airport_link
   WHEN lower({_TIDY}) LIKE 'https://%' THEN 'https' || substr({_TIDY}, 6)
   WHEN lower({_TIDY}) LIKE 'http://%' THEN airport_link
   WHEN {_TIDY} = '' THEN '{BASE}'
   WHEN starts_with({_TIDY}, '/') THEN {_rooted(_TIDY, True)}
   WHEN starts_with({_TIDY}, '../') THEN {_rooted(f"substr({_TIDY}, 3)")}
   ELSE {_rooted(f"('/list/' || {_TIDY})")} END''')}"""
-_LINKS = f"l AS (SELECT row_id, file_name, line_no, {_URL} AS url FROM link_rows WHERE airport_link IS NOT NULL AND airport_link <> '')"
+_LINKS = f"l AS (SELECT row_id, file_name, line_no, {URL} AS url FROM link_rows WHERE airport_link IS NOT NULL AND airport_link <> '')"
 _HOST = "regexp_extract(lower(airport_link), '^[a-z][a-z0-9+.-]*://([^/?#:]*)', 1)"
 _SECTIONS = {
     "FBO Information": "Name", "Handler Inforamtion": "Name", "Handler Information": "Name", "Caterers Information": "Name",

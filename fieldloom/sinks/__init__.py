@@ -49,6 +49,12 @@ def write_links(links: DataFrame, path: str, group: str = "Country") -> None:
     out.write.mode("overwrite").partitionBy("group").options(**_CSV).csv(path)
 
 
+def write_files(links: DataFrame, path: str, file: str, order: str) -> None:
+    """Link tables in CSV, one file for each input file in a folder named after it, rows in the given order. A harvest's file is bounded; many are written side by side."""
+    named = links.withColumn("source", strip_extension(base_name(F.col(file)))).repartition("source").sortWithinPartitions("source", order)
+    named.select(*[f"`{c}`" for c in LINK_COLUMNS], "source").write.mode("overwrite").partitionBy("source").options(**_CSV).csv(path)
+
+
 def write_survivors(links: DataFrame, path: str) -> None:
     """What is left of a link table, with its own header, to be read by the next run."""
     links.write.mode("overwrite").options(**_CSV).csv(path)
