@@ -1,22 +1,29 @@
 """Column-level data quality: footers first, dictionaries next, and a scan of only what those leave open.
 
-A chunk (one column of one row group) is *settled* if all of its rows belong to one load and its footer and dictionary
-give all that is asked. Files are scanned for just those columns that aren't settled throughout. All aggregates are
-algebraic, so a load or value that holds most rows reaches the reducer as a few states.
+A chunk is one column of one row group. It is *settled* if all rows of the row group belong to one load and the chunk's
+footer and dictionary give all that is asked. ``profile`` gives tasks row groups, and a task reads just the chunks that it
+finds unsettled, so neither files nor chunks are listed on the driver. ``checks`` needs the rows of nearly all chunks of its columns, so Spark
+scans the files for them, but for columns that are settled throughout a file. What is read is folded to one state for each
+load and value before it is shuffled, so a load or value that holds most rows reaches the reducer as a few states.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import py_strip
+from ..functions.text import WHITE_SPACE, py_strip
 from ..session import materialize
-from ..sources.footers import chunks
+from ..sources.footers import Chunk, chunks, group_of, open_file, row_groups, text_of
 
 #: What a cell of each column may be.
 PATTERNS: dict[str, str | tuple[str, ...] | None] = {
@@ -46,6 +53,8 @@ MISSING = ("", "N/A")
 SCANS = 6
 #: Classes of cells that aren't a valid value.
 IS_MISSING, IS_INVALID = "missing", "invalid"
+#: Values that one row of a pass holds at most.
+VALUES = 10_000
 
 
 def is_missing(c: Column) -> Column:
@@ -171,85 +180,184 @@ def shifts(shares: DataFrame, load: str, by: float) -> DataFrame:
     return moved.join(both, ["column_name", "at"], "left_semi").select("column_name", F.col("at").alias(load)).distinct()
 
 
+def _spelled(text: str | None) -> bool:
+    return text is None or text.strip(WHITE_SPACE) in MISSING
+
+
+def _one_load(chunk: Chunk) -> bool:
+    return chunk.nulls == 0 and chunk.low is not None and chunk.low == chunk.high
+
+
+def _by_load(table: pa.Table, load: str) -> Iterator[tuple[str | None, pa.Table]]:
+    """A row group's rows apart by load; null loads are one."""
+    codes = table.column(load).combine_chunks().dictionary_encode()
+    number = codes.indices.fill_null(-1).to_numpy()
+    order = np.argsort(number, kind="stable")
+    edges = np.flatnonzero(np.diff(number[order])) + 1
+    sorted_ = table.take(pa.array(order)) if len(edges) else table
+    for a, b in zip([0, *edges], [*edges, len(order)]):
+        if b > a:
+            k = number[order[a]]
+            yield None if k < 0 else text_of(codes.dictionary[int(k)].as_py()), sorted_.slice(a, b - a)
+
+
+def _read(f: pa.NativeFile, meta: pq.FileMetaData, g: int, columns: list[str]) -> pa.Table:
+    """The chunks of some columns of a row group, each column once; no other is touched. A column that the file lacks is null."""
+    here = [c for c in dict.fromkeys(columns) if c in meta.schema.to_arrow_schema().names]
+    table = pq.ParquetFile(f, metadata=meta).read_row_group(g, columns=here)
+    for c in dict.fromkeys(columns):
+        if c not in here:
+            table = table.append_column(c, pa.nulls(meta.row_group(g).num_rows, pa.string()))
+    return table
+
+
+def _facts(f: pa.NativeFile, meta: pq.FileMetaData, g: int, columns: list[str], texts: list[str]) -> dict[str, Chunk]:
+    n = meta.row_group(g).num_rows
+    found = group_of(f, meta, g, columns, texts)
+    return {c: found.get(c, Chunk(n, n, None, None, None)) for c in columns}
+
+
+def _batch(rows: list[tuple], types: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.types)], names=types.names)
+
+
+def _pass(groups: DataFrame, each: Callable, shape: str) -> DataFrame:
+    """The batches that ``each`` (file, metadata, row group) gives, over all row groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, g in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with open_file(file) as f:
+                    yield from each(f, pq.read_metadata(f), g)
+
+    return groups.mapInArrow(run, shape)
+
+
+def _settled(x: Chunk, text: bool) -> tuple[bool, bool]:
+    """Whether footer and dictionary of a chunk settle counts and range, and distinct values, if its row group is of one load."""
+    if x.nulls == x.n_rows:
+        return True, True
+    listed = text and x.words is not None
+    ranged = x.nulls >= 0 and (listed and not any(map(_spelled, x.words)) if text else x.low is not None)
+    return ranged, listed
+
+
+def _ends(values: pa.Array) -> tuple[str | None, str | None]:
+    """The least and the greatest value as text; as Spark orders numbers, NaN is the greatest."""
+    if pa.types.is_floating(values.type) and (nan := pc.any(pc.is_nan(values)).as_py()):
+        values = values.filter(pc.invert(pc.is_nan(values)))
+        low = pc.min(values).as_py() if len(values) else float("nan")
+        return str(low).replace("nan", "NaN"), "NaN" if nan else None
+    ends = pc.min_max(values).as_py() if len(values) else {"min": None, "max": None}
+    return tuple(None if x is None else str(x).lower() if isinstance(x, bool) else text_of(x) for x in (ends["min"], ends["max"]))
+
+
 def profile(spark: SparkSession, path: str, load: str) -> DataFrame:
-    """(column_name, load, n_rows, n_missing, n_distinct, low, high) of every column but ``load``.
+    """(column_name, load, n_rows, n_missing, n_distinct, low, high) of every flat column but ``load``.
 
     Missing: null, or without outer blanks ``''`` or ``N/A``. low, high: the extremes of the non-null cells in the column's own
     order, written as text. n_distinct: of the non-null cells, exact up to a collision of 128-bit hashes. Null loads form a load.
 
     A chunk of one load is settled for counts and range by its footer's exact nulls and extrema; a text chunk needs its
     dictionary too, since a missing value may be spelled out there. It is settled for distinct values by its dictionary.
-    What isn't settled is scanned: once by wide rows for counts and ranges, which fold to a state a load, and once by cells
-    for distinct values, of which only hashes are shuffled.
+    Two passes, one for either question, read just the chunks that aren't.
     """
     source = spark.read.parquet(path)
-    kinds = {f.name: f.dataType for f in source.schema if f.name != load}
-    columns, texts = list(kinds), [c for c, t in kinds.items() if t.simpleString() == "string"]
-    load_kind = source.schema[load].dataType
-    stats = chunks(spark, path, [*columns, load], texts)
-    is_text, null = F.col("column").isin(*texts), F.col("nulls") == F.col("n_rows")
-    spelled = F.exists("candidates", lambda x: py_strip(x).isin(*MISSING))
-    ranged = (F.col("nulls") >= 0) & F.col("low").isNotNull() & (~is_text | (F.col("candidates").isNotNull() & ~spelled))
-    known, plan = _plan(stats, load, null | ranged)
-    listed = known.where(F.col("load").isNotNull()).withColumn("settled", null | F.col("candidates").isNotNull())
-    listing = known.groupBy("file", "column").agg(F.bool_and(F.col("load").isNotNull() & (null | F.col("candidates").isNotNull())).alias("settled"))
-    at_load = F.col("load").cast(load_kind).alias(load)
-
-    # counts and ranges: from footers, and from scans with all columns in one row
-    whole = known.join(plan.where("settled").select("file", "column"), ["file", "column"])
-    parts = [whole.select(F.col("column").alias("column_name"), at_load, "n_rows", F.col("nulls").alias("n_missing"), "low", "high")]
-    for cols, df in _scans(spark, path, plan):
-        cell = lambda i, c: [F.count_if(is_missing(F.col(c).cast("string"))).alias(f"m{i}"), F.min(c).alias(f"l{i}"), F.max(c).alias(f"h{i}")]
-        # an aggregate with a sketch keeps its states as objects, so that text extrema need no sort of the rows
-        wide = df.groupBy(load).agg(
-            F.count(F.lit(1)).alias("n"), F.hll_sketch_agg(F.lit(1)).alias("s"), *[x for i, c in enumerate(cols) for x in cell(i, c)]
-        )
-        each = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"), F.col(f"l{i}").cast("string").alias("low"), F.col(f"h{i}").cast("string").alias("high")) for i,
-            c in enumerate(cols)
-        ]))
-        parts.append(wide.select(load, "n", each.alias("x")).select(
-            "x.column_name", load, F.col("n").alias("n_rows"), "x.n_missing", "x.low", "x.high"
-        ))
-
-    # distinct values: hashes of what dictionaries list, and of scanned cells
-    number = F.array_position(F.array(*map(F.lit, columns)), F.col("column")).cast("int") - 1
-    hashed = lambda c: F.struct(F.xxhash64(c).alias("a"), F.xxhash64(F.lit("second"), c).alias("b"))
-    told = listed.join(
-        listing.where("settled").select("file", "column"), ["file", "column"]
-    ).select(number.alias("c"), at_load, F.explode("candidates").alias("v"))
-    values = [told.select("c", load, hashed(F.col("v")).alias("h"))]
-    for cols, df in _scans(spark, path, listing):
-        each = F.array(*[F.struct(F.lit(columns.index(c)).alias("c"), F.when(F.col(c).isNotNull(), hashed(F.col(c))).alias("h")) for c in cols])
-        values.append(df.select(load, F.explode(each).alias("x")).select("x.c", load, "x.h").where("h is not null"))
-    distinct = _union(values).select("c", load, "h.a", "h.b").distinct().groupBy("c", load).agg(F.count(F.lit(1)).alias("n_distinct"))
+    kinds = {
+        f.name: f.dataType.simpleString() for f in source.schema if f.name != load and f.dataType.simpleString().split("<")[0] not in ("array", "map", "struct")
+    }
+    columns, texts = list(kinds), [c for c, t in kinds.items() if t == "string"]
+    load_kind = source.schema[load].dataType.simpleString()
+    of_range = pa.schema([
+        ("c", pa.int32()), ("load", pa.string()), ("n_rows", pa.int64()), ("n_missing", pa.int64()), ("low", pa.string()),
+        ("high", pa.string())
+    ])
+
+    def ranges(f: pa.NativeFile, meta: pq.FileMetaData, g: int) -> Iterator[pa.RecordBatch]:
+        facts = _facts(f, meta, g, [*columns, load], texts)
+        one, rows, todo = _one_load(facts[load]), [], []
+        for i, c in enumerate(columns):
+            x = facts[c]
+            if one and _settled(x, c in texts)[0]:
+                low, high = (min(x.words), max(x.words)) if x.words else (x.low, x.high)
+                rows.append((i, facts[load].low, x.n_rows, x.nulls, *((None, None) if x.nulls == x.n_rows else (low, high))))
+            else:
+                todo.append((i, c))
+        if todo:
+            for at, part in _by_load(_read(f, meta, g, [*[c for _, c in todo], load]), load):
+                for i, c in todo:
+                    cells = part.column(c).combine_chunks()
+                    missing = cells.null_count
+                    if c in texts:
+                        missing += pc.sum(pc.is_in(pc.utf8_trim(cells.drop_null(), WHITE_SPACE), pa.array(MISSING))).as_py() or 0
+                    rows.append((i, at, len(cells), missing, *_ends(cells.drop_null())))
+        yield _batch(rows, of_range)
+
+    def values(f: pa.NativeFile, meta: pq.FileMetaData, g: int) -> Iterator[pa.RecordBatch]:
+        facts = _facts(f, meta, g, [*columns, load], texts)
+        one, todo = _one_load(facts[load]), []
+
+        def blocks(i: int, at: str | None, v: pa.Array) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(v), VALUES):
+                part = v.slice(k, VALUES)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([at], pa.string()), pa.ListArray.from_arrays([0, len(part)], part)],
+                    names=["c", "load", "v"]
+                )
+
+        for i, c in enumerate(columns):
+            x = facts[c]
+            if one and _settled(x, c in texts)[1]:
+                yield from blocks(i, facts[load].low, pa.array(x.words if x.words and x.nulls < x.n_rows else [], pa.string()))
+            else:
+                todo.append((i, c))
+        if todo:
+            for at, part in _by_load(_read(f, meta, g, [*[c for _, c in todo], load]), load):
+                for i, c in todo:
+                    yield from blocks(i, at, pc.unique(part.column(c)).drop_null().cast(pa.string()))
+
+    groups = row_groups(spark, path)
+    parts = _pass(groups, ranges, "c int, load string, n_rows bigint, n_missing bigint, low string, high string")
+    listed = _pass(groups, values, "c int, load string, v array<string>")
+    hashed = listed.select("c", F.col("load").cast(load_kind).alias("load"), F.explode("v").alias("v")).select(
+        "c", "load", F.xxhash64("v").alias("a"), F.xxhash64(F.lit("second"), "v").alias("b")
+    )
+    distinct = hashed.distinct().groupBy("c", "load").agg(F.count(F.lit(1)).alias("n_distinct"))
 
+    orders = sorted(set(kinds.values()))
     ends = [F.sum("n_rows").alias("n_rows"), F.sum("n_missing").alias("n_missing")]
-    orders = sorted({t.simpleString() for t in kinds.values()})
     for k, t in enumerate(orders):
-        own = F.col("column_name").isin(*[c for c, x in kinds.items() if x.simpleString() == t])
-        ends += [f(F.when(own, F.col(x).cast(t))).cast("string").alias(f"{x}{k}") for x, f in (("low", F.min), ("high", F.max))]
-    folded = _union(parts).groupBy("column_name", load).agg(*ends)
-    ranges = [F.coalesce(*[F.col(f"{x}{k}") for k in range(len(orders))]).alias(x) for x in ("low", "high")]
-    counts = distinct.select(_named("c", columns), F.col(load).alias("_load"), "n_distinct")
+        own = F.col("c").isin([i for i, c in enumerate(columns) if kinds[c] == t])
+        ends += [fold(F.when(own, F.col(x).cast(t))).cast("string").alias(f"{x}{k}") for x, fold in (("low", F.min), ("high", F.max))]
+    folded = parts.withColumn("load", F.col("load").cast(load_kind)).groupBy("c", "load").agg(*ends)
     joined = folded.join(
-        counts.withColumnRenamed("column_name", "_name"), (F.col("column_name") == F.col("_name")) & F.col(load).eqNullSafe(F.col("_load")),
+        distinct.withColumnsRenamed({"c": "_c", "load": "_load"}), (F.col("c") == F.col("_c")) & F.col("load").eqNullSafe(F.col("_load")),
         "left"
     )
-    return joined.select("column_name", load, "n_rows", "n_missing", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"), *ranges)
+    low, high = (F.coalesce(*[F.col(f"{x}{k}") for k in range(len(orders))]).alias(x) for x in ("low", "high"))
+    name = F.element_at(F.array(*map(F.lit, columns)), F.col("c") + 1).alias("column_name")
+    return joined.select(
+        name, F.col("load").alias(load), "n_rows", "n_missing", F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"), low,
+        high
+    )
 
 
 def settled_chunks(spark: SparkSession, path: str, load: str) -> DataFrame:
-    """(column_name, chunks, settled_range, settled_distinct): how many chunks footers and dictionaries settle for ``profile``."""
+    """(column_name, chunks, settled_range, settled_distinct): how many chunks of each flat column footers and dictionaries settle for ``profile``."""
     source = spark.read.parquet(path)
     texts = [f.name for f in source.schema if f.dataType.simpleString() == "string" and f.name != load]
-    spelled = F.exists("candidates", lambda x: py_strip(x).isin(*MISSING))
-    null = F.col("nulls") == F.col("n_rows")
-    ranged = (F.col("nulls") >= 0) & F.col("low").isNotNull() & (~F.col("column").isin(*texts) | (F.col("candidates").isNotNull() & ~spelled))
-    known, _ = _plan(chunks(spark, path, source.columns, texts), load, null | ranged)
-    listed = F.col("load").isNotNull() & (null | F.col("candidates").isNotNull())
-    return known.groupBy(F.col("column").alias("column_name")).agg(
-        F.count(F.lit(1)).alias("chunks"), F.count_if("settled").alias("settled_range"), F.count_if(listed).alias("settled_distinct")
+    columns = [c for c in source.columns if c != load]
+    types = pa.schema([("c", pa.string()), ("r", pa.bool_()), ("d", pa.bool_())])
+
+    def each(f: pa.NativeFile, meta: pq.FileMetaData, g: int) -> Iterator[pa.RecordBatch]:
+        facts = _facts(f, meta, g, [*columns, load], texts)
+        one = _one_load(facts[load])
+        yield _batch([(c, *(one and s for s in _settled(x, c in texts))) for c, x in facts.items() if c != load], types)
+
+    found = _pass(row_groups(spark, path), each, "c string, r boolean, d boolean")
+    return found.groupBy(F.col("c").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_if("r").alias("settled_range"), F.count_if("d").alias("settled_distinct")
     )
 
 

@@ -4,14 +4,23 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from datetime import datetime
+from typing import NamedTuple
+from urllib.parse import unquote
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs as fs
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import uri
 
 CHUNKS = "file string, row_group int, column string, n_rows bigint, nulls bigint, low string, high string, candidates array<string>"
+_CHUNK_TYPES = pa.schema(
+    [("file", pa.string()), ("row_group", pa.int32()), ("column", pa.string()), ("n_rows", pa.int64()), ("nulls", pa.int64())]
+    + [("low", pa.string()), ("high", pa.string()), ("candidates", pa.list_(pa.string()))]
+)
 #: Writers cut longer extrema off, so text of this length or more isn't taken as exact.
 EXACT_TEXT = 64
 #: Dictionaries beyond so many bytes aren't decoded; their chunks count as insufficient and are scanned.
@@ -105,30 +114,64 @@ def dictionary_of(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData) -> list[str]
     return values
 
 
-def read_footer(path: str, columns: list[str], dictionaries: list[str]) -> Iterator[tuple]:
-    """CHUNKS rows of one file; nulls is -1 and extrema are null where the footer has none that are exact."""
-    where, name = fs.FileSystem.from_uri(
-        path if "://" in path else path.replace("file:", "file://", 1) if path.startswith("file:") else "file://" + path
-    )
-    with where.open_input_file(name) as f:
-        meta = pq.read_metadata(f)
-        for g in range(meta.num_row_groups):
-            group = meta.row_group(g)
-            for c in range(group.num_columns):
-                chunk = group.column(c)
-                if chunk.path_in_schema not in columns:
-                    continue
-                s = chunk.statistics
-                nulls = s.null_count if s is not None and s.has_null_count else -1
-                low = high = None
-                if s is not None and s.has_min_max:
-                    low, high = (
-                        x if isinstance(x, str) else x.decode("utf-8", "replace") if isinstance(x, bytes) else x.isoformat(" ") if hasattr(x, "isoformat") else str(x) for x in (s.min, s.max)
-                    )
-                    if chunk.physical_type in ("BYTE_ARRAY", "FIXED_LEN_BYTE_ARRAY") and max(len(low.encode()), len(high.encode())) >= EXACT_TEXT or chunk.physical_type in ("FLOAT", "DOUBLE"):
-                        low = high = None
-                words = dictionary_of(f, chunk) if chunk.path_in_schema in dictionaries else None
-                yield path, g, chunk.path_in_schema, group.num_rows, nulls, low, high, words
+def open_file(path: str) -> pa.NativeFile:
+    """A file by the name that Spark lists it under."""
+    where, name = fs.FileSystem.from_uri(uri(unquote(path)))
+    return where.open_input_file(name)
+
+
+class Chunk(NamedTuple):
+    """What a footer, and a dictionary if asked for, tell of one column of a row group. nulls is -1 and extrema and words are None where they aren't exact."""
+
+    n_rows: int
+    nulls: int
+    low: str | None
+    high: str | None
+    words: list[str] | None
+
+
+def chunk_of(f: pa.NativeFile, group: pq.RowGroupMetaData, c: int, dictionary: bool) -> Chunk:
+    chunk = group.column(c)
+    s = chunk.statistics
+    nulls = s.null_count if s is not None and s.has_null_count else -1
+    low = high = None
+    if s is not None and s.has_min_max:
+        low, high = map(text_of, (s.min, s.max))
+        cut = chunk.physical_type in ("BYTE_ARRAY", "FIXED_LEN_BYTE_ARRAY") and max(len(low.encode()), len(high.encode())) >= EXACT_TEXT
+        if cut or chunk.physical_type in ("FLOAT", "DOUBLE"):
+            low = high = None
+    return Chunk(group.num_rows, nulls, low, high, dictionary_of(f, chunk) if dictionary else None)
+
+
+def text_of(x: object) -> str:
+    """A value as Spark reads it back from text."""
+    return x if isinstance(x, str) else x.decode("utf-8", "replace") if isinstance(x, bytes) else x.isoformat(" ") if isinstance(x, datetime) else str(x)
+
+
+def group_of(f: pa.NativeFile, meta: pq.FileMetaData, g: int, columns: list[str], dictionaries: list[str]) -> dict[str, Chunk]:
+    """The chunks of a row group by column; nested columns have none."""
+    group = meta.row_group(g)
+    names = {group.column(c).path_in_schema: c for c in range(group.num_columns)}
+    return {n: chunk_of(f, group, names[n], n in dictionaries) for n in columns if n in names}
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    files = spark.read.parquet(path).inputFiles()
+    return spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, min(len(files), 4 * spark.sparkContext.defaultParallelism)))
+
+
+def row_groups(spark: SparkSession, path: str) -> DataFrame:
+    """(file, row_group) of a Parquet table, spread over the cores. The names of the files come from a scan of no column, not from a list on the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                with open_file(file) as f:
+                    n = pq.read_metadata(f).num_row_groups
+                yield pa.RecordBatch.from_arrays([pa.array([file] * n, pa.string()), pa.array(range(n), pa.int32())], names=["file", "row_group"])
+
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return files.mapInArrow(run, "file string, row_group int").repartition(4 * spark.sparkContext.defaultParallelism)
 
 
 def chunks(spark: SparkSession, path: str, columns: list[str] | None = None, dictionaries: list[str] | None = None) -> DataFrame:
@@ -136,17 +179,16 @@ def chunks(spark: SparkSession, path: str, columns: list[str] | None = None, dic
     df = spark.read.parquet(path)
     columns = df.columns if columns is None else columns
     dictionaries = [c for c in columns if df.schema[c].dataType.simpleString() == "string"] if dictionaries is None else dictionaries
-    files = df.inputFiles()
-    listed = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(
-        1, min(len(files), 4 * spark.sparkContext.defaultParallelism)
-    ))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from urllib.parse import unquote
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for f in batch["file"]:
-                rows = list(read_footer(unquote(f), columns, dictionaries))
-                yield pd.DataFrame(rows, columns=["file", "row_group", "column", "n_rows", "nulls", "low", "high", "candidates"]).assign(file=f)
-
-    return listed.mapInPandas(run, CHUNKS)
+            for file in batch.column(0).to_pylist():
+                rows = []
+                with open_file(file) as f:
+                    meta = pq.read_metadata(f)
+                    for g in range(meta.num_row_groups):
+                        rows += [(file, g, n, *c) for n, c in group_of(f, meta, g, columns, dictionaries).items()]
+                names = ["file", "row_group", "column", "n_rows", "nulls", "low", "high", "candidates"]
+                yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=_CHUNK_TYPES)
+
+    return _listed(spark, path).mapInArrow(run, CHUNKS)
