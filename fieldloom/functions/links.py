@@ -33,10 +33,9 @@ def page_code(link: Column) -> Column:
     immaterial; query and fragment are cut before escapes are resolved. Malformed escapes are taken as they stand.
     """
     path = F.substring_index(F.substring_index(link, "?", 1), "#", 1)
-    plain = _let(
-        path,
-        lambda p: F.when(F.contains(p, F.lit("%")), F.coalesce(F.try_url_decode(F.replace(p, F.lit("+"), F.lit("%2B"))), p)).otherwise(p)
-    )
+    whole = lambda p: F.regexp_replace(p, "%(?![0-9A-Fa-f]{2})", "%25")  # noqa: E731  a broken escape must not spoil the others
+    decoded = lambda p: F.coalesce(F.try_url_decode(F.replace(whole(p), F.lit("+"), F.lit("%2B"))), p)
+    plain = _let(path, lambda p: F.when(F.contains(p, F.lit("%")), decoded(p)).otherwise(p))
     general = _let(
         F.lower(bare(plain)),
         lambda p: _let(F.regexp_extract(p, _CODE, 1), lambda c: F.when(c != "", c).when(F.contains(p, F.lit("field-info/")), F.nullif(F.regexp_extract(p, _BARE, 1), F.lit(""))))

@@ -226,6 +226,7 @@ def test_page_codes(spark):
         "/Field-Info/a-RBURYBJQK2//?from=%2Fq-aaaaaaaaaa#x": "rburybjqk2",
         "/Field-Info/d7xpm2arvx": "d7xpm2arvx",
         "https://h/contacts/": None, " ": None, "N/A": None, "%zz-1234567890": "1234567890",
+        "https://h/Field-Info/a%7%32k-uvgvsg%758kd": "uvgvsgu8kd",
     }
     df = spark.createDataFrame([(k,) for k in links], "l string").select("l", page_code(F.col("l")).alias("c"))
     assert {r["l"]: r["c"] for r in df.collect()} == links
@@ -431,6 +432,7 @@ def test_more_column_sets_than_scans(spark, tmp_path):
         own = [(load * 100 + i, load, *(mixed[c][i % 2] if load >> k & 1 else once[c] for k, c in enumerate(cols))) for i in range(10)]
         spark.createDataFrame(own, "detail_id bigint, load_no int, airport_light_intensity string, customs string, icao string").coalesce(1).write.mode("append").parquet(path)
         data += own
+    assert len({load & 7 for load in range(1, 10)} - {0}) > profile.SCANS
     checked = profile.checks(spark, path, profile.PATTERNS, "load_no", "detail_id")
     assert rows(checked.cells) == sorted([(c, r[1], r[0]) for r in data for c, v in zip(cols, r[2:]) if v in ("low", "hi", "ab1")], key=repr)
     assert {(r["column_name"], r["load_no"]): r["s"] for r in checked.shares.groupBy("column_name", "load_no").agg(F.sum("n").alias("s")).collect()} == {(c, load): 10 for c in cols for load in range(1, 10)}
@@ -461,6 +463,23 @@ def test_distinct_values_are_exact(spark, tmp_path):
     assert settled["n"] == (2, 2, 0) and settled["b"] == (2, 2, 2) and settled["c"] == (2, 1, 2)
 
 
+def test_files_that_lack_a_column_and_special_numbers(spark, tmp_path):
+    """A column that came later is null in the files before it; NaN is the greatest number, as in Spark; nested columns have no profile."""
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, "x"), (2, "y"), (None, "y")], "load_no int, a string").coalesce(1).write.parquet(path)
+    late = spark.createDataFrame([(2, "z", 1.5, True, [1]), (2, None, float("nan"), False, None), (3, " N/A ", -2.0, None, [2])], "load_no int, a string, f double, b boolean, l array<int>")
+    late.coalesce(1).write.mode("append").parquet(path)
+    spark.conf.set("spark.sql.parquet.mergeSchema", "true")
+    try:
+        got = {(r["column_name"], r["load_no"]): tuple(r)[2:] for r in profile.profile(spark, path, "load_no").collect()}
+    finally:
+        spark.conf.unset("spark.sql.parquet.mergeSchema")
+    assert {c for c, _ in got} == {"a", "f", "b"}
+    assert got["a", 2] == (3, 1, 2, "y", "z") and got["a", None] == (1, 0, 1, "y", "y") and got["a", 3] == (1, 1, 1, " N/A ", " N/A ")
+    assert got["f", 1] == (1, 1, 0, None, None) and got["f", 2] == (3, 1, 2, "1.5", "NaN") and got["f", 3] == (1, 0, 1, "-2.0", "-2.0")
+    assert got["b", 2] == (3, 1, 2, "false", "true") and got["b", 3] == (1, 1, 0, None, None)
+
+
 def test_ranges_in_own_type(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     data = [(1, n, f"{n}") for n in (-5, -30, 9, 60000, 9999)] + [(2, None, None)]
