@@ -267,30 +267,49 @@ def _later(rows: DataFrame, known: DataFrame, *also: str) -> DataFrame:
     return rows.join(known.drop("own_id", "seen"), on).where("id > first_id").select("space", "first_id", F.col("id").alias("later_id"))
 
 
+def runs(batches: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first batch, last batch, rows) of the runs that batches (number, rows; in order) are accepted in.
+
+    A run is closed once it holds a FAN-th of the rows before it. So large batches are runs of their own, while the runs
+    of many small ones grow with the history: their number is a logarithm of the rows, and the history read for all of
+    them stays in proportion to the rows however many batches there are.
+    """
+    out: list[tuple[int, int, int]] = []
+    first, held, before = None, 0, 0
+    for batch, n in batches:
+        first, held = batch if first is None else first, held + n
+        if FAN * held >= before:
+            out.append((first, batch, held))
+            first, held, before = None, 0, before + held
+    return out if first is None else [*out, (first, batches[-1][0], held)]
+
+
 def arrive(rows: DataFrame, history: History) -> tuple[DataFrame, DataFrame]:
-    """(rows, known): all batches of ``rows`` accepted one after another, in the order of their numbers.
+    """(rows, known): all batches of ``rows`` accepted one after another, in the order of their numbers, small ones by runs.
 
     rows: space, id, batch, number; null numbers are no case, rows without a batch arrive last. They are written once, a
     folder for each batch, so that a batch is read without the others. What comes to the driver is a row per batch.
-    known: batch, space, number, own_id, first_id, as resolved when the batch arrived.
+    Within a run the earlier row counts, as within a batch, so results don't depend on where runs are cut.
+    Out come rows: space, id, number, batch, run; known: run, space, number, own_id, first_id, as resolved when the run arrived.
     """
     rows = rows.where(F.col("number").isNotNull()).select("space", "id", "number", F.coalesce("batch", F.lit((1 << 63) - 1)).alias("batch"))
     rows = materialize(rows, "codes", "batch")
-    path, shape = own_folder(rows.sparkSession, "resolved"), "space string, number bigint, own_id bigint, first_id bigint, seen boolean, batch bigint"
-    batches = sorted(map(tuple, rows.groupBy("batch").count().collect()))
-    for batch, n in batches:
-        history.resolve(rows.where(F.col("batch") == batch).drop("batch"), n, f"{path}/batch={batch}")
+    path, shape = own_folder(rows.sparkSession, "resolved"), "space string, number bigint, own_id bigint, first_id bigint, seen boolean, run int"
+    cut = runs(sorted(map(tuple, rows.groupBy("batch").count().collect())))
+    for k, (first, last, n) in enumerate(cut):
+        history.resolve(rows.where(F.col("batch").between(first, last)).drop("batch"), n, f"{path}/run={k}")
         history.compact()
+    run = reduce(Column.__add__, [(F.col("batch") > last).cast("int") for _, last, _ in cut], F.lit(0))
     read = rows.sparkSession.read.schema(shape)
-    return rows, (read.parquet(path) if batches else rows.sparkSession.createDataFrame([], shape))
+    return rows.withColumn("run", run), (read.parquet(path) if cut else rows.sparkSession.createDataFrame([], shape))
 
 
 def duplicates(rows: DataFrame, space: str = "space", history: History | None = None) -> DataFrame:
     """(space, first_id, later_id): each row whose page an earlier row of its space leads to, with that page's first row.
 
-    rows: space, id (unique in its space, rising with arrival), batch, code (null, or no whole code: no case). Batch by batch
-    through ``history``, a new one in the shared folder if none is given. At the end the rows join what their own batch
-    resolved their code to; a hot code's rows are spread over the batches, and further by adaptive skew handling.
+    rows: space, id (unique in its space, rising with arrival), batch, code (null, or no whole code: no case). Batch by batch,
+    small batches by runs, through ``history``, a new one in the shared folder if none is given. At the end the rows join what
+    their own run resolved their code to; a hot code's rows are spread over the runs, and further by adaptive skew handling.
     """
     spark = rows.sparkSession
     if history is None:
@@ -302,4 +321,4 @@ def duplicates(rows: DataFrame, space: str = "space", history: History | None =
     )
     if history.shards:
         remove_at_end(spark, history.path)
-    return _later(rows, known, "batch").withColumnRenamed("space", space)
+    return _later(rows, known, "run").withColumnRenamed("space", space)

@@ -279,6 +279,17 @@ def test_rows_without_batch_arrive_last(spark):
     assert rows(dedup_index.duplicates(df.withColumn("number", F.lit("clash")))) == [("t", 1, 3), ("t", 2, 4)]
 
 
+def test_many_small_batches_arrive_in_few_runs(spark, monkeypatch):
+    ids, resolve, sizes = history_case(6), dedup_index.History.resolve, []
+    monkeypatch.setattr(dedup_index.History, "resolve", lambda self, rows, n, into: (sizes.append(n), resolve(self, rows, n, into))[1])
+    df = spark.createDataFrame([("t", i, i // 25, c) for i, c in ids.items()], "space string, id bigint, batch bigint, code string")  # 61 batches
+    assert {(f, x) for _, f, x in rows(dedup_index.duplicates(df))} == brute(ids)
+    assert 5 < len(sizes) < 25 and sum(sizes) == len(ids)
+    cut = dedup_index.runs([(k, 10) for k in range(2000)])
+    assert len(cut) < 45 and cut[:5] == [(k, k, 10) for k in range(5)]
+    assert [k for a, b, _ in cut for k in range(a, b + 1)] == list(range(2000)) and sum(n for *_, n in cut) == 20_000
+
+
 def test_incremental_history(spark, tmp_path):
     ids = history_case(3)
     h = dedup_index.History(spark, f"file://{tmp_path}/h")
