@@ -167,9 +167,10 @@ class History:
                 for name, fewer in shards:
                     graph = _open(root, name, space, ring, segment >> fewer)
                     if graph is not None:
-                        q, node = graph.search(key)
-                        np.minimum.at(first, q, graph.firsts[node])
-                        seen[q] = True
+                        asked = graph.asked(key)
+                        q, node = graph.search(key[asked])
+                        np.minimum.at(first, asked[q], graph.firsts[node])
+                        seen[asked[q]] = True
                 graph = Graph.build(key, own)
                 q, node = graph.search(key)
                 np.minimum.at(first, q, graph.firsts[node])
@@ -202,7 +203,7 @@ class History:
         return _later(rows if keep else rows.withColumn("space", F.lit("")), known).select(*keep, "first_id", "later_id")
 
     def compact(self) -> int:
-        """Merges each size class that has FAN shards or more, and the class above if that fills it, in one pass; returns how many shards remain. The merged folders are removed."""
+        """Merges each size class that has FAN shards or more, with all smaller shards, and the class above if that fills it, in one pass; returns how many shards remain. The merged folders are removed."""
         size_class = lambda s: int(np.log(max(s["nodes"], 1)) / np.log(FAN))
         now = [{**s, "of": [s["name"]]} for s in self.shards]
         while True:
@@ -212,9 +213,8 @@ class History:
             full = next((c for c in sorted(by) if len(by[c]) >= FAN), None)
             if full is None:
                 break
-            now = [s for s in now if size_class(s) != full] + [{
-                "nodes": sum(s["nodes"] for s in by[full]), "of": [n for s in by[full] for n in s["of"]]
-            }]
+            old = [s for s in now if size_class(s) <= full]  # smaller ones along with them: few nodes, but as many graphs to open
+            now = [s for s in now if size_class(s) > full] + [{"nodes": sum(s["nodes"] for s in old), "of": [n for s in old for n in s["of"]]}]
         for s in [s for s in now if len(s["of"]) > 1]:
             self._merge(s["of"], s["nodes"])
         return len(self.shards)

@@ -43,6 +43,11 @@ def places_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _slots(halves: np.ndarray, bits: int) -> np.ndarray:
+    """A place of each half in a table of so many bits; another hash than the one that halves are routed by."""
+    return (halves.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 def _layers(keys: np.ndarray) -> np.ndarray:
     """The highest layer of each node: geometric, drawn from a hash of its key, so that a graph is the same whenever it is built."""
     x = keys.astype(np.uint64)
@@ -137,6 +142,16 @@ class Graph:
         close = places_apart(queries[q], self.keys[node]) <= 1
         return q[close], node[close]
 
+    def asked(self, queries: np.ndarray) -> np.ndarray:
+        """Which of the queries the graph may have a neighbour of: all whose leading half is a node's, and few others.
+
+        Told by a table of bits, 16 places a node, with the bits of the nodes' halves set; so a query costs a graph without its half next to nothing.
+        """
+        bits = len(self).bit_length() + 4
+        table = np.zeros(1 << bits, bool)
+        table[_slots(self.keys // HALF_CODES, bits)] = True
+        return np.flatnonzero(table[_slots(queries // HALF_CODES, bits)])
+
     def exhaustive(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What ``search`` looks for, by comparing each query with every node."""
         q, node = np.nonzero((queries // HALF_CODES)[:, None] == (self.keys // HALF_CODES)[None])

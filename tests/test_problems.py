@@ -361,6 +361,10 @@ def test_graph_search_is_exact_and_its_beam_tuned():
     assert len(crowd.search(dense[:300], 1, widen=False)[0]) < len(crowd.exhaustive(dense[:300])[0])
     back = smallworld.Graph.unpack(crowd.pack())
     assert (back.beam, pairs(back.search(q))) == (crowd.beam, pairs(crowd.search(q)))
+    asked = graph.asked(q)
+    assert {*np.unique(graph.exhaustive(q)[0]).tolist()} <= {*asked.tolist()}
+    far = codes + np.arange(1, 3001) * smallworld.HALF_CODES  # with halves that are hardly any node's
+    assert len(graph.asked(far)) < 300 and len(graph.asked(codes)) == 3000
     for n in range(4):
         assert len(smallworld.Graph.build(codes[:n], np.arange(n)).search(codes[:5])[0]) == n
 
