@@ -1,14 +1,13 @@
 """Encoding of a whole corpus by a lexicon transducer, with exact merging of what it lacks.
 
-The lexicon is fitted on a bounded sample of documents and only decides how fast a word is found: every word outside it
-is merged by the vocabulary's own rules, so ids are exact for any text and any lexicon.
+The lexicon holds the most frequent words of all documents and only decides how fast a word is found: every word outside
+it is merged by the vocabulary's own rules, so ids are exact for any text and any lexicon.
 """
 
 from __future__ import annotations
 
 import hashlib
 import posixpath
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -21,12 +20,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, spread
+from ..session import materialize, shared_dir, spread
 from .lexicon import Lexicon, compile_lexicon, merge, ranks, vocabulary_path
 from .pretokens import Words, split
 
-#: Documents the lexicon's words are counted in, and how many words it has at most.
-SAMPLE_DOCUMENTS, LEXICON_WORDS = 4_000, 60_000
+#: How many words the lexicon has at most; distinct words that a task counts together before it hands them on.
+LEXICON_WORDS, COUNTED_WORDS = 60_000, 200_000
 #: Words longer than this are merged, not looked up; merged words kept by a worker; bytes of text worked on at a time.
 LONGEST_WORD, KEPT_WORDS, BLOCK_BYTES = 48, 300_000, 2 << 20
 
@@ -38,31 +37,63 @@ class Encoder(NamedTuple):
     vocabulary: str
 
 
+def _word_counts(texts: pa.Array) -> pa.Table:
+    """(word, n): the distinct words of a block of texts, without those beyond LONGEST_WORD."""
+    w = split(texts)
+    words = pa.Array.from_buffers(pa.large_binary(), len(w.edges) - 1, [None, pa.py_buffer(np.ascontiguousarray(w.edges)), pa.py_buffer(np.ascontiguousarray(w.data))])
+    found = words.value_counts()
+    kept = pa.table({"word": found.field(0), "n": found.field(1)})
+    return kept.filter(pa.compute.less_equal(pa.compute.binary_length(kept["word"]), LONGEST_WORD))
+
+
+def _summed(parts: list[pa.Table]) -> pa.Table:
+    return pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).select(["word", "n"])
+
+
 def fit(
-    spark: SparkSession, docs: DataFrame, key: str, text: str, vocabulary: str | None = None, sample: int = SAMPLE_DOCUMENTS, words: int = LEXICON_WORDS
+    spark: SparkSession, docs: DataFrame, key: str, text: str, vocabulary: str | None = None, sample: int | None = None, words: int = LEXICON_WORDS
 ) -> Encoder:
-    """Compiles the frequent words of a hash sample of about ``sample`` documents, with the vocabulary's ids, into a transducer.
+    """Compiles the most frequent words of all documents, with the vocabulary's ids, into a transducer.
 
-    The sample is drawn by the documents' keys, not by their texts, so a text that a third of the corpus repeats is in it
-    in proportion. The file goes to the session's shared folder and from there to every executor, which map it into memory. What comes
-    to the driver is bounded by ``words``.
+    With ``sample`` words are counted in a hash sample of about so many documents only, drawn by their keys, not by their
+    texts, so a text that a third of the corpus repeats is in it in proportion; no query does so. The file goes to the
+    session's shared folder and from there to every executor, which map it into memory. What comes to the driver is
+    bounded by ``words`` and a row for each count that occurs, what a task holds by COUNTED_WORDS and a block's words.
+    Where more words than are left tie at the lowest count, none of them is taken.
     """
     vocabulary = vocabulary or vocabulary_path()
-    share = min(1.0, sample / max(1, docs.count()))
+    share = 1.0 if sample is None else min(1.0, sample / max(1, docs.count()))
     drawn = F.pmod(F.xxhash64(key), F.lit(1 << 53)) < F.lit(int(share * (1 << 53)))
     kept = docs.where(F.col(text).isNotNull() & drawn) if share < 1 else docs
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        parts: list[pa.Table] = []
+        held = 0
         for batch in batches:
             for part in blocks(batch.column(0)):
-                w = split(part)
-                raw, e = w.data.tobytes(), w.edges.tolist()
-                found.update(raw[a:b] for a, b in zip(e, e[1:]) if b - a <= LONGEST_WORD)
-        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())], names=["word", "n"])
-
-    counted = kept.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "word").limit(words).collect()
+                parts.append(_word_counts(part))
+                held += len(parts[-1])
+                if held > COUNTED_WORDS:
+                    parts = [_summed(parts)]
+                    held = len(parts[0])
+                    if held > COUNTED_WORDS // 2:
+                        yield from handed(parts.pop())
+                        held = 0
+        if parts:
+            yield from handed(_summed(parts))
+
+    def handed(t: pa.Table) -> list[pa.RecordBatch]:
+        return t.cast(pa.schema([("word", pa.binary()), ("n", pa.int64())])).combine_chunks().to_batches()
+
+    each = spread(kept.select(F.col(text).cast("string").alias("text"))).mapInArrow(count, "word binary, n bigint")
+    counted = materialize(each.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    least, held = (1 << 63) - 1, 0  # a row for each count comes first: a limit's sort would send as many words from every partition
+    for n, more in sorted(map(tuple, counted.groupBy("n").count().collect()), reverse=True):
+        held += more
+        if held > words:
+            break
+        least = n
+    top = counted.where(F.col("n") >= least).collect()
     block = compile_lexicon({bytes(r["word"]): merge(bytes(r["word"]), vocabulary) for r in top})
     name = f"lexicon-{hashlib.sha256(block).hexdigest()[:16]}.bin"
     where, root = fs.FileSystem.from_uri(shared_dir(spark) if "://" in shared_dir(spark) else "file://" + shared_dir(spark))

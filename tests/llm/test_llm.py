@@ -1,6 +1,7 @@
 """Encoding, packing and splitting: against the public libraries, round trips and invariants."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +99,25 @@ def test_decoding_gives_the_texts_back(spark, docs, fitted):
     assert got == sorted([(r["doc_id"], r["text"] or "") for r in docs.collect()] + [(99, None)], key=repr)
 
 
+def test_words_of_all_documents_are_counted(spark, monkeypatch):
+    """However many documents there are, and however often a task hands on what it has counted."""
+    monkeypatch.setattr(encoder, "COUNTED_WORDS", 500)
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("n"), letters, F.lit(" often")).alias("text"))
+    lex = encoder._lexicon(encoder.fit(spark, docs, "doc_id", "text").file)
+    probe = [b"n" + str(i).translate(str.maketrans("0123456789", "abcdefghij")).encode() for i in range(9000)]
+    ends = np.cumsum([len(w) for w in probe])
+    assert len(lex) == 9001 and (lex.numbers(np.frombuffer(b"".join(probe), np.uint8), ends - [len(w) for w in probe], ends) >= 0).all()
+    top = encoder._lexicon(encoder.fit(spark, docs, "doc_id", "text", words=1).file)
+    assert len(top) == 1 and top.ids.tolist() == lexicon.merge(b" often", PATH)
+
+
+def test_word_counts_of_odd_texts():
+    counted = encoder._summed([encoder._word_counts(pa.array(TEXTS[k:], pa.string()).slice(1)) for k in (0, 3)])
+    want = Counter(x.encode() for k in (1, 4) for t in TEXTS[k:] for x in regex.findall(lexicon.PATTERN, t or ""))
+    assert dict(zip(*counted.to_pydict().values())) == {w: n for w, n in want.items() if len(w) <= encoder.LONGEST_WORD}
+
+
 def test_the_sample_is_bounded_when_one_text_repeats(spark):
     """A text that half the corpus repeats is in the sample in proportion, not always or never."""
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "same words here").otherwise(F.concat(F.lit("w"), "id")).alias("text"))
